@@ -18,8 +18,8 @@ _RESPONSE = (
 def score_map(response: Column, wiki: str, revision_id: Column) -> Column:
     """Class probabilities of a revision in a score response; NULL if it has none."""
     parsed = F.from_json(response, _RESPONSE)
-    entry = parsed.getItem(wiki).getField("scores").getItem(revision_id.cast("string"))
-    return entry.getField("wp10").getField("score").getField("probability")
+    entry = parsed[wiki]["scores"][revision_id.cast("string")]
+    return entry["wp10"]["score"]["probability"]
 
 
 def class_columns(scores: Column) -> list[Column]:
@@ -40,7 +40,7 @@ def weighted_score_of_map(scores: Column) -> Column:
     return F.aggregate(
         F.map_entries(scores),
         F.lit(0.0),
-        lambda total, entry: total + entry["value"] * weights.getItem(entry["key"]),
+        lambda total, entry: total + entry["value"] * weights[entry["key"]],
     )
 
 
@@ -72,4 +72,4 @@ def citation_shares(counts: dict[str, Column] | None = None) -> Column:
 
 def lookup(key: Column, table: dict) -> Column:
     """Value of `key` in a small fixed table, NULL if absent."""
-    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair]).getItem(key)
+    return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[key]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -22,6 +23,9 @@ RAW, SCALED, CLUSTER = "features", "scaled_features", "prediction"
 KMEANS_SEED, BISECTING_SEED, FINAL_SEED, FINAL_K = 1, 10, 1, 3
 SWEEP = range(3, 11)
 
+# Rows below which a task of a fit costs more to start than to run.
+ROWS_PER_TASK = 20_000
+
 
 def model_features(df: DataFrame, drop: Sequence[str] = ("_c0", "title", *fixed.CLASSES)) -> list[str]:
     """Columns to cluster by: all but the index, the title and the class scores."""
@@ -195,25 +199,33 @@ def cluster_label(df: DataFrame, label: str, cluster: str = CLUSTER) -> DataFram
     )
 
 
-def k_sweep(df: DataFrame, features: Sequence[str], ks: Iterable[int] = SWEEP) -> DataFrame:
+def k_sweep(
+    df: DataFrame, features: Sequence[str], ks: Iterable[int] = SWEEP, parallelism: int = 4
+) -> DataFrame:
     """Rows (algorithm, k, cost, silhouette, best): both algorithms for each k.
 
     Clusters are fit on scaled features and judged on unscaled ones. The table of vectors is
-    kept for the fits, on disk where memory is short; `best` marks the k of the highest
-    silhouette of each algorithm.
+    kept for the fits, on disk where memory is short. Each fit is many short jobs, so tasks
+    get a fair number of rows, and a few fits share the cluster. `best` marks the k of the highest silhouette of each
+    algorithm.
     """
-    points = scaled(df, features).select(RAW, SCALED).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = scaled(df, features).select(RAW, SCALED).persist(StorageLevel.MEMORY_AND_DISK)
+    points = kept.coalesce(max(1, -(-kept.count() // ROWS_PER_TASK)))
+
+    def judged(task) -> tuple:
+        name, k = task
+        algorithm = kmeans(k) if name == "kmeans" else bisecting(k, BISECTING_SEED)
+        model = algorithm.fit(points)
+        quality = silhouette(model.transform(points), RAW)
+        return name, k, float(model.summary.trainingCost), float(quality)
+
+    # The longest fits first.
+    tasks = [(name, k) for k in sorted(ks, reverse=True) for name in ("bisecting", "kmeans")]
     try:
-        rows = []
-        for k in ks:
-            for name, algorithm in (
-                ("kmeans", kmeans(k)), ("bisecting", bisecting(k, BISECTING_SEED)),
-            ):
-                model = algorithm.fit(points)
-                quality = silhouette(model.transform(points), RAW)
-                rows.append((name, k, float(model.summary.trainingCost), float(quality)))
+        with ThreadPool(parallelism) as pool:
+            rows = pool.map(inheritable_thread_target(df.sparkSession)(judged), tasks, chunksize=1)
     finally:
-        points.unpersist()
+        kept.unpersist()
     table = df.sparkSession.createDataFrame(
         rows, "algorithm string, k int, cost double, silhouette double"
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -76,39 +76,44 @@ def present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in columns]))
 
 
+def counts_v1(text: Column) -> dict[str, Column]:
+    """The counts of the earlier feature table: simpler headings and paragraphs, categories."""
+    out = {"n_words": markup.n_words(text)}
+    for level in fixed.HEADING_LEVELS:
+        out[f"level{level}"] = markup.heading_count_v1(text, level)
+    for source in ("book", "journal"):
+        out[f"{source}_citations"] = markup.citation_count(text, source)
+    out["n_internal_links"] = markup.n_internal_links(text)
+    out["n_external_links"] = markup.n_external_links(text)
+    out["n_paragraphs"] = markup.n_paragraphs_v1(text)
+    out["n_unreferenced"] = markup.n_unreferenced(text)
+    out["n_categories"] = markup.n_categories(text)
+    out["n_images"] = markup.n_images(text)
+    return out
+
+
+def feature_table_v1(df: DataFrame, scores: bool = True, keys: Sequence[str] = ()) -> DataFrame:
+    """The earlier feature table: title, scores if there are any, features."""
+    labels = list(fixed.CLASSES) if scores else []
+    whole = present(df, ["title", "text", *labels]).withColumns(counts_v1(F.col("text")))
+    numbers = [*labels, *fixed.FEATURES_V1]
+    return whole.select(*keys, "title", *[F.col(c).cast("double").alias(c) for c in numbers])
+
+
 def scored_feature_table(
-    pages: DataFrame, scores: DataFrame, key: str = "revision_id", keys: Sequence[str] = ()
+    pages: DataFrame,
+    scores: DataFrame,
+    key: str = "revision_id",
+    keys: Sequence[str] = (),
+    table: Callable[..., DataFrame] = feature_table,
 ) -> DataFrame:
-    """The feature table of pages that have scores.
+    """A feature table of the pages that have scores.
 
     Features are counted where the pages are read, and joined with the scores after that:
     a row of numbers goes through the shuffle, the text does not.
     """
     carried = list(dict.fromkeys([key, *keys]))
-    features = feature_table(pages, scores=False, keys=carried)
+    features = table(pages, scores=False, keys=carried)
+    counted = [c for c in features.columns if c not in (*carried, "title")]
     labeled = page_score_join(features, present(scores, fixed.CLASSES), key, key)
-    tags = list(fixed.TAGS) if has_column(pages, fixed.TAGS[0]) else []
-    return labeled.select(*keys, "title", *fixed.FEATURES, *fixed.CLASSES, *tags)
-
-
-def feature_table_v1(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """The earlier feature table: simpler headings and paragraphs, categories, two citations."""
-    text = F.col("text")
-    features = {"n_words": markup.n_words(text)}
-    for level in fixed.HEADING_LEVELS:
-        features[f"level{level}"] = markup.heading_count_v1(text, level)
-    for source in ("book", "journal"):
-        features[f"{source}_citations"] = markup.citation_count(text, source)
-    features["n_internal_links"] = markup.n_internal_links(text)
-    features["n_external_links"] = markup.n_external_links(text)
-    features["n_paragraphs"] = markup.n_paragraphs_v1(text)
-    features["n_unreferenced"] = markup.n_unreferenced(text)
-    features["n_categories"] = markup.n_categories(text)
-    features["n_images"] = markup.n_images(text)
-    whole = present(df, ["title", "text", *fixed.CLASSES])
-    return whole.select(
-        *keys,
-        "title",
-        *[F.col(c).cast("double").alias(c) for c in fixed.CLASSES],
-        *[features[c].cast("double").alias(c) for c in fixed.FEATURES_V1],
-    )
+    return labeled.select(*keys, "title", *counted, *fixed.CLASSES)

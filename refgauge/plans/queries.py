@@ -208,8 +208,9 @@ def feature_table_v1(spark, folder):
     df = rendered.categorized(spark, folder).withColumn(
         "revision_id", rendered.revision_of(F.col("page_id"))
     )
-    joined = scoring.page_score_join(df, rendered.scores(spark, folder))
-    return _rounded_scores(features.feature_table_v1(joined))
+    return _rounded_scores(features.scored_feature_table(
+        df, rendered.scores(spark, folder), table=features.feature_table_v1
+    ))
 
 
 @query
@@ -473,7 +474,8 @@ def xml_pages(spark, folder):
             F.col("`revision.model`").alias("model"),
             F.col("`revision.format`").alias("format"),
             F.struct(
-                F.col("`revision.text`").alias("_VALUE"), F.lit("preserve").alias("_xml:space")
+                F.col("`revision.text`").alias("_VALUE"),
+                F.octet_length("`revision.text`").alias("_bytes"),
             ).alias("text"),
             F.col("`revision.sha1`").alias("sha1"),
         ).alias("revision"),

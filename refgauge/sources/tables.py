@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Text spans lines and quotes are doubled. Fixed values.
+# Text spans lines, quotes are doubled and spaces are kept. Fixed values.
 CSV = {"header": True, "multiLine": True, "escape": '"'}
+CSV_OUT = {
+    "header": True, "escape": '"', "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 RAW_SUFFIX = "_raw.csv"
 
 
@@ -22,9 +26,7 @@ def write_raw_pages(df: DataFrame, path: str, dump: str = "dump") -> None:
 
     Rows stay in the tasks they are in, so a dump of any size is written by many tasks.
     """
-    df.withColumn("file", raw_name(F.col(dump))).drop(dump).write.partitionBy("file").options(
-        header=True, escape='"', emptyValue=""
-    ).csv(path)
+    df.withColumn("file", raw_name(F.col(dump))).drop(dump).write.partitionBy("file").options(**CSV_OUT).csv(path)
 
 
 def read_raw_pages(
@@ -44,7 +46,7 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str) -> Da
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.options(header=True, escape='"').csv(path)
+    df.write.options(**CSV_OUT).csv(path)
 
 
 def features_path(folder: str, date: str, limited: bool = False) -> str:

@@ -1,0 +1,172 @@
+"""Tags, filter, renames, scores and the report on hand-written rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from refgauge import fixed
+from refgauge.functions import html, pages, scores
+from refgauge.operators import articles, features, profile, report, scoring
+
+
+def pages_of(spark, *rows):
+    return spark.createDataFrame(list(rows), "title string, text string")
+
+
+CASES = [
+    ("A", "text", None),
+    ("A", "#REDIRECT [[B]]", "redirect"),
+    ("A", " #REDIRECT [[B]]", None),
+    ("A", "x {{Disambig}}", "disambig"),
+    ("A", "x {{geo disambiguation|a}}", "disambig"),
+    ("A", "x {{disambig-x}}", None),
+    ("Template:A", "#redirect", "redirect"),
+    ("TEMPLATE:A", "t", "template"),
+    ("Category:A", "t", "category"),
+    ("File:A", "t", "file"),
+    ("Wikipedia:A", "t", "wikipedia_related"),
+    ("Portal:A", "t", "portal"),
+    ("Help:A", "t", "help"),
+    ("Helper:A", "t", None),
+]
+
+
+def test_tags_filter_and_kind(spark):
+    df = pages_of(spark, *[(t, x) for t, x, _ in CASES])
+    kinds = articles.article_kind(articles.tag_articles(df)).collect()
+    assert [r.kind for r in kinds] == [k for _, _, k in CASES]
+    assert [r.kind for r in articles.article_kind(df).collect()] == [k for _, _, k in CASES]
+    kept = articles.filter_articles(df).collect()
+    assert [(r.title, r.text) for r in kept] == [(t, x) for t, x, k in CASES if k is None]
+
+
+def test_null_pages_are_no_articles(spark):
+    df = pages_of(spark, ("A", None), (None, "t"), ("A", "t"))
+    assert articles.filter_articles(df).count() == 1
+
+
+def test_strip_prefix_keeps_the_page_id(spark):
+    df = spark.createDataFrame([("1", "2", "3")], ["id", "revision.id", "revision.text"])
+    assert articles.strip_prefix(df).columns == ["id", "text"]
+
+
+def test_small_helpers(spark):
+    df = spark.createDataFrame([("AbC", 1)], ["x", "y.z"])
+    assert articles.lower_all(df).first() == ("abc", "1")
+    assert articles.has_column(df, "x") and not articles.has_column(df, "q")
+    numbered = spark.createDataFrame([(1, 2, 3)], ["0", "1", "2"])
+    assert articles.rename_positions(numbered, 2).columns == ["features_0", "features_1", "labels"]
+    titles = spark.createDataFrame([("  a   b  ",), ("c \n",)], ["t"])
+    assert [tuple(r) for r in titles.select(
+        pages.url_title(F.col("t")), pages.display_title(F.col("t"))).collect()
+    ] == [("a_b", "a b"), ("c\n", "c\n")]
+
+
+def test_feature_table_modes(spark):
+    df = articles.tag_articles(pages_of(spark, *[("A", "a b")] * 60, ("A", None)))
+    table = features.feature_table(df, scores=False)
+    assert table.columns == ["title", *fixed.FEATURES, *fixed.TAGS]
+    assert {t for n, t in table.dtypes if n != "title"} == {"double"}
+    assert table.count() == 60
+    assert features.feature_table(df, scores=False, project=False).count() == 61
+    debug = features.feature_table(df, scores=False, debug=True)
+    assert debug.count() == features.DEBUG_ROWS and "text" in debug.columns
+    with_scores = df.withColumns({c: F.lit(0.1) for c in fixed.CLASSES})
+    assert features.feature_table(with_scores).columns[-14:] == [*fixed.CLASSES, *fixed.TAGS]
+    assert features.feature_table(with_scores.withColumn("FA", F.lit(None).cast("double"))).count() == 0
+
+
+def score_row(spark, *rows):
+    schema = "revision_id bigint, " + ", ".join(f"{c} double" for c in fixed.CLASSES)
+    return spark.createDataFrame(list(rows), schema)
+
+
+def test_scores_of_a_revision(spark):
+    df = score_row(spark, (1, .1, .2, .2, .2, .2, .1), (2, .5, .1, .1, .1, .1, .1), (3, *[None] * 6))
+    rows = df.select(scores.predicted_class(), scores.weighted_score()).collect()
+    assert [r[0] for r in rows] == ["Start", "Stub", None]
+    assert rows[0][1] == pytest.approx(.1 + .4 + .6 + .8 + 1. + .6) and rows[2][1] is None
+
+
+def test_score_response(spark):
+    body = '{"enwiki": {"scores": {"55": {"wp10": {"score": {"probability": {"B": 0.25, "FA": 0.75}}}}}}}'
+    broken = '{"enwiki": {"scores": {"56": {"wp10": {"error": {}}}}}}'
+    df = spark.createDataFrame([(body, 55), (body, 57), (broken, 56), (None, 1)], "r string, id int")
+    found = df.select(scores.score_map(F.col("r"), "enwiki", F.col("id")).alias("m"))
+    assert [r.m for r in found.collect()] == [{"B": .25, "FA": .75}, None, None, None]
+    total = found.select(scores.weighted_score_of_map(F.col("m"))).collect()
+    assert [r[0] for r in total] == [.25 * 4 + .75 * 6, None, None, None]
+    assert found.select(*scores.class_columns(F.col("m"))).first()["FA"] == .75
+
+
+def test_joins_multiply_and_keep(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "rev bigint, t string")
+    right = score_row(spark, (1, *[.1] * 6), (1, *[.2] * 6))
+    assert scoring.page_score_join(left, right, "rev").count() == 4
+    kept = scoring.score_left_join(left, right, "rev")
+    assert kept.count() == 5 and kept.filter("Stub is null").collect()[0].t == "c"
+    assert scoring.union_scores([right, right.select(*reversed(right.columns))]).count() == 4
+
+
+def test_revision_at_time_wants_exactly_one(spark):
+    revisions = spark.createDataFrame(
+        [("A", 1, 10), ("A", 1, 11), ("B", 1, 12), ("B", 2, 13)], "title string, timestamp int, revision_id int"
+    )
+    wanted = spark.createDataFrame([("A", 1), ("B", 1), ("C", 1)], "title string, timestamp int")
+    assert [tuple(r) for r in scoring.revision_at_time(wanted, revisions).collect()] == [("B", 1, 12)]
+
+
+def report_row(spark, counts, tags=(), classes=(.1, .2, .3, .1, .1, .2)):
+    names = [f"{s}_citations" for s in fixed.CITATION_SOURCES]
+    row = {"page_id": 1, "title": "A", **dict(zip(names, map(float, counts))),
+           **{t: float(t in tags) for t in fixed.TAGS}, **dict(zip(fixed.CLASSES, classes))}
+    return report.article_report(spark.createDataFrame([row]), ["page_id"]).first()
+
+
+def test_report_of_an_article(spark):
+    row = report_row(spark, (1, 6, 1, 0))
+    assert row.mix.split("\n") == [
+        "- the references distribution:",
+        "  >   75% scientific papers (journals, publications, etc)",
+        # one eighth, rounded half to even
+        "  >   12% books",
+        "  >   12% internet resources (news, archive, etc)",
+        "  >    0% media materials (prints)",
+    ]
+    assert (row.kind, row.note, row.predicted_class) == (None, None, "C")
+    assert row.verdict == fixed.CLASS_SENTENCES["C"]
+
+
+def test_report_formats_as_the_printed_lines(spark):
+    for counts in ((1, 0, 0, 0), (1, 1, 1, 0), (3, 5, 0, 0), (7, 1, 0, 0)):
+        total = sum(counts)
+        order = sorted(range(4), key=lambda i: (-counts[i], i))
+        names = list(fixed.CITATION_NAMES.values())
+        lines = [f"  > {100 * counts[i] / total:4.0f}% {names[i]}" for i in order]
+        assert report_row(spark, counts).mix == "\n".join([fixed.MIX_TITLE, *lines])
+
+
+def test_report_without_citations(spark):
+    row = report_row(spark, (0, 0, 0, 0))
+    assert row.mix.split("\n")[1:] == [f"  >  nan% {n}" for n in fixed.CITATION_NAMES.values()]
+
+
+def test_report_of_other_pages(spark):
+    row = report_row(spark, (1, 0, 0, 0), tags=("help", "disambig"))
+    assert (row.kind, row.note) == ("disambig", fixed.TAG_SENTENCES["disambig"])
+    assert row.mix is row.verdict is row.predicted_class is None
+
+
+def test_html(spark):
+    edit = '<html><TextArea name="a">x &lt;ref&gt; &amp;lt; &#039;y&#039;\n</textarea><textarea>z</textarea>'
+    history = '<ul><li class="a">n</li><li class="b" data-mw-revid="42">x</li><li data-mw-revid="41">'
+    df = spark.createDataFrame([(edit, history), ("<p>", "<li>")], "e string, h string")
+    rows = df.select(html.first_element(F.col("e"), "textarea"), html.revision_id(F.col("h"))).collect()
+    assert [tuple(r) for r in rows] == [("x <ref> &lt; 'y'\n", 42), (None, None)]
+
+
+def test_profile(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 2)], "x string, y int")
+    found = sorted((r["column"], r["value"]) for r in profile.column_profile(df, ["x", "y"]).collect() if r["value"])
+    assert found == [("x", "a"), ("y", "1"), ("y", "2")]
+    assert profile.feature_totals(df, ["y"]).first() == (3, 5)
+    assert [tuple(r) for r in profile.feature_ranges(df, ["y"]).collect()] == [("y", 1, 2)]
