@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +22,12 @@ def strip_prefix(df: DataFrame, prefix: str = "revision.", drop: str = "revision
     return df.drop(drop).withColumnsRenamed(names)
 
 
-def article_columns(df: DataFrame, scores: bool = False, revision: bool = False) -> DataFrame:
+def article_columns(
+    df: DataFrame, scores: bool = False, revision: bool = False, keys: Sequence[str] = ()
+) -> DataFrame:
     """Title and text, with hash and time of the revision, or the class scores, if asked for."""
     head = ["sha1", "timestamp"] if revision else []
-    return df.select(*head, "title", "text", *(fixed.CLASSES if scores else ()))
+    return df.select(*keys, *head, "title", "text", *(fixed.CLASSES if scores else ()))
 
 
 def rename_positions(df: DataFrame, n_features: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -12,7 +13,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from refgauge import fixed
@@ -23,6 +24,9 @@ RAW, SCALED, CLUSTER = "features", "scaled_features", "prediction"
 KMEANS_SEED, BISECTING_SEED, FINAL_SEED, FINAL_K = 1, 10, 1, 3
 SWEEP = range(3, 11)
 
+# Centers and sums of up to this many clusters are kept on the driver and in plans.
+MAX_CLUSTERS = 1_000
+
 # Rows below which a task of a fit costs more to start than to run.
 ROWS_PER_TASK = 20_000
 
@@ -93,34 +97,47 @@ def squared_distance(a: Column, b: Column) -> Column:
     )
 
 
+def squared_norm(point: Column) -> Column:
+    return F.aggregate(point, F.lit(0.0), lambda total, x: total + x * x)
+
+
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+
+def constant(value: list, schema: str) -> Column:
+    """A nested value as one literal in the plan."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
+
+
+def few_rows(df: DataFrame) -> list[Row]:
+    """Rows of a table with one row per cluster. The number of clusters is checked."""
+    rows = df.limit(MAX_CLUSTERS + 1).collect()
+    if len(rows) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+    return rows
+
+
 def nearest_center(df: DataFrame, centers: Sequence[Sequence[float]], values: str) -> DataFrame:
     """Index of the closest center of each row and the squared distance to it, first on ties.
 
-    The centers are literals in the plan: k times d numbers, whatever the table holds.
+    The centers are a literal in the plan: k times d numbers, whatever the table holds.
     """
-    point = F.col(values)
-    distances = F.array(*[
-        F.struct(
-            squared_distance(point, F.array(*[F.lit(float(x)) for x in center])).alias("cost"),
-            F.lit(i).alias(CLUSTER),
-        )
-        for i, center in enumerate(centers)
-    ])
-    best = F.array_min(distances)
+    places = constant([[float(x) for x in c] for c in centers], "array<array<double>>")
+    best = F.array_min(F.transform(places, lambda center, i: F.struct(
+        squared_distance(F.col(values), center).alias("cost"), i.alias(CLUSTER)
+    )))
     return df.withColumn("_best", best).select(
         *df.columns, F.col(f"_best.{CLUSTER}").alias(CLUSTER), F.col("_best.cost").alias("cost")
     )
 
 
 def group_centers(df: DataFrame, group: str, values: str) -> list[list[float]]:
-    """Mean point of each group, in group order. Meant for a handful of groups."""
-    means = (
-        df.groupBy(group)
-        .agg(vector_to_array(Summarizer.mean(array_to_vector(F.col(values)))).alias("mean"))
-        .orderBy(group)
-        .collect()
+    """Mean point of each group, in group order."""
+    means = df.groupBy(group).agg(
+        vector_to_array(Summarizer.mean(array_to_vector(F.col(values)))).alias("mean")
     )
-    return [r["mean"] for r in means]
+    return [r["mean"] for r in sorted(few_rows(means), key=lambda r: r[group])]
 
 
 def cluster_cost(df: DataFrame, model, vectors: str = SCALED) -> DataFrame:
@@ -146,55 +163,52 @@ def silhouette_points(df: DataFrame, values: str, cluster: str) -> DataFrame:
 
     The distances of a point to all rows of a cluster add up to
     n*|x|^2 - 2*x.sum(y) + sum(|y|^2), so one aggregation gives what all pairs would.
-    The clusters' sums are literals in the plan: k times d numbers.
+    The clusters' sums are a literal in the plan: k times d numbers.
     """
     point = F.col(values)
-    norm = squared_norm(point)
-    stats = (
-        df.select(F.col(cluster).alias("c"), array_to_vector(point).alias("v"), norm.alias("q"))
-        .groupBy("c")
-        .agg(F.count("*").alias("n"), vector_to_array(Summarizer.sum(F.col("v"))).alias("s"),
-             F.sum("q").alias("q"))
-        .orderBy("c")
-        .collect()
+    sums = df.groupBy(F.col(cluster).cast("string").alias("c")).agg(
+        F.count("*").alias("n"),
+        vector_to_array(Summarizer.sum(array_to_vector(point))).alias("s"),
+        F.sum(squared_norm(point)).alias("q"),
     )
-
-    def total(r) -> Column:
-        dot = F.aggregate(
-            F.zip_with(point, F.array(*[F.lit(x) for x in r["s"]]), lambda x, y: x * y),
-            F.lit(0.0), lambda t, x: t + x,
-        )
-        return F.greatest(norm * F.lit(r["n"]) - dot * F.lit(2.0) + F.lit(r["q"]), F.lit(0.0))
-
-    own = F.col(cluster)
-    inside = F.coalesce(*[
-        F.when(own == r["c"], total(r) / F.lit(max(r["n"] - 1, 1))) for r in stats
-    ])
-    outside = F.least(*[F.when(own != r["c"], total(r) / F.lit(r["n"])) for r in stats])
-    alone = F.coalesce(*[F.when(own == r["c"], F.lit(r["n"] == 1)) for r in stats])
+    stats = constant(
+        [r.asDict() for r in few_rows(sums)], "array<struct<c: string, n: bigint, s: array<double>, q: double>>"
+    )
+    totals = F.transform(stats, lambda r: F.struct(
+        (r["c"] == F.col(cluster).cast("string")).alias("own"),
+        r["n"].alias("n"),
+        F.greatest(
+            squared_norm(point) * r["n"] - dot(point, r["s"]) * F.lit(2.0) + r["q"], F.lit(0.0)
+        ).alias("total"),
+    ))
+    own = F.filter("_totals", lambda r: r["own"])[0]
+    means = F.transform(F.filter("_totals", lambda r: ~r["own"]), lambda r: r["total"] / r["n"])
     a, b = F.col("intra"), F.col("nearest")
-    value = F.when(F.col("_alone") | (a == b), F.lit(0.0)).when(a < b, 1 - a / b).otherwise(b / a - 1)
+    value = F.when((F.col("_n") == 1) | (a == b), F.lit(0.0)).when(a < b, 1 - a / b).otherwise(b / a - 1)
     return (
-        df.withColumns({"intra": inside, "nearest": outside, "_alone": alone})
+        df.withColumn("_totals", totals)
+        .withColumns({
+            "intra": own["total"] / F.greatest(own["n"] - 1, F.lit(1)),
+            "nearest": F.array_min(means),
+            "_n": own["n"],
+        })
         .withColumn("silhouette", value)
-        .drop("_alone")
+        .drop("_totals", "_n")
     )
 
 
-def squared_norm(point: Column) -> Column:
-    return F.aggregate(point, F.lit(0.0), lambda total, x: total + x * x)
-
-
 def cluster_label(df: DataFrame, label: str, cluster: str = CLUSTER) -> DataFrame:
     """Rows without a label take the most common one of their cluster, the smallest on ties.
 
-    Labels are counted before anything moves; what is joined back is one row per cluster.
+    Labels are counted before anything moves. What is joined back is one row per cluster,
+    checked and sent to all tasks, so a cluster of a third of the rows is not moved into one.
     """
     counts = df.filter(F.col(label).isNotNull()).groupBy(cluster, label).agg(F.count("*").alias("_n"))
     common = counts.groupBy(cluster).agg(
         F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias("cluster_label")
     )
-    return df.join(common, cluster, "left").withColumn(
+    few = df.sparkSession.createDataFrame(few_rows(common), common.schema)
+    return df.join(F.broadcast(few), cluster, "left").withColumn(
         "label_or_cluster", F.coalesce(F.col(label), F.col("cluster_label"))
     )
 

@@ -34,6 +34,10 @@ def query(run: Query) -> Query:
     return run
 
 
+def _rounded_scores(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(c, 9) for c in fixed.CLASSES})
+
+
 # --- text features -------------------------------------------------------------------------
 
 
@@ -130,15 +134,14 @@ def article_kind(spark, folder):
 @query
 def article_columns(spark, folder):
     """Hash, time, title, text and scores of all scored pages; the text as its length and hash."""
-    raw = articles.strip_prefix(rendered.raw_pages(spark, folder).withColumn(
-        "revision_id", F.col("`revision.id`").cast("long")
-    ))
+    raw = articles.strip_prefix(rendered.raw_pages(spark, folder).withColumns({
+        "revision_id": F.col("`revision.id`").cast("long"),
+        "n_chars": F.char_length("`revision.text`"),
+        "revision.text": F.sha1("`revision.text`"),
+    }))
     joined = scoring.page_score_join(raw, rendered.scores(spark, folder))
-    chosen = articles.article_columns(joined, scores=True, revision=True)
-    return chosen.withColumns({
-        "n_chars": F.char_length("text"), "text": F.sha1("text"),
-        **{c: F.round(c, 9) for c in fixed.CLASSES},
-    })
+    chosen = articles.article_columns(joined, scores=True, revision=True, keys=("n_chars",))
+    return _rounded_scores(chosen)
 
 
 @query
@@ -193,10 +196,6 @@ def _features(spark, folder) -> DataFrame:
     return features.feature_table(kept, scores=False, keys=KEYS)
 
 
-def _rounded_scores(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 9) for c in fixed.CLASSES})
-
-
 @query
 def feature_table(spark, folder):
     kept = articles.filter_articles(rendered.revised(spark, folder))

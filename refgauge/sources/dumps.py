@@ -20,38 +20,48 @@ PAGE_SCHEMA = """
         comment: string, model: string, format: string,
         text: struct<_VALUE: string>, sha1: string>
 """
+OPEN, CLOSE = "<page>", "</page>"
+LINES = {"lineSep": CLOSE}
+PARSING = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false"}
+DUMP_FILES = "*.xml*"
 
 
-def read_pages(spark: SparkSession, paths: str | Sequence[str], schema: str = PAGE_SCHEMA) -> DataFrame:
-    """One row per `<page>` of the dumps, all strings, under dotted names, with its `dump`.
+def read_pages(
+    spark: SparkSession, paths: str | Sequence[str], schema: str = PAGE_SCHEMA, files: str = DUMP_FILES
+) -> DataFrame:
+    """One row per `<page>` of the dumps, all strings, under dotted names, with its `dump` file."""
+    lines = spark.read.options(**LINES, pathGlobFilter=files)
+    return parsed(lines.text([paths] if isinstance(paths, str) else list(paths)), schema)
 
-    The schema is given, so the dumps are read once; plain files and bzip2 files are split.
+
+def parsed(lines: DataFrame, schema: str = PAGE_SCHEMA) -> DataFrame:
+    """Pages out of text cut at each `</page>`.
+
+    Text is cut so because one task would read a whole file of the XML source, however large,
+    while text is split at any block, in bzip2 files as well. Inside a page that tag cannot
+    occur: markup in page text is escaped.
     """
-    nested = (
-        spark.read.format("xml")
-        .option("rowTag", "page")
-        .option("ignoreNamespace", "true")
-        .option("ignoreSurroundingSpaces", "false")
-        .schema(schema)
-        .load([paths] if isinstance(paths, str) else list(paths))
+    start = F.instr("value", OPEN)
+    page = F.concat(F.substr("value", start), F.lit(CLOSE))
+    rows = lines.filter(start > 0).select(
+        F.from_xml(page, schema, PARSING).alias("page"), F.col("_metadata.file_name").alias("dump")
     )
-    return nested.select(*flat_columns(nested.schema), F.col("_metadata.file_name").alias("dump"))
+    return rows.select(*flat_columns(rows.schema["page"].dataType, "page"), "dump")
 
 
-def flat_columns(schema: T.StructType) -> list[Column]:
+def flat_columns(schema: T.StructType, root: str) -> list[Column]:
     """Leaf elements as columns named by their path; attributes are left out, blanks are NULL."""
     return [
-        F.nullif(F.btrim(value.cast("string"), F.lit(fixed.SPACES)), F.lit("")).alias(name)
-        for name, value in _leaves(schema)
+        F.nullif(F.btrim(F.col(value).cast("string"), F.lit(fixed.SPACES)), F.lit("")).alias(name)
+        for name, value in _leaves(schema, root)
     ]
 
 
-def _leaves(schema: T.StructType, path: tuple[str, ...] = ()) -> Iterator[tuple[str, Column]]:
+def _leaves(schema: T.StructType, root: str, path: tuple[str, ...] = ()) -> Iterator[tuple[str, str]]:
     for field in schema:
         here = (*path, field.name)
         if isinstance(field.dataType, T.StructType):
-            yield from _leaves(field.dataType, here)
-        elif field.name == "_VALUE":
-            yield ".".join(path), F.col(".".join(f"`{p}`" for p in here))
-        elif not field.name.startswith("_"):
-            yield ".".join(here), F.col(".".join(f"`{p}`" for p in here))
+            yield from _leaves(field.dataType, root, here)
+        elif field.name == "_VALUE" or not field.name.startswith("_"):
+            name = path if field.name == "_VALUE" else here
+            yield ".".join(name), ".".join([root, *(f"`{p}`" for p in here)])

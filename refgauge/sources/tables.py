@@ -21,22 +21,25 @@ def raw_name(dump: Column) -> Column:
     return F.concat(F.replace(dump, F.lit("."), F.lit("_")), F.lit(RAW_SUFFIX))
 
 
-def write_raw_pages(df: DataFrame, path: str, dump: str = "dump") -> None:
-    """Raw pages as CSV, a folder `file=<raw name>` for each dump file.
+def write_raw_pages(df: DataFrame, path: str, dump: str = "dump", form: str = "csv") -> None:
+    """Raw pages, a folder `file=<raw name>` for each dump file.
 
-    Rows stay in the tasks they are in, so a dump of any size is written by many tasks.
+    Rows stay in the tasks they are in, so a dump of any size is written by many tasks. CSV is
+    for exchange; Parquet can be split when read, and read by column.
     """
-    df.withColumn("file", raw_name(F.col(dump))).drop(dump).write.partitionBy("file").options(**CSV_OUT).csv(path)
+    named = df.withColumn("file", raw_name(F.col(dump))).drop(dump)
+    named.write.partitionBy("file").format(form).options(**(CSV_OUT if form == "csv" else {})).save(path)
 
 
 def read_raw_pages(
-    spark: SparkSession, path: str, schema: str, pattern: str = "*" + RAW_SUFFIX
+    spark: SparkSession, path: str, schema: str, pattern: str = "*" + RAW_SUFFIX, form: str = "csv"
 ) -> DataFrame:
     """Raw pages of all tables whose name fits the pattern, with that name in `file`."""
     return (
-        spark.read.schema(f"{schema}, `file` string")
-        .options(**CSV, basePath=path)
-        .csv(f"{path}/file={pattern}")
+        spark.read.format(form)
+        .schema(f"{schema}, `file` string")
+        .options(basePath=path, **(CSV if form == "csv" else {}))
+        .load(f"{path}/file={pattern}")
     )
 
 
