@@ -8,7 +8,6 @@ walks those in a loop and the others by recursion.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -118,38 +117,19 @@ def n_paragraphs(text: Column) -> Column:
     """
     steps = (
         # blocks that stand alone between blank lines
-        (r"\n(?<!\n\n)\n++(?:\{\{[^}]*+\}\}|\[\[[^\]]*+\]\]|={1,7}.*={1,7})\n\n++", _holds("\n\n")),
+        r"\n(?<!\n\n)\n++(?:\{\{[^}]*+\}\}|\[\[[^\]]*+\]\]|={1,7}.*={1,7})\n\n++",
         # everything from these sections on
-        (r"(?s)==References==.*+", _holds("==References==")),
-        (r"(?s)==External [lL]inks==.*+", _holds("==External ")),
-        (TEMPLATE_BLOCK, _holds("}}\n")),
-        (TEMPLATE_TAIL, _closes("}}")),
-        (r"\[\[[^\]]*+\]\]\n++", _holds("]]\n")),
-        (r"\[\[[^\]]*+\]\]$", _closes("]]")),
+        r"(?s)==References==.*+",
+        r"(?s)==External [lL]inks==.*+",
+        TEMPLATE_BLOCK,
+        TEMPLATE_TAIL,
+        r"\[\[[^\]]*+\]\]\n++",
+        r"\[\[[^\]]*+\]\]$",
     )
-    prose = reduce(lambda c, step: _blanked(c, *step), steps, text)
+    prose = reduce(lambda c, pattern: F.regexp_replace(c, pattern, "\n\n"), steps, text)
     return F.size(F.array_remove(F.split(prose, r"\n\n+"), "")) - 1
 
 
-def _holds(needle: str) -> Callable[[Column], Column]:
-    return lambda c: F.contains(c, F.lit(needle))
-
-
-def _closes(needle: str) -> Callable[[Column], Column]:
-    """The needle stands at the end, or before a last line end of one or two characters."""
-    return lambda c: F.contains(F.right(c, F.lit(len(needle) + 2)), F.lit(needle))
-
-
-def _blanked(c: Column, pattern: str, possible: Callable[[Column], Column]) -> Column:
-    """Matches replaced by a blank line; the regex is skipped where none is possible.
-
-    The value is named by a lambda, so that the chain before it is computed once per step.
-    """
-    return F.transform(
-        F.array(c), lambda x: F.when(possible(x), F.regexp_replace(x, pattern, "\n\n")).otherwise(x)
-    )[0]
-
-
 def n_paragraphs_v1(text: Column) -> Column:
     """Blank lines left once marked-up blocks between blank lines are cut out."""
     blocks = r"\n\n\{\{.*\}\}\n\n|\n\n\[\[.*\]\]\n\n|\n\n={1,7}.*={1,7}\n\n"

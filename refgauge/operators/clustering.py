@@ -55,6 +55,11 @@ def scaled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return Pipeline(stages=scaling(features)).fit(df).transform(df)
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """A stored or kept table in fewer pieces, if they hold few rows; for fits, which run many jobs."""
+    return df.coalesce(max(1, -(-df.count() // ROWS_PER_TASK)))
+
+
 def kmeans(k: int, seed: int = KMEANS_SEED, vectors: str = SCALED) -> KMeans:
     return KMeans(featuresCol=vectors, predictionCol=CLUSTER, k=k, seed=seed)
 
@@ -214,7 +219,7 @@ def cluster_label(df: DataFrame, label: str, cluster: str = CLUSTER) -> DataFram
 
 
 def k_sweep(
-    df: DataFrame, features: Sequence[str], ks: Iterable[int] = SWEEP, parallelism: int = 4
+    df: DataFrame, features: Sequence[str], ks: Iterable[int] = SWEEP, parallelism: int = 8
 ) -> DataFrame:
     """Rows (algorithm, k, cost, silhouette, best): both algorithms for each k.
 
@@ -224,7 +229,7 @@ def k_sweep(
     algorithm.
     """
     kept = scaled(df, features).select(RAW, SCALED).persist(StorageLevel.MEMORY_AND_DISK)
-    points = kept.coalesce(max(1, -(-kept.count() // ROWS_PER_TASK)))
+    points = packed(kept)
 
     def judged(task) -> tuple:
         name, k = task

@@ -20,6 +20,11 @@ def predicted_class(df: DataFrame) -> DataFrame:
     return df.withColumn("predicted_class", scores.predicted_class())
 
 
+def cluster_report(df: DataFrame, cluster: str = "prediction") -> DataFrame:
+    """What the cluster of a page says about it, for a model of three clusters."""
+    return df.withColumn("cluster_note", scores.lookup(F.col(cluster), fixed.CLUSTER_SENTENCES))
+
+
 def article_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per page of a tagged feature table.
 

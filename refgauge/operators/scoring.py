@@ -54,8 +54,8 @@ def chunked_scores(
     `dump` names the column of the dump file, within which the chunks start anew. Pass narrow
     rows here and join texts on afterwards.
     """
-    found = score_left_join(revisions, scores)
-    placed = with_position(found, order_by, within=dump)
+    # Numbered before the join: the ranges are sampled, and a scan is cheap to go through twice.
+    placed = score_left_join(with_position(revisions, order_by, within=dump), scores)
     keys = [*([dump] if dump else []), "_chunk"]
     placed = placed.withColumn("_chunk", F.floor(F.col("position") / F.lit(chunk)))
     # A chunk never holds more than `chunk` rows, however the input is distributed.

@@ -227,14 +227,21 @@ def attribute(tag: str, name: str) -> str:
 POINTS = """
 points AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS point FROM embeddings),
 parts AS (SELECT vec_id, label, unnest(point) AS x, unnest(range(1, len(point) + 1)) AS dim FROM points)"""
-NEAREST = f"""{POINTS},
-centers AS (SELECT label, dim, avg(x) AS c FROM parts GROUP BY label, dim),
-costs AS (SELECT vec_id, centers.label, sum((x - c) * (x - c)) AS cost
-    FROM parts JOIN centers USING (dim) GROUP BY vec_id, centers.label),
-numbered AS (SELECT label, (row_number() OVER (ORDER BY label) - 1)::INT AS prediction
-    FROM (SELECT DISTINCT label FROM embeddings)),
-nearest AS (SELECT vec_id, prediction, cost FROM costs JOIN numbered USING (label)
+
+
+def nearest(group: str) -> str:
+    """CTEs ending in `nearest`: the closest of the group means; clusters in group order."""
+    return f"""{POINTS},
+centers AS (SELECT {group} AS part, dim, avg(x) AS c FROM parts GROUP BY ALL),
+costs AS (SELECT vec_id, part, sum((x - c) * (x - c)) AS cost
+    FROM parts JOIN centers USING (dim) GROUP BY vec_id, part),
+numbered AS (SELECT part, (row_number() OVER (ORDER BY part) - 1)::INT AS prediction
+    FROM (SELECT DISTINCT part FROM centers)),
+nearest AS (SELECT vec_id, prediction, cost FROM costs JOIN numbered USING (part)
     QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY cost, prediction) = 1)"""
+
+
+NEAREST = nearest("label")
 SILHOUETTE = f"""{POINTS},
 means AS (SELECT a.vec_id, a.label AS own, b.label AS other,
         sum(list_distance(a.point, b.point) ** 2) AS total, count(*) AS n
@@ -258,8 +265,8 @@ mixed AS (SELECT page_id, c.source AS source, c.n AS n,
 
 
 def sentence(key: str, table: dict) -> str:
-    quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    return f"CASE {key} " + " ".join(f"WHEN '{k}' THEN {quoted(v)}" for k, v in table.items()) + " END"
+    literal = lambda x: str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+    return f"CASE {key} " + " ".join(f"WHEN {literal(k)} THEN {literal(v)}" for k, v in table.items()) + " END"
 
 
 PREDICTED = (
@@ -374,6 +381,8 @@ ORACLES: dict[str, str] = {
         for f in fixed.FEATURES
     ) + " FROM features",
     "nearest_center": f"WITH {NEAREST} SELECT vec_id, prediction, round(cost, 6) AS cost FROM nearest",
+    "cluster_report": f"""WITH {nearest("label % 3")} SELECT vec_id, prediction,
+        {sentence("prediction", fixed.CLUSTER_SENTENCES)} AS cluster_note FROM nearest""",
     "cluster_label": f"""WITH {NEAREST},
         known AS (SELECT vec_id, prediction, quality FROM nearest LEFT JOIN labels ON doc_id = vec_id),
         common AS (SELECT prediction, quality AS cluster_label FROM known WHERE quality IS NOT NULL

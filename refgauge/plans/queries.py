@@ -344,7 +344,7 @@ def article_report(spark, folder):
 
 def _stored_features(spark, folder) -> DataFrame:
     """The feature table from files: fits pass over it many times, over the texts just once."""
-    return written(_features(spark, folder), "features")
+    return clustering.packed(written(_features(spark, folder), "features"))
 
 
 def _scaled(spark, folder) -> DataFrame:
@@ -407,6 +407,15 @@ def nearest_center(spark, folder):
     )
 
 
+@query
+def cluster_report(spark, folder):
+    """Each embedding, the closest of three group centers, and the sentence of that cluster."""
+    points = _points(spark, folder)
+    centers = clustering.group_centers(points.withColumn("part", F.col("label") % 3), "part", "point")
+    placed = clustering.nearest_center(points, centers, "point")
+    return report.cluster_report(placed).select("vec_id", clustering.CLUSTER, "cluster_note")
+
+
 @query
 def cluster_label(spark, folder):
     """Rows without a quality label take the most common one of their nearest center."""

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from refgauge import fixed
 from refgauge.sources.tables import spread
 
-TITLE_KINDS = ("Template:", "Category:", "File:", "Wikipedia:", "Portal:", "Help:")
 FIRST_REVISION = 1_000_000
 
 
@@ -43,46 +42,54 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def title() -> Column:
-    kind = F.col("doc_id") % 23
-    prefix = reduce(lambda c, i: c.when(kind == i, TITLE_KINDS[i]), range(6), F).otherwise("")
-    return F.concat(prefix, F.lit("Article "), F.col("doc_id").cast("string"))
+    return F.expr(r"""
+        concat(
+            CASE doc_id % 23 WHEN 0 THEN 'Template:' WHEN 1 THEN 'Category:' WHEN 2 THEN 'File:'
+                WHEN 3 THEN 'Wikipedia:' WHEN 4 THEN 'Portal:' WHEN 5 THEN 'Help:' ELSE '' END,
+            'Article ', doc_id)""")
 
 
 def text() -> Column:
-    doc = F.col("doc_id")
-    head = (
-        F.when(doc % 29 == 7, "#REDIRECT [[Other]] ")
-        .when(doc % 31 == 3, "{{disambiguation}} ")
-        .otherwise("")
-    )
-    tail = (
-        F.when(doc % 3 == 0, "\n\n==References==\ntail")
-        .when(doc % 3 == 1, "\n\n==External links==\n[http://a.b c]")
-        .otherwise("")
-    )
-
-    def line(x: Column, i: Column) -> Column:
-        w = F.substring_index(x, " ", 1)
-        bars = F.concat(*[part for j in range(8) for part in (F.lit("[" if j == 0 else "|"), w)], F.lit("]"))
-        forms = [
-            F.concat(F.lit("\n\n=="), w, F.lit("==\n\n")),
-            F.concat(F.lit("\n\n==="), w, F.lit("===\n\n")),
-            F.concat(F.lit("[["), w, F.lit("|"), w, F.lit("]] "), x),
-            F.concat(F.lit("[["), w, F.lit("]] "), x),
-            F.concat(x, F.lit("{{cite book|title="), w, F.lit("}}")),
-            F.concat(x, F.lit("{{Cite journal|title="), w, F.lit("}}")),
-            F.concat(x, F.lit("{{cite web|url=http://ex.org/"), w, F.lit("}}")),
-            F.concat(x, F.lit("{{cite news|title="), w, F.lit("}}")),
-            F.concat(x, F.lit("<ref>"), w, F.lit("</ref>{{cn}}")),
-            F.concat(x, F.lit("[https://ex.org "), w, F.lit("]")),
-            bars,
-            F.concat(F.lit("\n\n"), x),
-        ]
-        place = (doc + i) % 13
-        return reduce(lambda c, j: c.when(place == j, forms[j]), range(12), F).otherwise(x)
-
-    lines = F.transform(F.split("text", "\n"), line)
-    return F.concat(head, F.array_join(lines, "\n"), tail)
+    # The first word of a line is what its heading, link or citation names.
+    word = "substring_index(x, ' ', 1)"
+    return F.expr(rf"""
+        concat(
+            CASE WHEN doc_id % 29 = 7 THEN '#REDIRECT [[Other]] '
+                WHEN doc_id % 31 = 3 THEN '{{{{disambiguation}}}} ' ELSE '' END,
+            array_join(transform(split(text, '
+'), (x, i) -> CASE (doc_id + i) % 13
+                WHEN 0 THEN concat('
+
+==', {word}, '==
+
+')
+                WHEN 1 THEN concat('
+
+===', {word}, '===
+
+')
+                WHEN 2 THEN concat('[[', {word}, '|', {word}, ']] ', x)
+                WHEN 3 THEN concat('[[', {word}, ']] ', x)
+                WHEN 4 THEN concat(x, '{{{{cite book|title=', {word}, '}}}}')
+                WHEN 5 THEN concat(x, '{{{{Cite journal|title=', {word}, '}}}}')
+                WHEN 6 THEN concat(x, '{{{{cite web|url=http://ex.org/', {word}, '}}}}')
+                WHEN 7 THEN concat(x, '{{{{cite news|title=', {word}, '}}}}')
+                WHEN 8 THEN concat(x, '<ref>', {word}, '</ref>{{{{cn}}}}')
+                WHEN 9 THEN concat(x, '[https://ex.org ', {word}, ']')
+                WHEN 10 THEN concat('[', array_join(array_repeat({word}, 8), '|'), ']')
+                WHEN 11 THEN concat('
+
+', x)
+                ELSE x END), '
+'),
+            CASE doc_id % 3 WHEN 0 THEN '
+
+==References==
+tail'
+                WHEN 1 THEN '
+
+==External links==
+[http://a.b c]' ELSE '' END)""")
 
 
 def categorized(spark: SparkSession, folder: str) -> DataFrame:

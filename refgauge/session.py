@@ -10,9 +10,12 @@ def local_session(cores: int | str = 8, memory: str = "16g") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("refgauge")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
+        # Noting the source line of every column takes longer than building the plan.
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

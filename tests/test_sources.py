@@ -96,4 +96,4 @@ def test_large_inputs_are_not_shuffled(spark):
 
 def test_rendered_text_is_computed_once(spark, sf):
     plan = articles.filter_articles(rendered.articles(spark, sf))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("array_join") == 1
+    assert plan.count("array_repeat") == 1
