@@ -27,18 +27,30 @@ _LINE = rf"{_BARE}(?:\{{\{{(?>.*\}}\}}){_BARE})?+{_END}"
 # A line of that kind which may also be the last one of its template.
 _EITHER = rf"{_BARE}\{{\{{.*\}}\}}{_BARE}\}}\}}"
 
+# What the inside of a template begins with: its end, or a pair of braces closed on its line.
+# Tested first, so that braces which close nowhere cost one look ahead.
+_CLOSES = r"(?=[^{}]*+(?:\}\}|\{\{.*\}\}))"
+
 # A template followed by a newline, up to the latest line on which it can close: either on
 # the first line that cannot belong to its inside, or on the last ambiguous line before that.
 TEMPLATE_BLOCK = (
-    rf"\{{\{{(?:(?:{_LINE})*+{_BARE}\}}\}}\n++"
+    rf"\{{\{{{_CLOSES}(?:(?:{_LINE})*+{_BARE}\}}\}}\n++"
     rf"|(?:(?:(?!{_EITHER}\n){_LINE})*+{_EITHER}\n)++\n*+)"
 )
 # A template that closes at the end of the text (or before its final line end).
 TEMPLATE_TAIL = (
-    rf"\{{\{{(?:{_LINE}(?!\n?\z))*+(?:{_BARE}|{_BARE}\{{\{{.*\}}\}}{_BARE})\}}\}}$"
+    rf"\{{\{{{_CLOSES}(?:{_LINE}(?!\n?\z))*+(?:{_BARE}|{_BARE}\{{\{{.*\}}\}}{_BARE})\}}\}}$"
 )
 
 
+def _link_before(end: str) -> str:
+    """A double-bracketed link before `end`, and in group 1 all that lies between the last
+    match and this one. Links that are not closed are passed over in one go, not bracket by bracket.
+    """
+    other = rf"[^\[]++|\[(?!\[)|\[\[[^\]]*+(?!\]\]{end})"
+    return rf"\G((?:{other})*+)\[\[[^\]]*+\]\]{end}"
+
+
 def _count(text: Column, pattern: str, needle: str | None = None) -> Column:
     """Matches of `pattern`; texts without `needle`, which every match holds, skip the regex."""
     matches = F.regexp_count(text, F.lit(pattern))
@@ -117,16 +129,16 @@ def n_paragraphs(text: Column) -> Column:
     """
     steps = (
         # blocks that stand alone between blank lines
-        r"\n(?<!\n\n)\n++(?:\{\{[^}]*+\}\}|\[\[[^\]]*+\]\]|={1,7}.*={1,7})\n\n++",
+        (r"\n(?<!\n\n)\n++(?:\{\{[^}]*+\}\}|\[\[[^\]]*+\]\]|={1,7}.*={1,7})\n\n++", "\n\n"),
         # everything from these sections on
-        r"(?s)==References==.*+",
-        r"(?s)==External [lL]inks==.*+",
-        TEMPLATE_BLOCK,
-        TEMPLATE_TAIL,
-        r"\[\[[^\]]*+\]\]\n++",
-        r"\[\[[^\]]*+\]\]$",
+        (r"(?s)==References==.*+", "\n\n"),
+        (r"(?s)==External [lL]inks==.*+", "\n\n"),
+        (TEMPLATE_BLOCK, "\n\n"),
+        (TEMPLATE_TAIL, "\n\n"),
+        (_link_before(r"\n++"), "$1\n\n"),
+        (_link_before("$"), "$1\n\n"),
     )
-    prose = reduce(lambda c, pattern: F.regexp_replace(c, pattern, "\n\n"), steps, text)
+    prose = reduce(lambda c, step: F.regexp_replace(c, *step), steps, text)
     return F.size(F.array_remove(F.split(prose, r"\n\n+"), "")) - 1
 
 

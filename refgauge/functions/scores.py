@@ -15,11 +15,19 @@ _RESPONSE = (
 )
 
 
+def answers(response: Column, wiki: str) -> Column:
+    """Map from revision id, as text, to its part of a score response."""
+    return F.from_json(response, _RESPONSE)[wiki]["scores"]
+
+
+def probabilities(answer: Column) -> Column:
+    """Class probabilities in the part of a revision; NULL if it has none."""
+    return answer["wp10"]["score"]["probability"]
+
+
 def score_map(response: Column, wiki: str, revision_id: Column) -> Column:
     """Class probabilities of a revision in a score response; NULL if it has none."""
-    parsed = F.from_json(response, _RESPONSE)
-    entry = parsed[wiki]["scores"][revision_id.cast("string")]
-    return entry["wp10"]["score"]["probability"]
+    return probabilities(answers(response, wiki)[revision_id.cast("string")])
 
 
 def class_columns(scores: Column) -> list[Column]:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refgauge import fixed
+from refgauge.functions import scores
 from refgauge.operators.positions import with_position
 
 
@@ -37,6 +38,13 @@ def _join(pages, scores, page_key, score_key, how):
     return pages.join(other, F.col(page_key) == F.col("_score_key"), how).drop("_score_key")
 
 
+def unpack_responses(responses: DataFrame, wiki: str, response: str = "response") -> DataFrame:
+    """(revision_id, class scores) of every revision that the score responses speak of."""
+    each = responses.select(F.explode(scores.answers(F.col(response), wiki)).alias("revision_id", "answer"))
+    found = scores.probabilities(F.col("answer"))
+    return each.select(F.col("revision_id").cast("long"), *scores.class_columns(found))
+
+
 def union_scores(parts: Sequence[DataFrame]) -> DataFrame:
     """Score tables on top of each other, matched by column name, duplicates kept."""
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -308,11 +308,8 @@ def weighted_score(spark, folder):
 
 @query
 def score_json(spark, folder):
-    found = rendered.score_responses(spark, folder).select(
-        "revision_id",
-        scores.score_map(F.col("response"), "enwiki", F.col("revision_id")).alias("scores"),
-    )
-    return _rounded_scores(found.select("revision_id", *scores.class_columns(F.col("scores"))))
+    responses = rendered.score_responses(spark, folder)
+    return _rounded_scores(scoring.unpack_responses(responses, "enwiki"))
 
 
 @query

@@ -145,13 +145,16 @@ def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def score_responses(spark: SparkSession, folder: str) -> DataFrame:
-    """(revision_id, response): scores as the JSON text a score service answers with."""
+    """(response,): scores as the JSON a score service answers with, for some 50 revisions each."""
     probability = F.create_map(*[x for c in fixed.CLASSES for x in (F.lit(c), F.col(c))])
     score = F.struct(probability.alias("probability")).alias("score")
     models = F.struct(F.struct(score).alias("wp10"))
-    by_revision = F.create_map(F.col("revision_id").cast("string"), models)
-    body = F.create_map(F.lit("enwiki"), F.struct(by_revision.alias("scores")))
-    return scores(spark, folder).select("revision_id", F.to_json(body).alias("response"))
+    entry = F.struct(F.col("revision_id").cast("string"), models)
+    request = F.floor(F.col("revision_id") / fixed.SCORE_CHUNK)
+    asked = scores(spark, folder).groupBy(request).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("scores")
+    )
+    return asked.select(F.to_json(F.create_map(F.lit("enwiki"), F.struct("scores"))).alias("response"))
 
 
 def edit_pages(spark: SparkSession, folder: str) -> DataFrame:

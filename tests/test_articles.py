@@ -96,6 +96,9 @@ def test_score_response(spark):
     total = found.select(scores.weighted_score_of_map(F.col("m"))).collect()
     assert [r[0] for r in total] == [.25 * 4 + .75 * 6, None, None, None]
     assert found.select(*scores.class_columns(F.col("m"))).first()["FA"] == .75
+    unpacked = scoring.unpack_responses(df.withColumnRenamed("r", "response"), "enwiki").collect()
+    assert [(r.revision_id, r.B, r.FA, r.C) for r in unpacked] == [
+        (55, .25, .75, None), (55, .25, .75, None), (56, None, None, None)]
 
 
 def test_joins_multiply_and_keep(spark):
