@@ -252,10 +252,20 @@ def k_sweep(
     return table.withColumn("best", F.col("k") == best)
 
 
-def pca_points(df: DataFrame, vectors: str, keys: Sequence[str], n: int = 2) -> DataFrame:
-    """First principal components of the vectors, next to the keys of their rows."""
+def pca_points(
+    df: DataFrame, vectors: str, keys: Sequence[str], n: int = 2, upright: bool = False
+) -> DataFrame:
+    """First principal components of the vectors, next to the keys of their rows.
+
+    The direction of a component is arbitrary. `upright` turns each so that its largest loading
+    is positive, which makes results the same wherever they are computed.
+    """
     model = PCA(k=n, inputCol=vectors, outputCol="pca").fit(df)
     point = vector_to_array("pca")
+    signs = [1.0] * n
+    if upright:
+        loadings = model.pc.toArray()
+        signs = [1.0 if max(axis, key=abs) >= 0 else -1.0 for axis in loadings.T]
     return model.transform(df).select(
-        *keys, *[F.get(point, F.lit(i)).alias(f"pc{i + 1}") for i in range(n)]
+        *keys, *[(F.get(point, F.lit(i)) * F.lit(signs[i])).alias(f"pc{i + 1}") for i in range(n)]
     )

@@ -274,6 +274,50 @@ PREDICTED = (
     + " ".join(f"WHEN \"{c}\" THEN '{c}'" for c in fixed.CLASSES) + " END"
 )
 
+SCALED = "scaled AS (SELECT page_id, " + ", ".join(
+    f"CASE WHEN min({f}) OVER () = max({f}) OVER () THEN 0.5::DOUBLE "
+    f"ELSE ({f} - min({f}) OVER ()) / (max({f}) OVER () - min({f}) OVER ()) END AS {f}"
+    for f in fixed.FEATURES
+) + " FROM features)"
+
+
+def components(source: str, digits: int) -> str:
+    """First two principal components: a covariance matrix squared until one direction is left.
+
+    Each matrix is a list of rows in a single row; the second one lacks the first direction.
+    """
+    d = len(fixed.FEATURES)
+    squared = "list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c)))"
+    trace = f"list_sum(list_transform(range(1, {d + 1}), lambda i: m[i][i]))"
+    widest = f"list_sort(list_transform(range(1, {d + 1}), lambda i: [m[i][i], i]), 'DESC')[1][2]::INT"
+
+    def direction(n: int, matrix: str) -> str:
+        return f"""
+    powers{n} AS (SELECT 0 AS step, m FROM {matrix} UNION ALL
+        SELECT step + 1, list_transform({squared}, lambda r: list_transform(r, lambda x: x / (t * t)))
+        FROM (SELECT step, m, {trace} AS t FROM powers{n}) WHERE step < 40),
+    lines{n} AS (SELECT m[{widest}] AS r FROM powers{n} WHERE step = 40),
+    units{n} AS (SELECT list_transform(r, lambda x: x / sqrt(list_dot_product(r, r))) AS u FROM lines{n}),
+    axis{n} AS (SELECT list_transform(u, lambda x: x * CASE WHEN
+        list_max(u) >= -list_min(u) THEN 1 ELSE -1 END) AS v FROM units{n})"""
+
+    return f"""
+    points AS (SELECT page_id, [{", ".join(fixed.FEATURES)}] AS p FROM {source}),
+    cells AS (SELECT page_id, unnest(p) AS x, unnest(range(1, {d + 1})) AS i FROM points),
+    centered AS (SELECT page_id, i, x - avg(x) OVER (PARTITION BY i) AS x FROM cells),
+    products AS (SELECT a.i AS i, b.i AS j, sum(a.x * b.x) / (count(*) - 1) AS c
+        FROM centered a JOIN centered b USING (page_id) GROUP BY a.i, b.i),
+    rows AS (SELECT i, list(c ORDER BY j) AS r FROM products GROUP BY i),
+    matrix1 AS (SELECT list(r ORDER BY i) AS m FROM rows),{direction(1, "matrix1")},
+    strength AS (SELECT m, v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS w
+        FROM matrix1, axis1),
+    matrix2 AS (SELECT list_transform(range(1, {d + 1}), lambda i: list_transform(range(1, {d + 1}),
+        lambda j: m[i][j] - w * v[i] * v[j])) AS m FROM strength),{direction(2, "matrix2")}
+    SELECT page_id, round(list_dot_product(p, axis1.v), {digits}) + 0.0::DOUBLE AS pc1,
+        round(list_dot_product(p, axis2.v), {digits}) + 0.0::DOUBLE AS pc2
+    FROM points, axis1, axis2"""
+
+
 ORACLES: dict[str, str] = {
     "n_words": over_articles({"n_words": WORDS}),
     "n_unique_words": over_articles({"words_count": WORDS}),
@@ -375,11 +419,10 @@ ORACLES: dict[str, str] = {
             CASE WHEN kind IS NULL THEN class END AS predicted_class,
             CASE WHEN kind IS NULL THEN {sentence("class", fixed.CLASS_SENTENCES)} END AS verdict
         FROM kinds JOIN lines USING (page_id) LEFT JOIN classes USING (page_id)""",
-    "minmax_scaled": f"WITH {FEATURES} SELECT page_id, " + ", ".join(
-        f"round(CASE WHEN min({f}) OVER () = max({f}) OVER () THEN 0.5::DOUBLE "
-        f"ELSE ({f} - min({f}) OVER ()) / (max({f}) OVER () - min({f}) OVER ()) END, 9) AS {f}"
-        for f in fixed.FEATURES
-    ) + " FROM features",
+    "minmax_scaled": f"WITH {FEATURES}, {SCALED} SELECT page_id, "
+        + ", ".join(f"round({f}, 9) AS {f}" for f in fixed.FEATURES) + " FROM scaled",
+    "pca_scaled": f"WITH RECURSIVE {FEATURES}, {SCALED}, {components('scaled', 6)}",
+    "pca_raw": f"WITH RECURSIVE {FEATURES}, {components('features', -3)}",
     "nearest_center": f"WITH {NEAREST} SELECT vec_id, prediction, round(cost, 6) AS cost FROM nearest",
     "cluster_report": f"""WITH {nearest("label % 3")} SELECT vec_id, prediction,
         {sentence("prediction", fixed.CLUSTER_SENTENCES)} AS cluster_note FROM nearest""",

@@ -442,14 +442,22 @@ def silhouette_scale(spark, folder):
     return points.agg(F.count("*").alias("n"), F.lit(round(value, 6)).alias("silhouette"))
 
 
+def _rounded_points(df: DataFrame, digits: int) -> DataFrame:
+    # Adding zero turns a rounded -0.0 into 0.0.
+    return df.select("page_id", *[(F.round(c, digits) + F.lit(0.0)).alias(c) for c in ("pc1", "pc2")])
+
+
 @query
 def pca_scaled(spark, folder):
-    return clustering.pca_points(_scaled(spark, folder), clustering.SCALED, KEYS)
+    points = clustering.pca_points(_scaled(spark, folder), clustering.SCALED, KEYS, upright=True)
+    return _rounded_points(points, 6)
 
 
 @query
 def pca_raw(spark, folder):
-    return clustering.pca_points(_scaled(spark, folder), clustering.RAW, KEYS)
+    """Unscaled components reach 1e9, so they are compared to the thousands."""
+    points = clustering.pca_points(_scaled(spark, folder), clustering.RAW, KEYS, upright=True)
+    return _rounded_points(points, -3)
 
 
 @query

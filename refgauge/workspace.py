@@ -9,16 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach: `spark.checkpoint.dir` of the session.
+    """The folder every executor can reach: `spark.checkpoint.dir`, or the context's own setting.
 
-    Only a local session may go without it; it then gets a temporary folder, once.
+    Only a local session may go without either; it then gets a temporary folder, once.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="refgauge-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="refgauge-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

@@ -1,5 +1,6 @@
 """Dumps, tables and models in files."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from refgauge.operators import articles
@@ -82,11 +83,35 @@ def test_csv_keeps_spaces_quotes_and_lines(spark, tmp_path):
 
 def test_work_goes_to_the_shared_folder(spark):
     folder = shared_folder(spark)
-    assert spark.conf.get("spark.checkpoint.dir").rstrip("/") == folder
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or named.rstrip("/") == folder
     assert new_path(spark, "x").startswith(folder) and new_path(spark, "x") != new_path(spark, "x")
     assert written(spark.range(5), "t").count() == 5
 
 
+class Unset:
+    """A session without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_local_sessions_make_their_own_folder():
+    local = Unset("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.folder
+    with pytest.raises(ValueError):
+        shared_folder(Unset("spark://host:7077"))
+
+
 def test_large_inputs_are_not_shuffled(spark):
     n = 2 * spark.sparkContext.defaultParallelism
     assert tables.spread(spark.range(0, 100, 1, n), "id").rdd.getNumPartitions() == n
