@@ -24,17 +24,18 @@ def with_position(
     Rows are range-partitioned and sorted, and numbered within their partition. That table is
     written once, as the ranges come from a sample and must not change between the jobs. The
     offsets are then sums over one row per partition (and `within` value, such as a dump file).
-    Ties are split over partitions by a hash of the row, so a key that fills a third of the
-    table does not fill one task.
+    Ties go by where a row was read, which is written down first, so a key, or a row with its
+    copies, that fills a third of the table is split over partitions and not put into one task.
+    Pass narrow rows: they are written twice.
     """
     spark = df.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = [within] if within else []
-    order = [F.col(c) for c in (*group, *order_by)]
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    read = written(df.withColumn("_read", F.monotonically_increasing_id()), "rows")
+    order = [F.col(c) for c in (*group, *order_by, "_read")]
     ranged = (
-        df.repartitionByRange(partitions, *order, tie)
-        .sortWithinPartitions(*order, tie)
+        read.repartitionByRange(partitions, *order)
+        .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )
     placed = written(ranged, "positions").withColumns({
@@ -47,20 +48,20 @@ def with_position(
         .collect()
     )
     # At most partitions + dump files rows: a range holds several files only where they meet.
-    sizes.sort(key=lambda r: tuple(r[g] for g in group) + (r["_part"],))
+    sizes.sort(key=lambda r: (*((r[g] is not None, r[g]) for g in group), r["_part"]))
     rows, seen = [], {}
     for r in sizes:
         key = tuple(r[g] for g in group)
         before = seen.get(key, 0)
-        rows.append((*key, r["_part"], before - r["_first"]))
+        rows.append((r["_part"], before - r["_first"], *key))
         seen[key] = before + r["_n"]
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in group]
-        + ["_part bigint", "_shift bigint"]
-    )
-    shifts = F.broadcast(spark.createDataFrame(rows, schema))
+    kinds = [f", _group {f.dataType.simpleString()}" for f in df.schema if f.name in group]
+    shifts = spark.createDataFrame(rows, "_of bigint, _shift bigint" + "".join(kinds))
+    same = F.col("_part") == F.col("_of")
+    for g in group:
+        same &= F.col(g).eqNullSafe(F.col("_group"))
     return (
-        placed.join(shifts, [*group, "_part"])
+        placed.join(F.broadcast(shifts), same)
         .withColumn("position", F.col("_row") + F.col("_shift"))
         .select(*df.columns, "position")
     )

@@ -20,10 +20,11 @@ def test_positions_follow_the_order(spark, n, partitions):
 
 
 def test_positions_restart_in_each_file(spark):
-    rows = [(f"f{i % 3}", i) for i in range(200)]
+    files = ("f0", "f1", None)
+    rows = [(files[i % 3], i) for i in range(200)]
     df = spark.createDataFrame(rows, "file string, id bigint")
     found = with_position(df, ["id"], within="file", partitions=8).collect()
-    for f in ("f0", "f1", "f2"):
+    for f in files:
         got = sorted((r.position, r.id) for r in found if r.file == f)
         assert got == list(enumerate(sorted(i for g, i in rows if g == f)))
 
@@ -39,6 +40,14 @@ def test_a_hot_key_is_split(spark):
     assert parts > 1
 
 
+def test_copies_of_a_row_are_split(spark):
+    df = spark.createDataFrame([(7,)] * 2000 + [(i,) for i in range(100)], "id bigint").repartition(4)
+    found = with_position(df, ["id"], partitions=8)
+    assert sorted(r.position for r in found.collect()) == list(range(2100))
+    sizes = [r["count"] for r in found.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 700
+
+
 def test_one_missing_score_blanks_its_chunk(spark):
     revisions = spark.range(205).withColumnRenamed("id", "revision_id")
     scores = revisions.filter("revision_id not in (60, 204)").select(
