@@ -170,7 +170,7 @@ def lower_all(spark, folder):
 @query
 def normalize_title(spark, folder):
     """Titles with untidy spaces, in both written forms."""
-    untidy = rendered.articles(spark, folder).select(
+    untidy = rendered.titles(spark, folder).select(
         "page_id",
         F.concat(F.lit("  "), F.replace("title", F.lit(" "), F.lit("   ")), F.lit(" ")).alias("title"),
     )
@@ -183,7 +183,7 @@ def normalize_title(spark, folder):
 
 @query
 def limit_articles(spark, folder):
-    df = rendered.articles(spark, folder).select("page_id", "title")
+    df = rendered.titles(spark, folder).select("page_id", "title")
     return articles.limit_articles(df, features.DEBUG_ROWS, "page_id")
 
 
@@ -241,13 +241,13 @@ def column_profile(spark, folder):
 
 @query
 def page_score_join(spark, folder):
-    df = rendered.revised(spark, folder).select("page_id", "title", "revision_id")
+    df = rendered.titles(spark, folder)
     return _rounded_scores(scoring.page_score_join(df, rendered.scores(spark, folder)))
 
 
 @query
 def score_left_join(spark, folder):
-    df = rendered.revised(spark, folder).select("page_id", "title", "revision_id")
+    df = rendered.titles(spark, folder)
     return _rounded_scores(scoring.score_left_join(df, rendered.scores(spark, folder)))
 
 

@@ -31,6 +31,14 @@ def articles(spark: SparkSession, folder: str) -> DataFrame:
     return once(docs, page_id=F.col("doc_id"), title=title(), text=text())
 
 
+def titles(spark: SparkSession, folder: str) -> DataFrame:
+    """(page_id, title, revision_id) of the articles; the scan leaves the texts alone."""
+    doc = F.col("doc_id")
+    return table(spark, folder, "documents").select(
+        doc.alias("page_id"), title().alias("title"), revision_of(doc).alias("revision_id")
+    )
+
+
 def once(df: DataFrame, **columns: Column) -> DataFrame:
     """A projection whose columns are computed once per row, however often they are used.
 
