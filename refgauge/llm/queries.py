@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from refgauge.llm import byte_bpe, packing
+from refgauge.llm import byte_bpe, content_sort, packing, repair_shards, secrets
 from refgauge.llm.inputs import table
+from refgauge.workspace import new_path
 
 
 def vocabulary(name: str) -> str:
@@ -14,18 +15,48 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "shards")
+    repair_shards.write(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
+    return repair_shards.digests(repair_shards.blocks(spark, path))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The .json file holds the vocabulary and merges of the rank file."""
     return byte_bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_repair_shards": op1_repair_shards,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op6_content_sort": op6_content_sort,
     "op8_byte_bpe": op8_byte_bpe,
+    "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLES: dict[str, str] = {}
+CONTENT_SORT = r"""
+WITH rows AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+    FROM documents
+), ranked AS (
+    SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n_chars DESC, doc_id) AS keep_id,
+           count(*) OVER (PARTITION BY text_sha256) AS group_size
+    FROM rows
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
+"""
+
+ORACLES: dict[str, str] = {"op6_content_sort": CONTENT_SORT}
