@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from refgauge.llm import byte_bpe, content_sort, packing, repair_shards, secrets
+from refgauge.llm import (
+    byte_bpe,
+    content_sort,
+    html_blocks,
+    line_rules,
+    packing,
+    quality,
+    repair_shards,
+    secrets,
+)
 from refgauge.llm.inputs import table
 from refgauge.workspace import new_path
 
@@ -25,10 +34,23 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extracted(table(spark, sf_dir, "pages"))
+
+
+def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judged(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op7_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.learned(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The .json file holds the vocabulary and merges of the rank file."""
     return byte_bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -41,7 +63,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_repair_shards": op1_repair_shards,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_html_blocks": op3_html_blocks,
+    "op4_line_rules": op4_line_rules,
     "op6_content_sort": op6_content_sort,
+    "op7_subword_quality": op7_subword_quality,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_secret_scan": op10_secret_scan,
 }
