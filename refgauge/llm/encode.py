@@ -31,7 +31,7 @@ class PieceEncoder:
     piece keeps the white space before it. limit: pieces kept in the cache before it is emptied.
     """
 
-    def __init__(self, path: str, word_level: bool, limit: int = 600_000):
+    def __init__(self, path: str, word_level: bool, limit: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
