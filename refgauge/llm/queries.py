@@ -8,6 +8,7 @@ from refgauge.llm import (
     byte_bpe,
     content_sort,
     html_blocks,
+    jaccard_join,
     line_rules,
     packing,
     quality,
@@ -42,6 +43,10 @@ def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judged(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_components(table(spark, sf_dir, "documents"))
+
+
 def op6_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.deduplicated(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_html_blocks": op3_html_blocks,
     "op4_line_rules": op4_line_rules,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_content_sort": op6_content_sort,
     "op7_subword_quality": op7_subword_quality,
     "op8_byte_bpe": op8_byte_bpe,
