@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refgauge.llm.inputs import documents_of
+from refgauge.llm.inputs import documents_of, without
 from refgauge.workspace import written
 
 SALTS = 64
@@ -31,6 +31,10 @@ def without_space(text: Column) -> Column:
     return text
 
 
+def digest(body: Column) -> Column:
+    return F.sha2(F.encode(body, "UTF-8"), 256)
+
+
 def runs(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """A row a document with its digest, and what its run of equal texts amounts to on the first row.
 
@@ -46,7 +50,7 @@ def runs(docs: DataFrame, salts: int = SALTS) -> DataFrame:
         F.col("n_chars").desc(), F.col("doc_id").asc_nulls_last()
     )
     return ordered.select(
-        "doc_id", "n_chars", F.sha2(F.encode("body", "UTF-8"), 256).alias("text_sha256"),
+        "doc_id", "n_chars", digest(F.col("body")).alias("text_sha256"),
         F.when(F.row_number().over(run) == 1, F.count(F.lit(1)).over(run.rowsBetween(
             Window.unboundedPreceding, Window.unboundedFollowing))).alias("in_run"),
     )
@@ -56,17 +60,24 @@ def deduplicated(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of `docs`."""
     rows = written(runs(docs, salts), "runs")
     better = F.struct(
-        (-F.col("n_chars")).alias("longest"), F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("keep_id")
+        (-F.col("n_chars")).alias("longest"), F.col("doc_id").isNull().alias("last"),
+        F.col("doc_id").alias("keep_id"),
     )
     groups = (
         rows.filter("in_run IS NOT NULL").groupBy("text_sha256")
         .agg(F.min(better).alias("best"), F.sum("in_run").alias("group_size"))
         .filter("group_size > 1")
     )
-    best = F.coalesce("best", F.struct((-F.col("n_chars")).alias("longest"), F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("keep_id")))
+    best = F.coalesce("best", better)
     return rows.join(groups, "text_sha256", "left").select(
         "doc_id", best["keep_id"].alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
         (F.col("doc_id").eqNullSafe(best["keep_id"]) & (-F.col("n_chars") == best["longest"])).alias("kept"),
         "text_sha256",
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, that stay."""
+    dropped = deduplicated(docs).filter("NOT kept")
+    return without(docs, dropped, {"text_sha256": digest(without_space(F.coalesce("text", F.lit(""))))})

@@ -44,3 +44,44 @@ def reachable(spark: SparkSession) -> None:
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null ids count as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def bit_table(ids: DataFrame, words: int) -> tuple[DataFrame, Column, Column]:
+    """A bit for each hash of a doc_id in `ids`, `words` rows of 64 at most; a doc_id's word and mask."""
+    hashed = F.xxhash64("doc_id")
+    word = F.pmod(F.shiftrightunsigned(hashed, 6), F.lit(words)).alias("__word")
+    mask = F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 64) as int))")
+    return ids.groupBy(word).agg(F.bit_or(mask).alias("__bits")), word, mask
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, words: int = 1 << 17) -> DataFrame:
+    """The rows of `ids` (doc_id and more columns) with their texts; no other texts are moved.
+
+    Which documents may be wanted is told by a table of bits that has a fixed size and is broadcast;
+    the join after it is exact.
+    """
+    bits, word, mask = bit_table(ids, words)
+    likely = (
+        documents_of(docs).filter("doc_id IS NOT NULL").withColumn("__word", word)
+        .join(F.broadcast(bits), "__word").filter(F.col("__bits").bitwiseAND(mask) != 0).select("doc_id", "text")
+    )
+    return likely.join(ids, "doc_id")
+
+
+def without(docs: DataFrame, dropped: DataFrame, on: dict[str, Column] | None = None, words: int = 1 << 17) -> DataFrame:
+    """The rows of `docs`, all columns, but for those with a doc_id in `dropped`.
+
+    on: further columns of `dropped`, and what a row must have there to go. Only rows that may have to
+    go, by a broadcast table of bits of a fixed size, are moved for the exact join. Rows with a null
+    doc_id stay.
+    """
+    on = on or {}
+    bits, word, mask = bit_table(dropped.filter("doc_id IS NOT NULL"), words)
+    marked = docs.join(F.broadcast(bits.withColumnRenamed("__word", "__own")), word == F.col("__own"), "left")
+    hit = F.coalesce(F.col("__bits").bitwiseAND(mask) != 0, F.lit(False))
+    names = docs.columns
+    keys = {f"__key{k}": column for k, column in enumerate([F.col("doc_id"), *on.values()])}
+    gone = dropped.select(*(F.col(name).alias(key) for key, name in zip(keys, ["doc_id", *on]))).distinct()
+    stay = marked.filter(~hit).select(*names)
+    unsure = marked.filter(hit).withColumns(keys).join(gone, list(keys), "left_anti").select(*names)
+    return stay.unionByName(unsure)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from refgauge.llm.components import components
 from refgauge.llm.encode import small_batches
-from refgauge.llm.inputs import documents_of, reachable
+from refgauge.llm.inputs import documents_of, reachable, texts_of, without
 from refgauge.workspace import written
 
 # Odd numbers that spread bits.
@@ -274,22 +274,6 @@ def searched(rows: DataFrame, n: int, share: int) -> DataFrame:
     return ordered.mapInArrow(run, "a bigint, b bigint")
 
 
-def texts_of(docs: DataFrame, ids: DataFrame, words: int = 1 << 17) -> DataFrame:
-    """The texts of `ids` (doc_id and more columns), without moving the texts of other documents.
-
-    Which documents may be wanted is told by a bit table of fixed size, `words` numbers at most, that
-    is broadcast; the join after it is exact.
-    """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(64 * words))
-    word, mask = (bit / 64).cast("bigint"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {64 * words}) % 64 as int))")
-    bits = ids.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("bits"))
-    likely = (
-        documents_of(docs).filter("doc_id IS NOT NULL").withColumn("word", word)
-        .join(F.broadcast(bits), "word").filter(F.col("bits").bitwiseAND(mask) != 0).select("doc_id", "text")
-    )
-    return likely.join(ids, "doc_id")
-
-
 def relabelled(blocks: DataFrame, links: list[DataFrame]) -> DataFrame:
     """Blocks with each document's label as its component by the links found so far."""
     every = links[0]
@@ -376,3 +360,9 @@ def similarity_components(docs: DataFrame, n: int = 3, share: int = 90, most: in
     return rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, n: int = 3, share: int = 90) -> DataFrame:
+    """The rows of `docs`, all columns, with the least doc_id of each component only."""
+    found = similarity_components(docs, n, share)
+    return without(docs, found.filter("component_id <> doc_id").select("doc_id"))

@@ -1,11 +1,11 @@
 """Quality scores by supervised subword embeddings.
 
 Every word, and every character n-gram of it between boundary marks, has a learned vector, found by
-hashing into a table; so has the bigram of a word with itself, one for all words,
-which counts `REPEAT_WEIGHT` times. The mean of all of
-them in a document, and of `PRIOR` vectors of zero that keep short texts from extremes, goes through
-a softmax over the two classes. Vectors and softmax are trained by stochastic gradient descent in numpy on a bounded,
-documented sample of the labelled rows (`sample`, by smallest hash of the id), from whole texts.
+hashing into a table; so has the bigram of a word with itself, one for all words, which counts
+`REPEAT_WEIGHT` times. The mean of all of them in a document, and of `PRIOR` vectors of zero that keep
+short texts from extremes, goes through a softmax over the two classes. Vectors and softmax are
+trained by stochastic gradient descent in numpy on a bounded, documented sample of the labelled rows
+(`sample` of them, by smallest hash of the id), from whole texts.
 
 With two classes the difference of their logits is linear in the mean, so for scoring each table
 entry is reduced to one number, and each distinct word to the sum and number of its entries; a
@@ -20,7 +20,7 @@ are left out. An empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -164,36 +164,56 @@ def learned(
     return train(sorted(found, key=lambda r: (bytes(r.entries), bytes(r.counts), r.label)), buckets)
 
 
+def scorer(model: Model) -> Callable[[pa.Array], list[float]]:
+    """A function from texts to scores, with a cache of words."""
+    value, bias = model
+    buckets = len(value)
+    repeated = float(value[REPEAT % buckets])
+
+    def reduced(word: bytes) -> tuple[float, int]:
+        own = entries(word, buckets)
+        return float(value[own].sum()), len(own)
+
+    known = Words(reduced)
+
+    def scores(texts: pa.Array) -> list[float]:
+        out = []
+        for text in texts.to_pylist():
+            words = (text or "").encode("utf-8", "surrogatepass").split()
+            again = REPEAT_WEIGHT * repeats(words)
+            total, n = np.array([(again * repeated, again), *known.of(words)]).sum(0)
+            out.append(float(1 / (1 + np.exp(-(total / (n + PRIOR) + bias)))))
+        return out
+
+    return scores
+
+
 def scored(docs: DataFrame, model: Model, threshold: float = 0.3, held_out: int = 5) -> DataFrame:
     """One row a document: doc_id, held_out, score, predicted."""
-    spark = docs.sparkSession
-    reachable(spark)
-    shared = spark.sparkContext.broadcast(model)  # its size is that of the table of entries
+    reachable(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of the size of its table of entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        value, bias = shared.value
-        buckets = len(value)
-
-        def reduced(word: bytes) -> tuple[float, int]:
-            own = entries(word, buckets)
-            return float(value[own].sum()), len(own)
-
-        known = Words(reduced)
-        repeated = float(value[REPEAT % buckets])
+        scores = scorer(shared.value)
         for batch in small_batches(batches):
-            scores = []
-            for text in batch.column("text").to_pylist():
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                again = REPEAT_WEIGHT * repeats(words)
-                total, n = np.array([(again * repeated, again), *known.of(words)]).sum(0)
-                logit = total / (n + PRIOR) + bias
-                scores.append(1 / (1 + np.exp(-logit)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"]
-            )
+            found = pa.array(scores(batch.column("text")), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "score"])
 
     rows = documents_of(docs).mapInArrow(run, "doc_id bigint, score double")
     return rows.select(
         "doc_id", (remainder(F.col("doc_id"), held_out) == 0).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of `docs`, all columns, whose text scores at least `threshold`."""
+    reachable(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = scorer(shared.value)
+        for batch in small_batches(batches):
+            yield batch.filter(pa.array([s >= threshold for s in scores(batch.column("text"))], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -216,12 +216,13 @@ def without_secrets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             texts = [t if t is None else masked(t, spans_of(t)) for t in batch.column("text").to_pylist()]
-            columns = dict(zip(names, batch.columns))
-            columns["text"] = pa.array(texts, batch.schema.field("text").type)
-            if "n_chars" in columns:
-                sizes = [None if t is None else len(t) for t in texts]
-                columns["n_chars"] = pa.array(sizes, batch.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names)
+            columns, types = list(batch.columns), batch.schema.types
+            place = names.index("text")
+            columns[place] = pa.array(texts, types[place])
+            if "n_chars" in names:
+                place = names.index("n_chars")
+                columns[place] = pa.array([None if t is None else len(t) for t in texts], types[place])
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     reachable(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
