@@ -10,6 +10,7 @@ from refgauge.llm import (
     html_blocks,
     jaccard_join,
     line_rules,
+    maxent,
     packing,
     quality,
     repair_shards,
@@ -61,6 +62,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op9_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.learned_and_scored(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op6_content_sort": op6_content_sort,
     "op7_subword_quality": op7_subword_quality,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_maxent_scores": op9_maxent_scores,
     "op10_secret_scan": op10_secret_scan,
 }
 
