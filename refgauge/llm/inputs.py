@@ -28,6 +28,18 @@ def documents_of(df: DataFrame) -> DataFrame:
     return columns_of(df, ("doc_id", "bigint"), ("text", "string"))
 
 
+def mapped(docs: DataFrame, make) -> DataFrame:
+    """`docs` through mapInArrow with the function `make(places)` gives, all columns by position.
+
+    places: the position of every column name, so that names that differ only in case do not clash.
+    """
+    names = docs.columns
+    own = [f"c{k}" for k in range(len(names))]
+    plain = docs.toDF(*own)
+    places = {name: k for k, name in reversed(list(enumerate(names)))}
+    return plain.mapInArrow(make(places), plain.schema).toDF(*names)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -76,12 +88,15 @@ def without(docs: DataFrame, dropped: DataFrame, on: dict[str, Column] | None =
     doc_id stay.
     """
     on = on or {}
+    names = docs.columns
+    own = [f"__c{k}" for k in range(len(names))]
+    plain = docs.toDF(*own)
+    plain = plain.select("*", *(F.col(own[names.index(c)]).alias(c) for c in ("doc_id", "text") if c in names))
     bits, word, mask = bit_table(dropped.filter("doc_id IS NOT NULL"), words)
-    marked = docs.join(F.broadcast(bits.withColumnRenamed("__word", "__own")), word == F.col("__own"), "left")
+    marked = plain.join(F.broadcast(bits.withColumnRenamed("__word", "__own")), word == F.col("__own"), "left")
     hit = F.coalesce(F.col("__bits").bitwiseAND(mask) != 0, F.lit(False))
-    names = docs.columns
     keys = {f"__key{k}": column for k, column in enumerate([F.col("doc_id"), *on.values()])}
     gone = dropped.select(*(F.col(name).alias(key) for key, name in zip(keys, ["doc_id", *on]))).distinct()
-    stay = marked.filter(~hit).select(*names)
-    unsure = marked.filter(hit).withColumns(keys).join(gone, list(keys), "left_anti").select(*names)
-    return stay.unionByName(unsure)
+    stay = marked.filter(~hit).select(*own)
+    unsure = marked.filter(hit).withColumns(keys).join(gone, list(keys), "left_anti").select(*own)
+    return stay.unionByName(unsure).toDF(*names)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refgauge.llm.encode import small_batches
-from refgauge.llm.inputs import columns_of, documents_of, reachable, remainder
+from refgauge.llm.inputs import columns_of, documents_of, mapped, reachable, remainder
 
 BUCKETS = 1 << 15
 SHORTEST, LONGEST = 2, 4
@@ -211,9 +211,13 @@ def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame
     reachable(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = scorer(shared.value)
-        for batch in small_batches(batches):
-            yield batch.filter(pa.array([s >= threshold for s in scores(batch.column("text"))], pa.bool_()))
+    def make(places: dict[str, int]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scores, place = scorer(shared.value), places["text"]
+            for batch in small_batches(batches, f"c{place}"):
+                good = [s >= threshold for s in scores(batch.column(place))]
+                yield batch.filter(pa.array(good, pa.bool_()))
+
+        return run
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, make)

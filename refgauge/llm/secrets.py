@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from refgauge.llm.encode import small_batches
-from refgauge.llm.inputs import documents_of, reachable
+from refgauge.llm.inputs import documents_of, mapped, reachable
 
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -211,18 +211,20 @@ def without_secrets(docs: DataFrame) -> DataFrame:
 
     A null text stays null.
     """
-    names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            texts = [t if t is None else masked(t, spans_of(t)) for t in batch.column("text").to_pylist()]
-            columns, types = list(batch.columns), batch.schema.types
-            place = names.index("text")
-            columns[place] = pa.array(texts, types[place])
-            if "n_chars" in names:
-                place = names.index("n_chars")
-                columns[place] = pa.array([None if t is None else len(t) for t in texts], types[place])
-            yield pa.RecordBatch.from_arrays(columns, names)
+    def make(places: dict[str, int]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            place = places["text"]
+            for batch in small_batches(batches, f"c{place}"):
+                texts = [t if t is None else masked(t, spans_of(t)) for t in batch.column(place).to_pylist()]
+                columns, types = list(batch.columns), batch.schema.types
+                columns[place] = pa.array(texts, types[place])
+                if "n_chars" in places:
+                    k = places["n_chars"]
+                    columns[k] = pa.array([None if t is None else len(t) for t in texts], types[k])
+                yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+        return run
 
     reachable(docs.sparkSession)
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, make)
