@@ -21,6 +21,8 @@ OTHER_SPACE = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 CUT = "\x1f"
+#: Marks at the end of a word; both tokenizers part them from the letter before.
+LAST_MARKS = r"(\pL)([!-/:-@\[-`{-~]+)([ \n]|$)"
 LONGEST_KEPT = 64
 
 
@@ -28,7 +30,8 @@ class PieceEncoder:
     """Encodes texts with a tokenizer file of the tokenizers library.
 
     word_level: the tokenizer drops white space and lower-cases, so pieces are words; otherwise a
-    piece keeps the white space before it. limit: pieces kept in the cache before it is emptied.
+    piece keeps the white space before it. limit: pieces in the cache at which all go but
+    those of the current batch that come more than once in it.
     """
 
     def __init__(self, path: str, word_level: bool, limit: int = 400_000):
@@ -46,6 +49,16 @@ class PieceEncoder:
         self.ends = np.zeros(1 << 14, np.int64)  # ends[c + 1]: where the ids of code c end
         self.n_codes = 0
 
+    def keep(self, pieces: list[str]) -> None:
+        """Forgets all other pieces."""
+        codes = np.array([self.codes[p] for p in pieces], np.int64)
+        ids, ends = gather(self.ids, self.ends[codes], self.ends[codes + 1])
+        self.forget()
+        self.ids = np.concatenate([ids, self.ids])
+        self.ends = np.concatenate([[0], ends, np.zeros(1 << 14, np.int64)])
+        self.codes = dict(zip(pieces, range(len(pieces))))
+        self.n_codes = len(pieces)
+
     def learn(self, pieces: list[str]) -> None:
         encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         ids = [e.ids for e in encoded]
@@ -69,8 +82,9 @@ class PieceEncoder:
 
     def pieces(self, texts: pa.Array) -> pa.ListArray:
         if self.word_level:
-            texts = pc.replace_substring(pc.ascii_lower(texts), "\n", " ")
-            return pc.split_pattern(texts, " ")
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), LAST_MARKS, r"\1 \2\3")
+            return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        texts = pc.replace_substring_regex(texts, LAST_MARKS, rf"\1{CUT}\2\3")
         texts = pc.replace_substring(texts, " ", CUT + " ")
         return pc.split_pattern(pc.replace_substring(texts, "\n", CUT + "\n"), CUT)
 
@@ -85,9 +99,10 @@ class PieceEncoder:
         bounds = cut.offsets.to_numpy()
         table = cut.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
         bounds = bounds - bounds[0]
-        if self.n_codes > self.limit:
-            self.forget()
         unique = table.dictionary.to_pylist()
+        if self.n_codes > self.limit:
+            often = np.bincount(table.indices.to_numpy(), minlength=len(unique)) > 1
+            self.keep([p for p, more in zip(unique, often.tolist()) if more and p in self.codes])
         fresh = [p for p in unique if p not in self.codes]
         if fresh:
             self.learn(fresh)

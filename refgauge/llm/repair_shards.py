@@ -58,7 +58,7 @@ def replaceable(places: np.ndarray) -> np.ndarray:
     return places[(np.arange(len(places)) - run_start) % 2 == 0]
 
 
-def compress(ids: np.ndarray, starts: np.ndarray, base: int, least: int = 16, rounds: int = 5) -> Grammar:
+def compress(ids: np.ndarray, starts: np.ndarray, base: int, least: int = 16, rounds: int = 3) -> Grammar:
     """The grammar of documents ids[starts[k]:starts[k + 1]]; pairs that come `least` times are frequent.
 
     Each round takes pairs down to a share of the commonest one's count, the last down to `least`.
