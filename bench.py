@@ -13,7 +13,7 @@ HEADLINE = (
     "filter_articles", "tag_articles", "headings", "citations", "internal_links",
     "external_links", "paragraphs", "feature_table", "feature_table_v1", "feature_totals",
     "page_score_join", "chunked_scores", "revision_at_time", "reference_mix", "article_report",
-    "minmax_scaled", "kmeans_predict", "bisecting_predict", "k_sweep", "silhouette_exact",
+    "minmax_scaled", "kmeans_predict", "bisecting_predict", "k_sweep", "silhouette_points",
     "cluster_label", "pca_scaled", "xml_pages", "csv_roundtrip", "html_first_element",
 )
 

@@ -50,7 +50,7 @@ FEATURES_V1 = (
 )
 
 # Columns of a raw page table that say little about a page.
-PROFILE_COLUMNS = ("format", "model", "ns", "contributor", "revision", "restrictions")
+PROFILE_COLUMNS = ("format", "model", "ns", "contributor.username", "contributor.ip")
 
 # Characters stripped from both ends of element text.
 SPACES = (

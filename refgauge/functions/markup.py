@@ -21,7 +21,10 @@ _HOST = r"https?://(?:[-\w.]++|%[\da-fA-F]{2})++"
 # Line ends as Java's dot sees them; the dot stops at each of them.
 _EOL = r"\n\r\u0085\u2028\u2029"
 _END = rf"(?:\r\n|[{_EOL}])"
-_BARE = rf"[^{{}}{_EOL}]*+"
+# Stands for the first of two braces that no pair closes on their line; a noncharacter.
+_LOOSE = "\ufdd0"
+_OPEN = rf"(?:\{{\{{|{_LOOSE}[{_LOOSE}{{])"
+_BARE = rf"[^{{}}{_LOOSE}{_EOL}]*+"
 # A line within a template: no braces, or first brace pair opens and last one closes.
 _LINE = rf"{_BARE}(?:\{{\{{(?>.*\}}\}}){_BARE})?+{_END}"
 # A line of that kind which may also be the last one of its template.
@@ -29,20 +32,42 @@ _EITHER = rf"{_BARE}\{{\{{.*\}}\}}{_BARE}\}}\}}"
 
 # What the inside of a template begins with: its end, or a pair of braces closed on its line.
 # Tested first, so that braces which close nowhere cost one look ahead.
-_CLOSES = r"(?=[^{}]*+(?:\}\}|\{\{.*\}\}))"
+_CLOSES = rf"(?=[^{{}}{_LOOSE}]*+(?:\}}\}}|\{{\{{.*\}}\}}))"
 
 # A template followed by a newline, up to the latest line on which it can close: either on
 # the first line that cannot belong to its inside, or on the last ambiguous line before that.
 TEMPLATE_BLOCK = (
-    rf"\{{\{{{_CLOSES}(?:(?:{_LINE})*+{_BARE}\}}\}}\n++"
+    rf"{_OPEN}{_CLOSES}(?:(?:{_LINE})*+{_BARE}\}}\}}\n++"
     rf"|(?:(?:(?!{_EITHER}\n){_LINE})*+{_EITHER}\n)++\n*+)"
 )
 # A template that closes at the end of the text (or before its final line end).
 TEMPLATE_TAIL = (
-    rf"\{{\{{{_CLOSES}(?:{_LINE}(?!\n?\z))*+(?:{_BARE}|{_BARE}\{{\{{.*\}}\}}{_BARE})\}}\}}$"
+    rf"{_OPEN}{_CLOSES}(?:{_LINE}(?!\n?\z))*+(?:{_BARE}|{_BARE}\{{\{{.*\}}\}}{_BARE})\}}\}}$"
 )
 
 
+def mark_loose(text: Column) -> Column:
+    """Braces that open behind the last `}}` of their line told apart from those that may close on it.
+
+    The template patterns expect it: such braces can only open a template that closes on a later
+    line, so nothing behind them on their own line has to be looked through.
+    """
+    closed = lambda line: F.regexp_extract(line, r"(?s)^.*\}\}", 0)
+    lines = F.transform(F.split(text, rf"(?<=[{_EOL}])"), lambda line: F.concat(
+        closed(line),
+        F.regexp_replace(F.substring(line, F.length(closed(line)) + 1, F.length(line)), r"\{(?=\{)", _LOOSE),
+    ))
+    return F.when(F.contains(text, F.lit("{{")), F.array_join(lines, "")).otherwise(text)
+
+
+def without_templates(text: Column) -> Column:
+    """Each template that ends its line or the text, replaced by a blank line."""
+    marked = mark_loose(text)
+    for pattern in (TEMPLATE_BLOCK, TEMPLATE_TAIL):
+        marked = F.regexp_replace(marked, pattern, "\n\n")
+    return F.replace(marked, F.lit(_LOOSE), F.lit("{"))
+
+
 def _link_before(end: str) -> str:
     """A double-bracketed link before `end`, and in group 1 all that lies between the last
     match and this one. Links that are not closed are passed over in one go, not bracket by bracket.
@@ -127,18 +152,19 @@ def n_paragraphs(text: Column) -> Column:
 
     So a text with one block has 0, and one with none has -1; averages over it follow suit.
     """
-    steps = (
+    before = (
         # blocks that stand alone between blank lines
         (r"\n(?<!\n\n)\n++(?:\{\{[^}]*+\}\}|\[\[[^\]]*+\]\]|={1,7}.*={1,7})\n\n++", "\n\n"),
         # everything from these sections on
         (r"(?s)==References==.*+", "\n\n"),
         (r"(?s)==External [lL]inks==.*+", "\n\n"),
-        (TEMPLATE_BLOCK, "\n\n"),
-        (TEMPLATE_TAIL, "\n\n"),
+    )
+    after = (
         (_link_before(r"\n++"), "$1\n\n"),
         (_link_before("$"), "$1\n\n"),
     )
-    prose = reduce(lambda c, step: F.regexp_replace(c, *step), steps, text)
+    replaced = lambda c, steps: reduce(lambda c, step: F.regexp_replace(c, *step), steps, c)
+    prose = replaced(without_templates(replaced(text, before)), after)
     return F.size(F.array_remove(F.split(prose, r"\n\n+"), "")) - 1
 
 

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Sequence
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from refgauge import fixed
@@ -24,13 +24,6 @@ RAW, SCALED, CLUSTER = "features", "scaled_features", "prediction"
 KMEANS_SEED, BISECTING_SEED, FINAL_SEED, FINAL_K = 1, 10, 1, 3
 SWEEP = range(3, 11)
 
-# Centers and sums of up to this many clusters are kept on the driver and in plans.
-MAX_CLUSTERS = 1_000
-
-# Rows below which a task of a fit costs more to start than to run.
-ROWS_PER_TASK = 20_000
-
-
 def model_features(df: DataFrame, drop: Sequence[str] = ("_c0", "title", *fixed.CLASSES)) -> list[str]:
     """Columns to cluster by: all but the index, the title and the class scores."""
     return df.drop(*drop).columns
@@ -55,11 +48,6 @@ def scaled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return Pipeline(stages=scaling(features)).fit(df).transform(df)
 
 
-def packed(df: DataFrame) -> DataFrame:
-    """A stored or kept table in fewer pieces, if they hold few rows; for fits, which run many jobs."""
-    return df.coalesce(max(1, -(-df.count() // ROWS_PER_TASK)))
-
-
 def kmeans(k: int, seed: int = KMEANS_SEED, vectors: str = SCALED) -> KMeans:
     return KMeans(featuresCol=vectors, predictionCol=CLUSTER, k=k, seed=seed)
 
@@ -95,54 +83,49 @@ def cluster_centers(df: DataFrame, model, vectors: str = SCALED) -> DataFrame:
     return centers.join(means, CLUSTER, "left").select(CLUSTER, "n", "center", "mean")
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    """Of two arrays of doubles."""
-    return F.aggregate(
-        F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x
-    )
-
-
 def squared_norm(point: Column) -> Column:
     return F.aggregate(point, F.lit(0.0), lambda total, x: total + x * x)
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
-
-
-def constant(value: list, schema: str) -> Column:
-    """A nested value as one literal in the plan."""
-    return F.from_json(F.lit(json.dumps(value)), schema)
-
-
-def few_rows(df: DataFrame) -> list[Row]:
-    """Rows of a table with one row per cluster. The number of clusters is checked."""
-    rows = df.limit(MAX_CLUSTERS + 1).collect()
-    if len(rows) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
-    return rows
+def _matrix(points: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The points that are not NULL as rows of numbers, and where they are."""
+    at = np.flatnonzero(points.is_valid().to_numpy(zero_copy_only=False))
+    flat = points.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(at), -1) if len(at) else np.empty((0, 0)), at
 
 
 def nearest_center(df: DataFrame, centers: Sequence[Sequence[float]], values: str) -> DataFrame:
     """Index of the closest center of each row and the squared distance to it, first on ties.
 
-    The centers are a literal in the plan: k times d numbers, whatever the table holds.
+    The centers, k times d numbers of the caller, go to the tasks; a batch of points is held against
+    one center at a time. NULL points have neither.
     """
-    places = constant([[float(x) for x in c] for c in centers], "array<array<double>>")
-    best = F.array_min(F.transform(places, lambda center, i: F.struct(
-        squared_distance(F.col(values), center).alias("cost"), i.alias(CLUSTER)
-    )))
-    return df.withColumn("_best", best).select(
+    places = np.array([[float(x) for x in c] for c in centers])
+
+    @F.arrow_udf(f"struct<cost: double, {CLUSTER}: int>")
+    def best(points: pa.Array) -> pa.Array:
+        rows, at = _matrix(points)
+        cost, own = np.full(len(points), np.inf), np.zeros(len(points), np.int32)
+        for i, center in enumerate(places if len(at) else ()):
+            far = np.full(len(points), np.inf)
+            far[at] = ((rows - center) ** 2).sum(1)
+            own[far < cost], cost = i, np.minimum(cost, far)
+        absent = np.isinf(cost)
+        return pa.StructArray.from_arrays(
+            [pa.array(cost, mask=absent), pa.array(own, mask=absent)], ["cost", CLUSTER]
+        )
+
+    return df.withColumn("_best", best(F.col(values))).select(
         *df.columns, F.col(f"_best.{CLUSTER}").alias(CLUSTER), F.col("_best.cost").alias("cost")
     )
 
 
 def group_centers(df: DataFrame, group: str, values: str) -> list[list[float]]:
-    """Mean point of each group, in group order."""
+    """Mean point of each group, in group order: one row a group, for a caller that wants k centers."""
     means = df.groupBy(group).agg(
         vector_to_array(Summarizer.mean(array_to_vector(F.col(values)))).alias("mean")
     )
-    return [r["mean"] for r in sorted(few_rows(means), key=lambda r: r[group])]
+    return [r["mean"] for r in sorted(means.collect(), key=lambda r: r[group])]
 
 
 def cluster_cost(df: DataFrame, model, vectors: str = SCALED) -> DataFrame:
@@ -156,80 +139,92 @@ def cluster_cost(df: DataFrame, model, vectors: str = SCALED) -> DataFrame:
     )
 
 
-def silhouette(df: DataFrame, vectors: str = SCALED, cluster: str = CLUSTER) -> float:
-    """Mean silhouette over squared distances, in one pass of sums per cluster."""
-    return ClusteringEvaluator(
-        featuresCol=vectors, predictionCol=cluster, metricName="silhouette"
-    ).evaluate(df)
+def cluster_sums(df: DataFrame, vectors: Column, cluster: str) -> DataFrame:
+    """Rows (c, n, mean, sse): size, mean and squared deviations from it of each cluster, in one pass."""
+    sums = df.groupBy(F.col(cluster).cast("string").alias("c")).agg(
+        Summarizer.metrics("count", "mean", "variance").summary(vectors).alias("s")
+    )
+    spread = F.aggregate(vector_to_array("s.variance"), F.lit(0.0), lambda total, x: total + x)
+    n = F.col("s.count")
+    return sums.select("c", n.alias("n"), vector_to_array("s.mean").alias("mean"), (spread * (n - 1)).alias("sse"))
 
 
 def silhouette_points(df: DataFrame, values: str, cluster: str) -> DataFrame:
     """Silhouette of every row over squared distances, from sums per cluster instead of pairs.
 
-    The distances of a point to all rows of a cluster add up to
-    n*|x|^2 - 2*x.sum(y) + sum(|y|^2), so one aggregation gives what all pairs would.
-    The clusters' sums are a literal in the plan: k times d numbers.
+    The squared distances of x to the n rows of a cluster with mean m add up to n*|x - m|^2 + sse,
+    which has no large terms that cancel, wherever the points lie. One row a cluster goes through
+    the driver to the tasks. NULL points have no silhouette.
     """
-    point = F.col(values)
-    sums = df.groupBy(F.col(cluster).cast("string").alias("c")).agg(
-        F.count("*").alias("n"),
-        vector_to_array(Summarizer.sum(array_to_vector(point))).alias("s"),
-        F.sum(squared_norm(point)).alias("q"),
-    )
-    stats = constant(
-        [r.asDict() for r in few_rows(sums)], "array<struct<c: string, n: bigint, s: array<double>, q: double>>"
-    )
-    totals = F.transform(stats, lambda r: F.struct(
-        (r["c"] == F.col(cluster).cast("string")).alias("own"),
-        r["n"].alias("n"),
-        F.greatest(
-            squared_norm(point) * r["n"] - dot(point, r["s"]) * F.lit(2.0) + r["q"], F.lit(0.0)
-        ).alias("total"),
-    ))
-    own = F.filter("_totals", lambda r: r["own"])[0]
-    means = F.transform(F.filter("_totals", lambda r: ~r["own"]), lambda r: r["total"] / r["n"])
+    known = df.filter(F.col(values).isNotNull())
+    rows = cluster_sums(known, array_to_vector(F.col(values)), cluster).collect()
+    place = {r["c"]: i for i, r in enumerate(rows)}
+    sums = [(r["n"], np.array(r["mean"]), r["sse"]) for r in rows]
+
+    @F.arrow_udf("struct<intra: double, nearest: double, n: bigint>")
+    def distances(points: pa.Array, clusters: pa.Array) -> pa.Array:
+        matrix, at = _matrix(points)
+        own = np.array([place.get(c, -1) for c in clusters.to_pylist()], np.int64)[at]
+        intra, nearest = np.zeros(len(at)), np.full(len(at), np.inf)
+        size = np.zeros(len(at), np.int64)
+        for i, (n, mean, sse) in enumerate(sums if len(at) else ()):
+            total = n * ((matrix - mean) ** 2).sum(1) + sse
+            inside = own == i
+            intra[inside], size[inside] = total[inside] / max(n - 1, 1), n
+            nearest[~inside] = np.minimum(nearest[~inside], total[~inside] / n)
+        out = []
+        for column, absent in ((intra, size == 0), (nearest, np.isinf(nearest)), (size, size == 0)):
+            every, gone = np.zeros(len(points), column.dtype), np.ones(len(points), bool)
+            every[at], gone[at] = column, absent
+            out.append(pa.array(every, mask=gone))
+        return pa.StructArray.from_arrays(out, ["intra", "nearest", "n"])
+
     a, b = F.col("intra"), F.col("nearest")
     value = F.when((F.col("_n") == 1) | (a == b), F.lit(0.0)).when(a < b, 1 - a / b).otherwise(b / a - 1)
     return (
-        df.withColumn("_totals", totals)
-        .withColumns({
-            "intra": own["total"] / F.greatest(own["n"] - 1, F.lit(1)),
-            "nearest": F.array_min(means),
-            "_n": own["n"],
-        })
+        df.withColumn("_far", distances(F.col(values), F.col(cluster).cast("string")))
+        .withColumns({"intra": F.col("_far.intra"), "nearest": F.col("_far.nearest"), "_n": F.col("_far.n")})
         .withColumn("silhouette", value)
-        .drop("_totals", "_n")
+        .drop("_far", "_n")
     )
 
 
+def silhouette(df: DataFrame, vectors: str = SCALED, cluster: str = CLUSTER) -> float:
+    """Mean silhouette over squared distances; see `silhouette_points`."""
+    points = df.select(vector_to_array(vectors).alias("point"), cluster)
+    return silhouette_points(points, "point", cluster).agg(F.avg("silhouette")).first()[0]
+
+
 def cluster_label(df: DataFrame, label: str, cluster: str = CLUSTER) -> DataFrame:
     """Rows without a label take the most common one of their cluster, the smallest on ties.
 
-    Labels are counted before anything moves. What is joined back is one row per cluster,
-    checked and sent to all tasks, so a cluster of a third of the rows is not moved into one.
+    Labels are counted before anything moves. What is joined back is one row per cluster, however
+    many there are; Spark sends it to all tasks if it is small, and else splits large clusters.
     """
     counts = df.filter(F.col(label).isNotNull()).groupBy(cluster, label).agg(F.count("*").alias("_n"))
     common = counts.groupBy(cluster).agg(
         F.min_by(F.col(label), F.struct(-F.col("_n"), F.col(label))).alias("cluster_label")
     )
-    few = df.sparkSession.createDataFrame(few_rows(common), common.schema)
-    return df.join(F.broadcast(few), cluster, "left").withColumn(
+    return df.join(common, cluster, "left").withColumn(
         "label_or_cluster", F.coalesce(F.col(label), F.col("cluster_label"))
     )
 
 
 def k_sweep(
-    df: DataFrame, features: Sequence[str], ks: Iterable[int] = SWEEP, parallelism: int = 8
+    df: DataFrame, features: Sequence[str], ks: Iterable[int] = SWEEP, parallelism: int = 8,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Rows (algorithm, k, cost, silhouette, best): both algorithms for each k.
 
     Clusters are fit on scaled features and judged on unscaled ones. The table of vectors is
-    kept for the fits, on disk where memory is short. Each fit is many short jobs, so tasks
-    get a fair number of rows, and a few fits share the cluster. `best` marks the k of the highest silhouette of each
-    algorithm.
+    kept for the fits, on disk where memory is short. Each fit is many short jobs, so a few fits
+    share the cluster. `best` marks the k of the highest silhouette of each algorithm. Where
+    clusters are not well apart, fits depend on how rows lie in tasks: `partitions` fixes their number.
     """
-    kept = scaled(df, features).select(RAW, SCALED).persist(StorageLevel.MEMORY_AND_DISK)
-    points = packed(kept)
+    points = scaled(df, features).select(RAW, SCALED)
+    if partitions is not None:
+        points = points.repartition(partitions)
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
 
     def judged(task) -> tuple:
         name, k = task
@@ -244,7 +239,7 @@ def k_sweep(
         with ThreadPool(parallelism) as pool:
             rows = pool.map(inheritable_thread_target(df.sparkSession)(judged), tasks, chunksize=1)
     finally:
-        kept.unpersist()
+        points.unpersist()
     table = df.sparkSession.createDataFrame(
         rows, "algorithm string, k int, cost double, silhouette double"
     )

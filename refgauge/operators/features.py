@@ -56,10 +56,10 @@ def feature_table(
 
     A feature is NULL exactly if the text is, so the inputs are tested, before any counting.
     `keys` are carried along as they are. `project=False` and `debug=True` keep all columns
-    and rows; `debug` takes a few rows only.
+    and rows; `debug` takes a few rows only, the first by title.
     """
     if debug:
-        return add_features(df.limit(DEBUG_ROWS))
+        return add_features(df.orderBy("title").limit(DEBUG_ROWS))
     if not project:
         return add_features(df)
     labels = list(fixed.CLASSES) if scores else []
@@ -103,7 +103,7 @@ def feature_table_v1(df: DataFrame, scores: bool = True, keys: Sequence[str] = (
 def scored_feature_table(
     pages: DataFrame,
     scores: DataFrame,
-    key: str = "revision_id",
+    key: str | Sequence[str] = "revision_id",
     keys: Sequence[str] = (),
     table: Callable[..., DataFrame] = feature_table,
 ) -> DataFrame:
@@ -112,8 +112,9 @@ def scored_feature_table(
     Features are counted where the pages are read, and joined with the scores after that:
     a row of numbers goes through the shuffle, the text does not.
     """
-    carried = list(dict.fromkeys([key, *keys]))
+    on = [key] if isinstance(key, str) else list(key)
+    carried = list(dict.fromkeys([*on, *keys]))
     features = table(pages, scores=False, keys=carried)
     counted = [c for c in features.columns if c not in (*carried, "title")]
-    labeled = page_score_join(features, present(scores, fixed.CLASSES), key, key)
+    labeled = page_score_join(features, present(scores, fixed.CLASSES), on, on)
     return labeled.select(*keys, "title", *counted, *fixed.CLASSES)

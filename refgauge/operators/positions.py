@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refgauge.workspace import written
@@ -22,16 +22,16 @@ def with_position(
     """`df` with `position`: 0-based place by `order_by`, from 0 again for each `within`.
 
     Rows are range-partitioned and sorted, and numbered within their partition. That table is
-    written once, as the ranges come from a sample and must not change between the jobs. The
-    offsets are then sums over one row per partition (and `within` value, such as a dump file).
-    Ties go by where a row was read, which is written down first, so a key, or a row with its
-    copies, that fills a third of the table is split over partitions and not put into one task.
-    Pass narrow rows: they are written twice.
+    written once, as the ranges come from a sample and must not change between the jobs. What comes
+    before a partition is a running sum over one row per partition (and `within` value, such as a
+    dump file), joined back by Spark's choice. Ties go by where a row was read, so a key, or a row
+    with its copies, that fills a third of the table is split over partitions and not put into one
+    task. Pass narrow rows of a scan: they are written.
     """
     spark = df.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = [within] if within else []
-    read = written(df.withColumn("_read", F.monotonically_increasing_id()), "rows")
+    read = df.withColumn("_read", F.monotonically_increasing_id())
     order = [F.col(c) for c in (*group, *order_by, "_read")]
     ranged = (
         read.repartitionByRange(partitions, *order)
@@ -42,26 +42,19 @@ def with_position(
         "_part": F.shiftright("_at", _ROW_BITS),
         "_row": F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
     })
-    sizes = (
-        placed.groupBy(*group, "_part")
-        .agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
-        .collect()
+    sizes = placed.groupBy(*group, "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    # A range holds several groups only where they meet, so a group has one row a range at most.
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    shifts = sizes.select(
+        F.col("_part").alias("_of"), (before - F.col("_first")).alias("_shift"),
+        *[F.col(g).alias("_group") for g in group],
     )
-    # At most partitions + dump files rows: a range holds several files only where they meet.
-    sizes.sort(key=lambda r: (*((r[g] is not None, r[g]) for g in group), r["_part"]))
-    rows, seen = [], {}
-    for r in sizes:
-        key = tuple(r[g] for g in group)
-        before = seen.get(key, 0)
-        rows.append((r["_part"], before - r["_first"], *key))
-        seen[key] = before + r["_n"]
-    kinds = [f", _group {f.dataType.simpleString()}" for f in df.schema if f.name in group]
-    shifts = spark.createDataFrame(rows, "_of bigint, _shift bigint" + "".join(kinds))
     same = F.col("_part") == F.col("_of")
     for g in group:
         same &= F.col(g).eqNullSafe(F.col("_group"))
     return (
-        placed.join(F.broadcast(shifts), same)
+        placed.join(shifts, same)
         .withColumn("position", F.col("_row") + F.col("_shift"))
         .select(*df.columns, "position")
     )

@@ -14,10 +14,13 @@ from refgauge.operators.positions import with_position
 
 
 def page_score_join(
-    pages: DataFrame, scores: DataFrame, page_key: str = "revision_id", score_key: str = "revision_id"
+    pages: DataFrame, scores: DataFrame, page_key: str | Sequence[str] = "revision_id",
+    score_key: str | Sequence[str] = "revision_id",
 ) -> DataFrame:
     """Pages with the scores of their revision; pages without any are dropped.
 
+    Keys may be lists of columns, such as the file and the revision, if they are named alike.
+
     Both sides are hashed on the key once. Neither side is forced into a broadcast: the score
     table grows with the pages, so Spark decides by its size, and splits skewed partitions.
     """
@@ -25,7 +28,8 @@ def page_score_join(
 
 
 def score_left_join(
-    pages: DataFrame, scores: DataFrame, page_key: str = "revision_id", score_key: str = "revision_id"
+    pages: DataFrame, scores: DataFrame, page_key: str | Sequence[str] = "revision_id",
+    score_key: str | Sequence[str] = "revision_id",
 ) -> DataFrame:
     """Pages with the scores of their revision, NULL where there are none."""
     return _join(pages, scores, page_key, score_key, "left")
@@ -33,7 +37,8 @@ def score_left_join(
 
 def _join(pages, scores, page_key, score_key, how):
     if page_key == score_key:
-        return pages.join(scores, page_key, how)
+        on = [page_key] if isinstance(page_key, str) else list(page_key)
+        return pages.join(scores, on, how)
     other = scores.withColumnRenamed(score_key, "_score_key")
     return pages.join(other, F.col(page_key) == F.col("_score_key"), how).drop("_score_key")
 
@@ -59,9 +64,12 @@ def chunked_scores(
 ) -> DataFrame:
     """Scores looked up for chunks of rows in order: one missing score blanks its whole chunk.
 
-    `dump` names the column of the dump file, within which the chunks start anew. Pass narrow
-    rows here and join texts on afterwards.
+    `dump` names the column of the dump file, within which the chunks start anew. Of several score
+    rows of a revision the largest counts, scored before unscored. Pass narrow rows here and join
+    texts on afterwards.
     """
+    best = F.max(F.struct(*fixed.CLASSES)).alias("_best")
+    scores = scores.groupBy("revision_id").agg(best).select("revision_id", "_best.*")
     # Numbered before the join: the ranges are sampled, and a scan is cheap to go through twice.
     placed = score_left_join(with_position(revisions, order_by, within=dump), scores)
     keys = [*([dump] if dump else []), "_chunk"]

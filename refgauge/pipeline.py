@@ -16,8 +16,10 @@ from refgauge import fixed
 from refgauge.functions import pages as page_functions
 from refgauge.operators import articles, clustering, features, report, scoring
 from refgauge.sources import dumps, tables
+from refgauge.workspace import passing
 
 PAGES, SCORES = "pages", "scores"
+ON = ("dump", "revision_id")  # a revision may be in the dumps of several dates
 RAW_PAGES = ", ".join(f"`{name}` string" for name in (
     "title", "ns", "id", "restrictions", "revision.id", "revision.parentid", "revision.timestamp",
     "revision.contributor.username", "revision.contributor.id", "revision.contributor.ip",
@@ -36,24 +38,32 @@ def process_dumps(
     """Write the pages of all dumps in a folder and, given (revision_id, class scores), theirs.
 
     Scores are looked up in chunks of pages in the order of the dump. They are kept apart from
-    the pages: both have the revision id, and texts need not be moved to meet their scores.
+    the pages: both have the file and the revision id, and texts need not be moved to meet their
+    scores. Both tables have a folder for each dump file. A second run, as after one that broke
+    off, replaces those of its dumps; other dumps and dates stay.
     """
     tables.write_raw_pages(dumps.read_pages(spark, xml_folder), f"{folder}/{PAGES}", form="parquet")
     if scores is None:
         return
-    revisions = raw_pages(spark, folder).select(
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", dumps.DUMP_FILES).load(xml_folder)
+    files = listed.select(tables.raw_name(F.substring_index("path", "/", -1)).alias("file")).distinct()
+    revisions = raw_pages(spark, folder).join(files, "file", "left_semi").select(
         "file", F.col("id").cast("long").alias("page"), revision_id().alias("revision_id")
     )
-    found = scoring.chunked_scores(revisions, scores, order_by=("page",), dump="file")
-    found.select("revision_id", *fixed.CLASSES).write.parquet(f"{folder}/{SCORES}")
+    with passing(spark):
+        found = scoring.chunked_scores(revisions, scores, order_by=("page",), dump="file")
+        tables.write_by_file(found.select("file", "revision_id", *fixed.CLASSES), f"{folder}/{SCORES}")
 
 
 def raw_pages(spark: SparkSession, folder: str, pattern: str = "*" + tables.RAW_SUFFIX) -> DataFrame:
     return tables.read_raw_pages(spark, f"{folder}/{PAGES}", RAW_PAGES, pattern, form="parquet")
 
 
-def page_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{SCORES}")
+def page_scores(spark: SparkSession, folder: str, date: str | None = None) -> DataFrame:
+    """(dump, revision_id, class scores) of all pages, or of those of a date."""
+    pattern = dump_pattern(date) if date else "*" + tables.RAW_SUFFIX
+    path = f"{folder}/{SCORES}"
+    return spark.read.option("basePath", path).parquet(f"{path}/file={pattern}").withColumnRenamed("file", "dump")
 
 
 def revision_id():
@@ -61,9 +71,10 @@ def revision_id():
 
 
 def page_texts(spark: SparkSession, folder: str, date: str) -> DataFrame:
-    """(revision_id, title, text) of all pages of a date."""
-    raw = raw_pages(spark, folder, dump_pattern(date)).withColumn("revision_id", revision_id())
-    return articles.article_columns(articles.strip_prefix(raw), keys=("revision_id",))
+    """(dump, revision_id, title, text) of all pages of a date."""
+    raw = raw_pages(spark, folder, dump_pattern(date)).withColumnRenamed("file", "dump")
+    raw = raw.withColumn("revision_id", revision_id())
+    return articles.article_columns(articles.strip_prefix(raw), keys=ON)
 
 
 def create_features(
@@ -75,17 +86,23 @@ def create_features(
     debug: bool = False,
     save: bool = True,
 ) -> DataFrame:
-    """The feature table of all articles of a date, written to the folder unless told otherwise."""
+    """The feature table of all articles of a date, written to the folder unless told otherwise.
+
+    `limit` takes the first articles by revision. `debug` takes a few of them and keeps all columns.
+    """
     kept = articles.filter_articles(page_texts(spark, folder, date))
+    if debug:
+        limit = min(limit or features.DEBUG_ROWS, features.DEBUG_ROWS)
     if limit is not None:
-        kept = kept.limit(limit)
+        kept = articles.limit_articles(kept, limit, "revision_id")
+    found = page_scores(spark, folder, date) if scores else None
     if debug:
-        return features.feature_table(kept, scores=False, debug=True)
-    table = (
-        features.scored_feature_table(kept, page_scores(spark, folder))
-        if scores
-        else features.feature_table(kept, scores=False)
-    )
+        table = features.add_features(kept)
+        table = scoring.page_score_join(table, found, ON, ON) if scores else table
+    elif scores:
+        table = features.scored_feature_table(kept, found, ON)
+    else:
+        table = features.feature_table(kept, scores=False)
     if not save:
         return table
     path = tables.features_path(folder, date, limited=limit is not None)
@@ -122,12 +139,16 @@ def predict(table: DataFrame, model: PipelineModel | str) -> DataFrame:
 
 
 def assess(pages: DataFrame, scores: DataFrame, titles: Sequence[str] | None = None) -> DataFrame:
-    """Report on every page of (revision_id, title, text), or on those of the given titles."""
+    """Report on every page of (revision_id, title, text), or on those of the given titles.
+
+    Where both tables name the dump, pages meet the scores of their own dump.
+    """
+    on = [c for c in ON if c in pages.columns and c in scores.columns]
     titled = pages.withColumn("title", page_functions.display_title(F.col("title")))
     if titles is not None:
         wanted = [" ".join(part for part in t.split(" ") if part) for t in titles]
         titled = titled.filter(F.col("title").isin(wanted))
     counted = features.feature_table(
-        articles.tag_articles(titled), scores=False, keys=("revision_id",)
+        articles.tag_articles(titled), scores=False, keys=on
     )
-    return report.article_report(scoring.score_left_join(counted, scores), ("revision_id",))
+    return report.article_report(scoring.score_left_join(counted, scores, on, on), on)

@@ -242,6 +242,26 @@ nearest AS (SELECT vec_id, prediction, cost FROM costs JOIN numbered USING (part
 
 
 NEAREST = nearest("label")
+
+
+def separated(size: str) -> str:
+    """CTEs ending in `parted` and `coordinates`: embeddings moved apart, as `plans.rendered` does."""
+    return f"""
+moved AS (SELECT vec_id, label % 5 AS part, list_transform(embedding, lambda x, i:
+        x::DOUBLE + CASE WHEN (i - 1) % 5 = label % 5 THEN {size} ELSE 0 END) AS point FROM embeddings),
+parted AS (SELECT *, min(vec_id) OVER (PARTITION BY part) AS cluster, count(*) OVER (PARTITION BY part) AS n FROM moved),
+coordinates AS (SELECT vec_id, part, cluster, n, unnest(point) AS x, unnest(range(len(point)))::INT AS dim FROM parted)"""
+
+
+PARTED = separated("100.0")
+# Squared deviations from the means of the parts.
+PART_COST = """(SELECT round(sum((x - c) * (x - c)), 4) FROM
+    (SELECT x, avg(x) OVER (PARTITION BY part, dim) AS c FROM coordinates))"""
+# The same with every dimension scaled to [0, 1].
+SCALED_COST = """(SELECT round(sum((y - c) * (y - c)), 4) FROM
+    (SELECT y, avg(y) OVER (PARTITION BY part, dim) AS c FROM
+    (SELECT part, dim, (x - min(x) OVER (PARTITION BY dim)) / (max(x) OVER (PARTITION BY dim) - min(x) OVER (PARTITION BY dim)) AS y
+    FROM coordinates)))"""
 SILHOUETTE = f"""{POINTS},
 means AS (SELECT a.vec_id, a.label AS own, b.label AS other,
         sum(list_distance(a.point, b.point) ** 2) AS total, count(*) AS n
@@ -281,12 +301,14 @@ SCALED = "scaled AS (SELECT page_id, " + ", ".join(
 ) + " FROM features)"
 
 
-def components(source: str, digits: int) -> str:
+def components(
+    source: str, digits: int, key: str = "page_id", point: str = f"[{', '.join(fixed.FEATURES)}]",
+    d: int = len(fixed.FEATURES), more: str = "",
+) -> str:
     """First two principal components: a covariance matrix squared until one direction is left.
 
     Each matrix is a list of rows in a single row; the second one lacks the first direction.
     """
-    d = len(fixed.FEATURES)
     squared = "list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c)))"
     trace = f"list_sum(list_transform(range(1, {d + 1}), lambda i: m[i][i]))"
     widest = f"list_sort(list_transform(range(1, {d + 1}), lambda i: [m[i][i], i]), 'DESC')[1][2]::INT"
@@ -302,20 +324,20 @@ def components(source: str, digits: int) -> str:
         list_max(u) >= -list_min(u) THEN 1 ELSE -1 END) AS v FROM units{n})"""
 
     return f"""
-    points AS (SELECT page_id, [{", ".join(fixed.FEATURES)}] AS p FROM {source}),
-    cells AS (SELECT page_id, unnest(p) AS x, unnest(range(1, {d + 1})) AS i FROM points),
-    centered AS (SELECT page_id, i, x - avg(x) OVER (PARTITION BY i) AS x FROM cells),
+    spots AS (SELECT {key}{more}, {point} AS p FROM {source}),
+    cells AS (SELECT {key}, unnest(p) AS x, unnest(range(1, {d + 1})) AS i FROM spots),
+    centered AS (SELECT {key}, i, x - avg(x) OVER (PARTITION BY i) AS x FROM cells),
     products AS (SELECT a.i AS i, b.i AS j, sum(a.x * b.x) / (count(*) - 1) AS c
-        FROM centered a JOIN centered b USING (page_id) GROUP BY a.i, b.i),
+        FROM centered a JOIN centered b USING ({key}) GROUP BY a.i, b.i),
     rows AS (SELECT i, list(c ORDER BY j) AS r FROM products GROUP BY i),
     matrix1 AS (SELECT list(r ORDER BY i) AS m FROM rows),{direction(1, "matrix1")},
     strength AS (SELECT m, v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS w
         FROM matrix1, axis1),
     matrix2 AS (SELECT list_transform(range(1, {d + 1}), lambda i: list_transform(range(1, {d + 1}),
         lambda j: m[i][j] - w * v[i] * v[j])) AS m FROM strength),{direction(2, "matrix2")}
-    SELECT page_id, round(list_dot_product(p, axis1.v), {digits}) + 0.0::DOUBLE AS pc1,
+    SELECT {key}{more}, round(list_dot_product(p, axis1.v), {digits}) + 0.0::DOUBLE AS pc1,
         round(list_dot_product(p, axis2.v), {digits}) + 0.0::DOUBLE AS pc2
-    FROM points, axis1, axis2"""
+    FROM spots, axis1, axis2"""
 
 
 ORACLES: dict[str, str] = {
@@ -360,7 +382,7 @@ ORACLES: dict[str, str] = {
     "strip_prefix": f"""WITH {RAW} SELECT title, ns, id, "revision.timestamp" AS timestamp,
         "revision.contributor.username" AS "contributor.username",
         "revision.contributor.ip" AS "contributor.ip", "revision.model" AS model,
-        "revision.format" AS format, "revision.sha1" AS sha1, dump FROM raw""",
+        "revision.format" AS format, sha1(id) AS sha1, dump FROM raw""",
     "rename_columns": "SELECT vec_id, "
         + ", ".join(f"embedding[{i + 1}]::DOUBLE AS features_{i}" for i in range(4))
         + ", label AS labels FROM embeddings",
@@ -384,7 +406,8 @@ ORACLES: dict[str, str] = {
     "column_profile": f"WITH {RAW} " + " UNION ALL ".join(
         f"""SELECT DISTINCT '{n}' AS "column", "{c}" AS value FROM raw""" for n, c in (
             ("format", "revision.format"), ("model", "revision.model"), ("ns", "ns"),
-            ("contributor.username", "revision.contributor.username"), ("dump", "dump"))
+            ("contributor.username", "revision.contributor.username"),
+            ("contributor.ip", "revision.contributor.ip"))
     ),
     "page_score_join": f"""WITH {SCORES} SELECT doc_id AS page_id, {TITLE} AS title, revision_id, {ROUNDED}
         FROM documents JOIN scores ON revision_id = doc_id + 1000000""",
@@ -434,7 +457,20 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, prediction, quality, cluster_label,
             coalesce(quality, cluster_label) AS label_or_cluster
         FROM known LEFT JOIN common USING (prediction)""",
-    "silhouette_exact": f"""WITH {SILHOUETTE} SELECT vec_id, round(intra, 6) AS intra,
+    "kmeans_predict": f"WITH {PARTED} SELECT vec_id, cluster FROM parted",
+    "bisecting_predict": f"WITH {PARTED} SELECT vec_id, cluster FROM parted",
+    "kmeans_cost": f"WITH {PARTED} SELECT 5::INT AS k, {PART_COST} AS cost, {PART_COST} AS nearest_cost",
+    "cluster_centers": f"""WITH {PARTED} SELECT cluster, n, dim, round(avg(x), 6) AS center, round(avg(x), 6) AS mean
+        FROM coordinates GROUP BY cluster, n, dim""",
+    "k_sweep": f"""WITH {PARTED} SELECT algorithm, k::INT AS k, k = 5 AS best,
+        CASE WHEN k = 5 THEN {SCALED_COST} END AS cost, CASE WHEN k > 5 THEN true END AS no_more
+        FROM (VALUES ('kmeans'), ('bisecting')) a(algorithm), range(3, 11) t(k)""",
+    "pca_clusters": f"WITH RECURSIVE {separated('100.0 * (label % 5 + 1)')}, "
+        + components("parted", 3, "vec_id", "point", 64, ", cluster"),
+    "libsvm_kmeans": f"""WITH {PARTED} SELECT DISTINCT part::INT AS lowest, part::INT AS highest, n, {PART_COST} AS cost
+        FROM parted""",
+    "model_roundtrip": "SELECT vec_id, true AS same FROM embeddings",
+    "silhouette_points": f"""WITH {SILHOUETTE} SELECT vec_id, round(intra, 6) AS intra,
         round(nearest, 6) AS nearest, round(silhouette, 6) AS silhouette FROM judged""",
     "silhouette_scale": f"""WITH {SILHOUETTE}
         SELECT count(*) AS n, round(avg(silhouette), 6) AS silhouette FROM judged""",

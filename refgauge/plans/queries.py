@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from refgauge import fixed
@@ -146,8 +146,7 @@ def article_columns(spark, folder):
 
 @query
 def strip_prefix(spark, folder):
-    raw = rendered.raw_pages(spark, folder).drop("revision.text")
-    return articles.strip_prefix(raw)
+    return articles.strip_prefix(rendered.raw_pages(spark, folder, texts=False))
 
 
 @query
@@ -232,8 +231,7 @@ def feature_ranges(spark, folder):
 
 @query
 def column_profile(spark, folder):
-    raw = articles.strip_prefix(rendered.raw_pages(spark, folder))
-    return profile.column_profile(raw, ("format", "model", "ns", "contributor.username", "dump"))
+    return profile.column_profile(articles.strip_prefix(rendered.raw_pages(spark, folder, texts=False)))
 
 
 # --- scores --------------------------------------------------------------------------------
@@ -341,7 +339,7 @@ def article_report(spark, folder):
 
 def _stored_features(spark, folder) -> DataFrame:
     """The feature table from files: fits pass over it many times, over the texts just once."""
-    return clustering.packed(written(_features(spark, folder), "features"))
+    return written(_features(spark, folder), "features")
 
 
 def _scaled(spark, folder) -> DataFrame:
@@ -365,33 +363,65 @@ def minmax_scaled(spark, folder):
     ])
 
 
+def _parted(spark, folder, **options) -> DataFrame:
+    """Points in five parts that lie far apart, as stored vectors."""
+    points = rendered.separated(spark, folder, **options)
+    return written(points.withColumn(clustering.RAW, array_to_vector("point")), "points")
+
+
+def _named(placed: DataFrame) -> DataFrame:
+    """Clusters named by their least member, as numbers of clusters are arbitrary."""
+    names = placed.groupBy(clustering.CLUSTER).agg(F.min("vec_id").alias("cluster"))
+    return placed.join(names, clustering.CLUSTER)
+
+
 @query
 def kmeans_predict(spark, folder):
-    points = _scaled(spark, folder)
-    return clustering.kmeans(3).fit(points).transform(points).select("page_id", clustering.CLUSTER)
+    points = _parted(spark, folder)
+    placed = clustering.kmeans(5, vectors=clustering.RAW).fit(points).transform(points)
+    return _named(placed).select("vec_id", "cluster")
 
 
 @query
 def bisecting_predict(spark, folder):
-    points = _scaled(spark, folder)
-    return clustering.bisecting().fit(points).transform(points).select("page_id", clustering.CLUSTER)
+    points = _parted(spark, folder)
+    placed = clustering.bisecting(5, vectors=clustering.RAW).fit(points).transform(points)
+    return _named(placed).select("vec_id", "cluster")
 
 
 @query
 def kmeans_cost(spark, folder):
-    points = _scaled(spark, folder)
-    return clustering.cluster_cost(points, clustering.kmeans(3).fit(points))
+    points = _parted(spark, folder)
+    model = clustering.kmeans(5, vectors=clustering.RAW).fit(points)
+    cost = clustering.cluster_cost(points, model, clustering.RAW)
+    return cost.select("k", F.round("cost", 4).alias("cost"), F.round("nearest_cost", 4).alias("nearest_cost"))
 
 
 @query
 def cluster_centers(spark, folder):
-    points = _scaled(spark, folder)
-    return clustering.cluster_centers(points, clustering.bisecting().fit(points))
+    """Every coordinate of every center, next to the mean of the cluster's rows."""
+    points = _parted(spark, folder)
+    model = clustering.bisecting(5, vectors=clustering.RAW).fit(points)
+    names = _named(model.transform(points)).groupBy(clustering.CLUSTER).agg(F.first("cluster").alias("cluster"))
+    centers = clustering.cluster_centers(points, model, clustering.RAW).join(names, clustering.CLUSTER)
+    return centers.select(
+        "cluster", "n", F.posexplode(F.arrays_zip("center", "mean")).alias("dim", "at")
+    ).select("cluster", "n", "dim", F.round("at.center", 6).alias("center"), F.round("at.mean", 6).alias("mean"))
 
 
 @query
 def k_sweep(spark, folder):
-    return clustering.k_sweep(_stored_features(spark, folder), fixed.FEATURES)
+    """For each k the k that is best; the cost at five parts, and that more clusters cost no more."""
+    points = _parted(spark, folder)
+    names = [f"e{i}" for i in range(N_DIMENSIONS)]
+    table = points.select(*[F.get("point", F.lit(i)).alias(name) for i, name in enumerate(names)])
+    found = clustering.k_sweep(table, names)
+    at_five = Window.partitionBy("algorithm")
+    five = F.max(F.when(F.col("k") == 5, F.col("cost"))).over(at_five)
+    return found.select(
+        "algorithm", "k", "best", F.when(F.col("k") == 5, F.round("cost", 4)).alias("cost"),
+        F.when(F.col("k") > 5, F.col("cost") <= five).alias("no_more"),
+    )
 
 
 @query
@@ -426,7 +456,7 @@ def cluster_label(spark, folder):
 
 
 @query
-def silhouette_exact(spark, folder):
+def silhouette_points(spark, folder):
     """Silhouette of each embedding for the clusters its label gives."""
     points = clustering.silhouette_points(_points(spark, folder), "point", "label")
     return points.select(
@@ -462,9 +492,11 @@ def pca_raw(spark, folder):
 
 @query
 def pca_clusters(spark, folder):
-    points = _scaled(spark, folder)
-    placed = clustering.bisecting().fit(points).transform(points)
-    return clustering.pca_points(placed, clustering.SCALED, ("page_id", clustering.CLUSTER))
+    """Two components of points in five parts, with their cluster."""
+    points = _parted(spark, folder, own=True)
+    placed = _named(clustering.bisecting(5, vectors=clustering.RAW).fit(points).transform(points))
+    found = clustering.pca_points(placed, clustering.RAW, ("vec_id", "cluster"), upright=True)
+    return found.select("vec_id", "cluster", *[(F.round(c, 3) + F.lit(0.0)).alias(c) for c in ("pc1", "pc2")])
 
 
 # --- sources and sinks ---------------------------------------------------------------------
@@ -582,30 +614,38 @@ def libsvm_scan(spark, folder):
 
 @query
 def libsvm_kmeans(spark, folder):
-    """Two clusters of the vectors in a libsvm file: their sizes and cost."""
-    read = tables.read_libsvm(spark, _libsvm_file(spark, folder), N_DIMENSIONS)
-    model = clustering.bisecting(2, vectors="features").fit(read)
+    """Five clusters of the vectors in a libsvm file, by the part that their label names: size and cost."""
+    path = new_path(spark, "libsvm")
+    tables.write_libsvm(
+        _parted(spark, folder).select(F.col("part").cast("double").alias("label"), clustering.RAW), path
+    )
+    read = tables.read_libsvm(spark, path, N_DIMENSIONS)
+    model = clustering.bisecting(5, vectors="features").fit(read)
     placed = model.transform(read)
     return placed.groupBy(clustering.CLUSTER).agg(
-        F.count("*").alias("n"), F.lit(float(model.summary.trainingCost)).alias("cost")
-    )
+        F.min("label").cast("int").alias("lowest"), F.max("label").cast("int").alias("highest"),
+        F.count("*").alias("n"), F.lit(round(float(model.summary.trainingCost), 4)).alias("cost"),
+    ).drop(clustering.CLUSTER)
 
 
 @query
 def model_roundtrip(spark, folder):
-    """Clusters from a saved and reloaded pipeline, next to those of the pipeline itself."""
-    table = _stored_features(spark, folder)
-    model = clustering.cluster_pipeline(fixed.FEATURES, clustering.bisecting()).fit(table)
+    """Whether a saved and reloaded pipeline puts each point where the pipeline itself does."""
+    table = _parted(spark, folder).select(
+        "vec_id", *[F.get("point", F.lit(i)).alias(f"e{i}") for i in range(N_DIMENSIONS)]
+    )
+    names = table.columns[1:]
+    model = clustering.cluster_pipeline(names, clustering.bisecting(5)).fit(table)
     path = new_path(spark, "model")
     clustering.save_model(model, path)
-    fresh = model.transform(table).select("page_id", clustering.CLUSTER)
-    loaded = clustering.load_model(path).transform(table)
-    return loaded.select("page_id", F.col(clustering.CLUSTER).alias("reloaded")).join(fresh, "page_id")
+    fresh = model.transform(table).select("vec_id", clustering.CLUSTER)
+    loaded = clustering.load_model(path).transform(table).select("vec_id", F.col(clustering.CLUSTER).alias("reloaded"))
+    return loaded.join(fresh, "vec_id").select("vec_id", (F.col("reloaded") == F.col(clustering.CLUSTER)).alias("same"))
 
 
 @query
 def html_first_element(spark, folder):
-    df = tables.spread(rendered.table(spark, folder, "pages"), "page_id")
+    df = rendered.table(spark, folder, "pages")
     return df.select(
         "page_id",
         *[html.first_element(F.col("html"), t).alias(t) for t in ("title", "h1")],
@@ -621,7 +661,7 @@ def html_article_text(spark, folder):
 
 @query
 def html_first_attr(spark, folder):
-    df = tables.spread(rendered.table(spark, folder, "pages"), "page_id")
+    df = rendered.table(spark, folder, "pages")
     return df.select("page_id", html.first_attribute(F.col("html"), "a", "href").alias("href"))
 
 

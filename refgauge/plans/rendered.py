@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refgauge import fixed
-from refgauge.sources.tables import spread
 
 FIRST_REVISION = 1_000_000
 
@@ -22,7 +21,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents"), "doc_id")
+    return table(spark, folder, "documents")
 
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,13 +129,16 @@ def revised(spark: SparkSession, folder: str) -> DataFrame:
     return articles(spark, folder).withColumn("revision_id", revision_of(F.col("page_id")))
 
 
-def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Flat page rows under dotted names, as they come out of a dump, with their dump file."""
+def raw_pages(spark: SparkSession, folder: str, texts: bool = True) -> DataFrame:
+    """Flat page rows under dotted names, as they come out of a dump, with their dump file.
+
+    texts: without, the scan leaves the texts alone, and the hash is that of the id.
+    """
     docs = documents(spark, folder)
     doc = F.col("doc_id")
     anonymous = doc % 5 == 0
     part = (doc % 3 + 1).cast("string")
-    return once(docs, **{
+    columns = {
         "title": title(),
         "ns": F.lit("0"),
         "id": doc.cast("string"),
@@ -149,7 +151,12 @@ def raw_pages(spark: SparkSession, folder: str) -> DataFrame:
         "revision.text": text(),
         "revision.sha1": F.sha1("text"),
         "dump": F.concat(F.lit("enwiki-20190701-pages-articles-multistream"), part, F.lit(".xml")),
-    })
+    }
+    if texts:
+        return once(docs, **columns)
+    columns["revision.sha1"] = F.sha1(doc.cast("string"))
+    del columns["revision.text"]
+    return docs.select(*[value.alias(name) for name, value in columns.items()])
 
 
 def score_responses(spark: SparkSession, folder: str) -> DataFrame:
@@ -166,10 +173,14 @@ def score_responses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def edit_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """(page_id, html): edit forms, the text escaped in their text area."""
+    """(page_id, html): edit forms, the text escaped in their text area, some letters in three ways."""
     text = F.col("text")
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#039;")):
         text = F.replace(text, F.lit(char), F.lit(entity))
+    for char, code, name in (("é", 233, "eacute"), ("ü", 252, "uuml"), ("ñ", 241, "ntilde")):
+        forms = [F.lit(f"&{form};") for form in (f"#{code}", f"#x{code:X}", name)]
+        form = F.element_at(F.array(*forms), (F.col("page_id") % 3 + 1).cast("int"))
+        text = F.replace(text, F.lit(char), form)
     return articles(spark, folder).select("page_id", F.concat(
         F.lit('<html><body><form><textarea id="box" rows="25">'), text,
         F.lit("</textarea><textarea>other</textarea></form></body></html>"),
@@ -177,9 +188,27 @@ def edit_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def history_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """(page_id, html): lists of revisions, newest first; every seventh page has none."""
+    """(page_id, html): lists of revisions, newest first; every seventh page has none.
+
+    The attribute is quoted in three ways.
+    """
     doc = F.col("doc_id")
-    item = lambda r: F.concat(F.lit('<li class="r" data-mw-revid="'), r.cast("string"), F.lit('">x</li>'))
+    quote = F.element_at(F.array(F.lit('"'), F.lit("'"), F.lit("")), (doc % 3 + 1).cast("int"))
+    item = lambda r: F.concat(F.lit('<li class="r" data-mw-revid='), quote, r.cast("string"), quote, F.lit(">x</li>"))
     items = F.when(doc % 7 != 0, F.concat(item(revision_of(doc)), item(doc))).otherwise("")
     html = F.concat(F.lit('<html><ul><li class="menu">Home</li></ul><ul>'), items, F.lit("</ul></html>"))
     return table(spark, folder, "documents").select(doc.alias("page_id"), html.alias("html"))
+
+
+def separated(spark: SparkSession, folder: str, step: float = 100.0, own: bool = False) -> DataFrame:
+    """(vec_id, part, point): embeddings moved apart into five parts, by `label % 5`.
+
+    A part's points are raised by `step` in every fifth dimension; with `own`, by a multiple of its
+    own, so that the directions of most spread differ. Values lie within one of zero before.
+    """
+    part = F.col("label") % 5
+    size = F.lit(step) * (part + 1 if own else 1)
+    point = F.transform(
+        F.col("embedding").cast("array<double>"), lambda x, i: x + F.when(i % 5 == part, size).otherwise(0.0)
+    )
+    return table(spark, folder, "embeddings").select("vec_id", part.alias("part"), point.alias("point"))

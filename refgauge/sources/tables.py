@@ -25,10 +25,16 @@ def write_raw_pages(df: DataFrame, path: str, dump: str = "dump", form: str = "c
     """Raw pages, a folder `file=<raw name>` for each dump file.
 
     Rows stay in the tasks they are in, so a dump of any size is written by many tasks. CSV is
-    for exchange; Parquet can be split when read, and read by column.
+    for exchange; Parquet can be split when read, and read by column. Files written before are
+    replaced, others stay.
     """
-    named = df.withColumn("file", raw_name(F.col(dump))).drop(dump)
-    named.write.partitionBy("file").format(form).options(**(CSV_OUT if form == "csv" else {})).save(path)
+    write_by_file(df.withColumn("file", raw_name(F.col(dump))).drop(dump), path, form)
+
+
+def write_by_file(df: DataFrame, path: str, form: str = "parquet") -> None:
+    """A folder for each value of `file`, in place of the one there may be."""
+    options = {"partitionOverwriteMode": "dynamic"} | (CSV_OUT if form == "csv" else {})
+    df.write.mode("overwrite").partitionBy("file").format(form).options(**options).save(path)
 
 
 def read_raw_pages(
@@ -79,12 +85,3 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files in `value`."""
     return spark.read.text(path)
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores where the files have fewer pieces than that, else `df` as it is.
-
-    Counting markup is bound by the processor, and a small file is one piece. Large tables
-    have more pieces than there are cores and are not shuffled.
-    """
-    pieces = 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= pieces else df.repartition(pieces, key)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,16 +19,36 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="refgauge-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path not used before, below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _made.get() is not None:
+        _made.get().append(path)
+    return path
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables written inside, once what was made of them is stored elsewhere."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in _made.get():
+            place = hadoop.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        _made.reset(token)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

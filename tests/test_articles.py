@@ -1,5 +1,7 @@
 """Tags, filter, renames, scores and the report on hand-written rows."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +169,31 @@ def test_html(spark):
     assert [tuple(r) for r in rows] == [("x <ref> &lt; 'y'\n", 42), (None, None)]
 
 
+def test_character_references(spark):
+    texts = ["&eacute;&#233;&#xE9;&#XE9;", "a&nbsp;b &amp;lt; &copy;", "&am &amp &unknown; &#0; &#xD800; & ;", "😀&#128512;", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(html.unescape(F.col("t"))).collect()] == [
+        "éééé", "a\xa0b &lt; ©", "&am &amp &unknown; &#0; &#xD800; & ;", "😀😀", None]
+
+
+@pytest.mark.parametrize(("tag", "value"), [
+    ("<li data-mw-revid='55'>", 55), ("<li data-mw-revid=55 class=x>", 55), ('<li class="a>b" data-mw-revid = "55">', 55),
+    ("<LI hidden DATA-MW-REVID='55'>", 55), ("<li x-data-mw-revid='7'>", 44), ("<link data-mw-revid='7'>", 44),
+    ("<li title='data-mw-revid=7'>", 44),
+])
+def test_first_attribute_in_any_quotes(spark, tag, value):
+    df = spark.createDataFrame([(f"<ul>{tag}x</li><li data-mw-revid='44'>",)], "h string")
+    assert df.select(html.revision_id(F.col("h"))).first()[0] == value
+
+
+@pytest.mark.parametrize("text", ["<a " * 30000, "<a x" * 30000, "<a x='" * 30000, "<a" + " x" * 50000, "&" * 30000, "&#" * 30000])
+def test_broken_tags_take_little_time(spark, text):
+    df = spark.createDataFrame([(text,)], "h string")
+    start = time.time()
+    df.select(html.first_attribute(F.col("h"), "a", "href"), html.unescape(F.col("h"))).collect()
+    assert time.time() - start < 10
+
+
 def test_profile(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), (None, 2)], "x string, y int")
     found = sorted((r["column"], r["value"]) for r in profile.column_profile(df, ["x", "y"]).collect() if r["value"])

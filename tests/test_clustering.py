@@ -6,9 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from refgauge import fixed
 from refgauge.operators import clustering
 from refgauge.sources import tables
@@ -93,25 +91,36 @@ def test_cluster_label_takes_the_majority(spark):
     assert found == {1: "a", 2: "a", 3: "b", 4: "a", 5: "c", 6: "b", 7: "b", 8: None}
 
 
-def test_fitted_queries_hold_together(spark, sf):
-    queries = driver.queries()
-    table = queries["features_roundtrip"](spark, sf)
-    n = table.count()
-    predicted = {r.page_id: r.prediction for r in queries["bisecting_predict"](spark, sf).collect()}
-    assert len(predicted) == n and set(predicted.values()) == {0, 1, 2}
-    assert queries["kmeans_predict"](spark, sf).select("prediction").distinct().count() == 3
-    cost = queries["kmeans_cost"](spark, sf).first()
-    assert cost.cost == pytest.approx(cost.nearest_cost)
-    for r in queries["cluster_centers"](spark, sf).collect():
-        assert r.center == pytest.approx(r["mean"])
-    assert all(r.prediction == r.reloaded for r in queries["model_roundtrip"](spark, sf).collect())
-    points = {r.page_id: (r.pc1, r.pc2) for r in queries["pca_clusters"](spark, sf).collect()}
-    scaled = clustering.scaled(table, fixed.FEATURES).orderBy("page_id").collect()
-    x = np.array([r.scaled_features.toArray() for r in scaled])
-    _, _, axes = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)
-    expected = np.abs(x @ axes[:2].T)
-    assert np.allclose(np.abs([points[r.page_id] for r in scaled]), expected, atol=1e-6)
-    assert queries["libsvm_kmeans"](spark, sf).agg(F.sum("n")).first()[0] == 500
+def test_silhouette_far_from_zero(spark):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(80, 3)) * 3
+    points[:, 0] += 3e8
+    points[40:, 0] += 100
+    labels = [0] * 40 + [1] * 40
+    df = spark.createDataFrame(
+        [(i, [float(x) for x in p], c) for i, (p, c) in enumerate(zip(points, labels))], "id int, point array<double>, c int"
+    )
+    expected = brute_silhouette(points, labels, lambda p, q: float(((p - q) ** 2).sum()))
+    found = [r.silhouette for r in clustering.silhouette_points(df, "point", "c").orderBy("id").collect()]
+    assert found == pytest.approx(expected, abs=1e-9) and max(found) <= 1
+
+
+def test_many_clusters(spark):
+    df = spark.range(3300).selectExpr(
+        "id", "cast(id % 1100 AS int) AS prediction", "array(double(id % 1100), double(id % 7)) AS point",
+        "CASE WHEN id < 2200 THEN concat('l', id % 1100) END AS label",
+    ).repartition(6)
+    placed = clustering.cluster_label(df, "label")
+    assert placed.filter("label_or_cluster <> concat('l', prediction)").count() == 0 and placed.count() == 3300
+    assert clustering.silhouette_points(df, "point", "prediction").filter("silhouette IS NULL").count() == 0
+    assert len(clustering.group_centers(df, "prediction", "point")) == 1100
+
+
+def test_null_points_have_no_place(spark):
+    df = spark.createDataFrame([(1, [0.0], 0), (2, None, 0), (3, [5.0], 1)], "id int, point array<double>, c int")
+    near = {r.id: (r.prediction, r.cost) for r in clustering.nearest_center(df, [[1.0], [4.0]], "point").collect()}
+    assert near == {1: (0, 1.0), 2: (None, None), 3: (1, 1.0)}
+    assert clustering.silhouette_points(df, "point", "c").filter("id = 2").first().silhouette is None
 
 
 def test_sweep_marks_the_best_k(spark, toy):

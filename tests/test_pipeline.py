@@ -19,12 +19,12 @@ def page(i, title, text):
             f'<text xml:space="preserve">{text}</text></revision></page>')
 
 
-def write_dump(folder, part, first, n=60):
+def write_dump(folder, part, first, n=60, date=DATE):
     body = "".join(
         page(i, f"Help:P{i}" if i % 10 == 9 else f"P{i}", "x" + "w " * i + "[[a]]" * (i % 7) + "{{cite book|x}}" * (i % 3))
         for i in range(first, first + n)
     )
-    name = f"enwiki-{DATE}-pages-articles-multistream{part}.xml-p{first}.bz2"
+    name = f"enwiki-{date}-pages-articles-multistream{part}.xml-p{first}.bz2"
     (folder / name).write_bytes(bz2.compress(f"<mediawiki><siteinfo/>{body}</mediawiki>".encode()))
 
 
@@ -113,3 +113,36 @@ def test_large_dumps_are_split(spark, tmp_path):
         assert pages.filter(F.char_length("`revision.text`") != 300).count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_dates_and_reruns_give_each_page_once(spark, tmp_path):
+    xml, out = tmp_path / "xml", str(tmp_path / "out")
+    xml.mkdir()
+    scores = spark.range(1000, 1120).select(
+        F.col("id").alias("revision_id"), *[F.lit((i + 1) / 21).alias(c) for i, c in enumerate(fixed.CLASSES)]
+    )
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    write_dump(xml, 1, 0)
+    # As after a run that broke off between its two tables.
+    pipeline.process_dumps(spark, str(xml), out)
+    pipeline.process_dumps(spark, str(xml), out, scores)
+    first = [rows(pipeline.raw_pages(spark, out).select("file", "title")), rows(pipeline.page_scores(spark, out))]
+    pipeline.process_dumps(spark, str(xml), out, scores)
+    again = [rows(pipeline.raw_pages(spark, out).select("file", "title")), rows(pipeline.page_scores(spark, out))]
+    assert first == again and len(first[0]) == len(first[1]) == 60
+    # Another date of the same pages, in a folder of its own.
+    later = tmp_path / "later"
+    later.mkdir()
+    write_dump(later, 1, 0, date="20190801")
+    pipeline.process_dumps(spark, str(later), out, scores.union(scores))
+    assert pipeline.raw_pages(spark, out).count() == pipeline.page_scores(spark, out).count() == 120
+    for date in (DATE, "20190801"):
+        assert pipeline.create_features(spark, out, date, save=False).count() == 54
+        pages = pipeline.page_texts(spark, out, date)
+        assert pipeline.assess(pages, pipeline.page_scores(spark, out)).count() == 60
+
+
+def test_debug_keeps_scores_and_is_saved(spark, folder):
+    table = pipeline.create_features(spark, folder[1], DATE, debug=True)
+    assert {"text", "Stub", "n_words", "revision_id"} <= set(table.columns)
+    assert sorted(r.revision_id for r in table.collect()) == [1000 + i for i in range(60) if i % 10 != 9][:50]

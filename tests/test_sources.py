@@ -1,12 +1,15 @@
 """Dumps, tables and models in files."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from refgauge.operators import articles
 from refgauge.plans import rendered
+from refgauge.plans.queries import QUERIES
 from refgauge.sources import dumps, tables
-from refgauge.workspace import new_path, shared_folder, written
+from refgauge.workspace import new_path, passing, shared_folder, written
 
 DUMP = """<mediawiki xmlns="http://www.mediawiki.org/xml/export-0.10/" xml:lang="en">
   <siteinfo><sitename>W</sitename></siteinfo>
@@ -112,11 +115,44 @@ def test_only_local_sessions_make_their_own_folder():
         shared_folder(Unset("spark://host:7077"))
 
 
-def test_large_inputs_are_not_shuffled(spark):
-    n = 2 * spark.sparkContext.defaultParallelism
-    assert tables.spread(spark.range(0, 100, 1, n), "id").rdd.getNumPartitions() == n
-    assert "Exchange" not in tables.spread(spark.range(0, 100, 1, n), "id")._jdf.queryExecution().toString()
-    assert tables.spread(spark.range(0, 100, 1, 2), "id").rdd.getNumPartitions() == n
+def small_page(i, text="x", tag="<page>"):
+    return (f"{tag}<title>T{i}</title><ns>0</ns><id>{i}</id><revision><id>{i}</id>"
+            f'<text xml:space="preserve">{text}</text></revision></page>')
+
+
+def test_broken_pages_are_told(spark, tmp_path):
+    (tmp_path / "good.xml").write_text(f"<mediawiki>{small_page(1)}{small_page(2, tag='<page >')}</mediawiki>\n")
+    (tmp_path / "stray.xml").write_text(f"<mediawiki>{small_page(3)}{small_page(4, 'a & b')}{small_page(5)}</mediawiki>")
+    (tmp_path / "cut.xml").write_text(f"<mediawiki>{small_page(6)}{small_page(7)[:-30]}")
+    ids = lambda df: sorted(int(r.id) for r in df.collect())
+    assert ids(dumps.read_pages(spark, f"{tmp_path}/good.xml")) == [1, 2]
+    for name in ("stray", "cut"):
+        with pytest.raises(Exception, match="broken page"):
+            dumps.read_pages(spark, f"{tmp_path}/{name}.xml").collect()
+    assert ids(dumps.sound_pages(spark, str(tmp_path))) == [1, 2, 3, 5, 6]
+    assert sorted(r["dump"] for r in dumps.rejects(spark, str(tmp_path)).collect()) == ["cut.xml", "stray.xml"]
+
+
+def test_passing_tables_are_removed(spark):
+    with passing(spark):
+        kept = written(spark.range(3), "passing")
+        assert kept.count() == 3
+        path = kept.inputFiles()[0]
+    assert not spark.read.format("binaryFile").load(shared_folder(spark)).filter(F.col("path") == path).count()
+
+
+def test_texts_are_not_moved(spark, sf):
+    """No exchange in a plan over articles carries the text, but where the query returns it."""
+    for name in ("n_words", "paragraphs", "filter_articles", "tag_articles", "feature_table", "article_report", "page_score_join"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        for part in plan.split("Exchange")[1:]:
+            assert not re.search(r"\btext#", part.split("\n")[0])
+
+
+def test_queries_without_text_do_not_read_it(spark, sf):
+    for name in ("strip_prefix", "column_profile"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "text:string" not in plan
 
 
 def test_rendered_text_is_computed_once(spark, sf):
