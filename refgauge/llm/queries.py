@@ -96,4 +96,26 @@ WITH rows AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
 """
 
-ORACLES: dict[str, str] = {"op6_content_sort": CONTENT_SORT}
+JACCARD_JOIN = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+    FROM words
+), grams AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION SELECT r.x, p.y FROM reached r JOIN pairs p ON r.y = p.x
+)
+SELECT doc_id, len(s) AS n_shingles, (SELECT min(y) FROM reached WHERE x = doc_id) AS component_id FROM sets
+"""
+
+ORACLES: dict[str, str] = {"op5_jaccard_join": JACCARD_JOIN, "op6_content_sort": CONTENT_SORT}

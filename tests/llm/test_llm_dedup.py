@@ -58,8 +58,8 @@ def marks(texts):
     return [found[i, hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t or "").encode()).hexdigest()] for i, t in texts]
 
 
-def test_content_sort_equals_sql(spark, sf):
-    name = "op6_content_sort"
+@pytest.mark.parametrize("name", ["op5_jaccard_join", "op6_content_sort"])
+def test_queries_equal_sql(spark, sf, name):
     assert spark_rows(QUERIES[name](spark, sf)) == sql_rows(connect(sf), ORACLES[name])
 
 
