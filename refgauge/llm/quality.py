@@ -20,7 +20,7 @@ are left out. An empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -45,17 +45,31 @@ class Model(NamedTuple):
     bias: float
 
 
+# Odd numbers that spread bits, one for each length of n-grams.
+SPREAD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 REPEAT = zlib.crc32(b"the same word again", 2)
 
 
-def entries(word: bytes, buckets: int) -> list[int]:
-    """The table entries of a word and its n-grams; a long word has those of its first and last 40 bytes."""
-    marked = b"<" + (word if len(word) <= 80 else word[:40] + word[-40:]) + b">"
-    grams = {
-        marked[i : i + n]
-        for n in range(SHORTEST, LONGEST + 1) for i in range(len(marked) - n + 1)
-    }
-    return [zlib.crc32(word) % buckets, *(zlib.crc32(g, 1) % buckets for g in grams)]
+def entries(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The table entries of words and of their n-grams of bytes, and for each entry its word's place."""
+    n = len(words)
+    marked = np.frombuffer(b"".join([b"<" + word + b">" for word in words]), np.uint8).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, n) + 2
+    owner = np.repeat(np.arange(n), sizes)
+    found = [np.fromiter(map(zlib.crc32, words), np.int64, n) % buckets]
+    places = [np.arange(n)]
+    running = marked
+    for length in range(2, LONGEST + 1):
+        if len(marked) < length:
+            break
+        # The bytes so far and one more, as one number; none reaches into another word.
+        running = running[:-1] << np.uint64(8) | marked[length - 1 :]
+        inner = owner[: len(running)] == owner[length - 1 :]
+        mixed = running[inner] * np.uint64(SPREAD[length - 2])
+        if length >= SHORTEST:
+            found.append(((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64))
+            places.append(owner[: len(running)][inner])
+    return np.concatenate(found), np.concatenate(places)
 
 
 def repeats(words: list[bytes]) -> int:
@@ -63,35 +77,15 @@ def repeats(words: list[bytes]) -> int:
     return sum(map(bytes.__eq__, words, words[1:]))
 
 
-class Words(dict):
-    """What is made of each word, kept for the words that are short; emptied when it has too many."""
-
-    def __init__(self, make, limit: int = 300_000):
-        self.make, self.limit = make, limit
-
-    def __missing__(self, word: bytes):
-        value = self.make(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-    def of(self, words: list[bytes]) -> list:
-        if len(self) > self.limit:
-            self.clear()
-        return list(map(self.__getitem__, words))
-
-
 def bags(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows (label, entries, counts): how often each table entry comes in a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(lambda word: np.array(entries(word, buckets), np.int32))
         for batch in small_batches(batches):
             ids, counts = [], []
             for text in batch.column("text").to_pylist():
                 words = (text or "").encode("utf-8", "surrogatepass").split()
-                found = np.concatenate([np.empty(0, np.int32), *known.of(words)])
-                total = np.bincount(found, minlength=buckets)
+                total = np.bincount(entries(words, buckets)[0], minlength=buckets)
                 total[REPEAT % buckets] += REPEAT_WEIGHT * repeats(words)
                 used = np.flatnonzero(total)
                 ids.append(used.astype("<u2").tobytes())
@@ -164,28 +158,39 @@ def learned(
     return train(sorted(found, key=lambda r: (bytes(r.entries), bytes(r.counts), r.label)), buckets)
 
 
-def scorer(model: Model) -> Callable[[pa.Array], list[float]]:
-    """A function from texts to scores, with a cache of words."""
-    value, bias = model
-    buckets = len(value)
-    repeated = float(value[REPEAT % buckets])
-
-    def reduced(word: bytes) -> tuple[float, int]:
-        own = entries(word, buckets)
-        return float(value[own].sum()), len(own)
-
-    known = Words(reduced)
-
-    def scores(texts: pa.Array) -> list[float]:
-        out = []
-        for text in texts.to_pylist():
-            words = (text or "").encode("utf-8", "surrogatepass").split()
-            again = REPEAT_WEIGHT * repeats(words)
-            total, n = np.array([(again * repeated, again), *known.of(words)]).sum(0)
-            out.append(float(1 / (1 + np.exp(-(total / (n + PRIOR) + bias)))))
-        return out
-
-    return scores
+class Scorer:
+    """Scores of texts; what each word adds to the logit, and its number of entries, is kept."""
+
+    def __init__(self, model: Model, limit: int = 250_000):
+        self.model, self.limit = model, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.codes: dict[bytes, int] = {}
+        self.sums, self.counts = np.empty(0), np.empty(0)
+
+    def learn(self, words: list[bytes]) -> None:
+        found, places = entries(words, len(self.model.value))
+        n = len(words)
+        self.sums = np.concatenate([self.sums, np.bincount(places, self.model.value[found], n)])
+        self.counts = np.concatenate([self.counts, np.bincount(places, minlength=n)])
+        self.codes.update(zip(words, range(len(self.codes), len(self.codes) + n)))
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        split = [(text or "").encode("utf-8", "surrogatepass").split() for text in texts.to_pylist()]
+        if len(self.codes) > self.limit:
+            self.forget()
+        fresh = list(set().union(*split).difference(self.codes))
+        if fresh:
+            self.learn(fresh)
+        again = np.array([REPEAT_WEIGHT * repeats(words) for words in split], np.float64)
+        total, n = again * self.model.value[REPEAT % len(self.model.value)], again
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
+        codes = np.fromiter((c for words in split for c in map(self.codes.__getitem__, words)), np.int64, lengths.sum())
+        place = np.repeat(np.arange(len(split)), lengths)
+        total = total + np.bincount(place, self.sums[codes], len(split))
+        n = n + np.bincount(place, self.counts[codes], len(split))
+        return 1 / (1 + np.exp(-(total / (n + PRIOR) + self.model.bias)))
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = 0.3, held_out: int = 5) -> DataFrame:
@@ -194,9 +199,9 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.3, held_out: int
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of the size of its table of entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores = scorer(shared.value)
+        scorer = Scorer(shared.value)
         for batch in small_batches(batches):
-            found = pa.array(scores(batch.column("text")), pa.float64())
+            found = pa.array(scorer.scores(batch.column("text")), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "score"])
 
     rows = documents_of(docs).mapInArrow(run, "doc_id bigint, score double")
@@ -213,10 +218,9 @@ def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame
 
     def make(places: dict[str, int]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            scores, place = scorer(shared.value), places["text"]
+            scorer, place = Scorer(shared.value), places["text"]
             for batch in small_batches(batches, f"c{place}"):
-                good = [s >= threshold for s in scores(batch.column(place))]
-                yield batch.filter(pa.array(good, pa.bool_()))
+                yield batch.filter(pa.array(scorer.scores(batch.column(place)) >= threshold))
 
         return run
 
