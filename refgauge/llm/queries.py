@@ -96,6 +96,51 @@ WITH rows AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
 """
 
+# The symbols, marks, labels and phrases are those of `line_rules`.
+LINE_RULES = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents
+), words AS (
+    SELECT row, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM docs
+), windows AS (
+    SELECT row, unnest(range(1, len(w) - 1)) AS pos,
+           unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS g
+    FROM words WHERE len(w) >= 3
+), often AS (
+    SELECT row, pos FROM windows QUALIFY count(*) OVER (PARTITION BY row, g) > 1
+), covered AS (
+    SELECT row, count(DISTINCT pos + d) AS n FROM often, range(3) r(d) GROUP BY row
+), split AS (
+    SELECT row, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS pos FROM docs
+), lines AS (
+    SELECT row, line, pos, len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n,
+           length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
+           length(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS symbols,
+           len(regexp_extract_all(line, '[!?][!?]+([\x20\x09-\x0D]|$)')) AS shouted,
+           len(regexp_extract_all(line, '[\s\p{{Z}}\x0B\x1C-\x1F\x{{85}}][|»›•·>/][\s\p{{Z}}\x0B\x1C-\x1F\x{{85}}]')) + 1 AS pieces,
+           len(list_filter(regexp_split_to_array(line, '[\s\p{{Z}}\x0B\x1C-\x1F\x{{85}}]+'), lambda x:
+               list_contains({sorted(line_rules.LABELS)}, lower(trim(x, '.,:;!?'))))) AS labels,
+           regexp_matches(line, '[.!?…:;。！？]') AS marked, regexp_matches(line, '{line_rules.NOTICES.pattern}') AS notice
+    FROM split
+), judged AS (
+    SELECT *, row_number() OVER (PARTITION BY row, line ORDER BY pos) > 1 AS copy,
+           10 * symbols > n OR 10 * shouted >= 3 * n OR (n >= 40 AND NOT marked)
+           OR (pieces >= 4 AND n - pieces + 1 <= 4 * pieces) OR (n <= 8 AND 5 * labels >= 4 * n)
+           OR (n <= {line_rules.NOTICE_WORDS} AND notice) AS fails
+    FROM lines WHERE n > 0
+), sums AS (
+    SELECT row, count(*) FILTER (copy) AS copies, sum(chars) FILTER (NOT copy AND NOT fails) AS kept FROM judged GROUP BY row
+), counts AS (
+    SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(copies, 0) AS n_dup_lines,
+           coalesce(covered.n, 0) AS n_repeat_words, coalesce(kept, 0)::BIGINT AS kept_chars
+    FROM docs JOIN words USING (row) LEFT JOIN covered USING (row) LEFT JOIN sums USING (row)
+), failed AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
+)
+SELECT *, NOT base_failed AND 2 * kept_chars >= word_chars AS kept FROM failed
+"""
+
 JACCARD_JOIN = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(regexp_split_to_array(
@@ -118,4 +163,8 @@ WITH RECURSIVE words AS (
 SELECT doc_id, len(s) AS n_shingles, (SELECT min(y) FROM reached WHERE x = doc_id) AS component_id FROM sets
 """
 
-ORACLES: dict[str, str] = {"op5_jaccard_join": JACCARD_JOIN, "op6_content_sort": CONTENT_SORT}
+ORACLES: dict[str, str] = {
+    "op4_line_rules": LINE_RULES,
+    "op5_jaccard_join": JACCARD_JOIN,
+    "op6_content_sort": CONTENT_SORT,
+}
