@@ -1,4 +1,4 @@
-"""Connected components of an undirected graph, by alternating stars."""
+"""Connected components of an undirected graph, by hooking and pointer jumping."""
 
 from __future__ import annotations
 
@@ -8,41 +8,35 @@ from pyspark.sql import functions as F
 from refgauge.workspace import written
 
 
-def star(edges: DataFrame, large: bool) -> DataFrame:
-    """Ties the larger (or, for the small star, the smaller) neighbours of each node to the least one.
+def round_of(edges: DataFrame) -> DataFrame:
+    """One round on (a, b) with a > b: every node keeps its least neighbour, the others hook to that
+    one, and all edges go on to the least neighbour of their end. `changed`: something was done.
 
-    edges: (a, b) with a > b. A node of many edges only makes many rows in a join on it, which
-    adaptive execution splits; the least neighbour is found with partial aggregation.
+    Least neighbours come from partial aggregation, and the joins are on exchanges that adaptive
+    execution splits, so a node that a third of all edges lead to does not end in one task.
     """
-    near = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    if large:
-        near = near.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    tied = near.join(least, "u")
-    if large:
-        tied = tied.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    else:
-        tied = tied.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
-            least.select(F.col("u").alias("a"), F.col("m").alias("b"))
-        )
-    return tied.filter("a > b").distinct()
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    hooks = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    now = least.select("a", F.col("m").alias("b"), F.lit(False).alias("changed")).unionByName(
+        hooks.withColumn("changed", F.lit(True))
+    )
+    up = least.select(F.col("a").alias("b"), F.col("m").alias("up"))
+    return now.join(up, "b", "left").select(
+        "a", F.coalesce("up", "b").alias("b"), (F.col("changed") | F.col("up").isNotNull()).alias("changed")
+    )
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with an edge; a component is named by its least node.
 
     edges: (a, b) of ids. Loops and rows with nulls are left out; repeated rows change nothing. Each
-    round is written before it is read again.
+    round is written before it is read again; there are about as many as the logarithm of the
+    longest path.
     """
     ordered = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = written(ordered.distinct(), "edges")
-    while True:
-        # Done once every node has one edge, and to a node that has none to a smaller one.
-        roots = now.select(F.col("b").alias("a")).distinct()
-        twice = now.groupBy("a").count().filter("count > 1").select("a")
-        if not twice.unionByName(now.join(roots, "a", "left_semi").select("a")).head(1):
-            break
-        now = written(star(star(now, True), False), "edges")
+    now = written(round_of(ordered), "edges")
+    while now.filter("changed").head(1):
+        now = written(round_of(now.select("a", "b")), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
