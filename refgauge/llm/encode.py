@@ -8,6 +8,7 @@ white space than single blanks and newlines, or the start of a special token) ar
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ class PieceEncoder:
     those of the current batch that come more than once in it.
     """
 
-    def __init__(self, path: str, word_level: bool, limit: int = 400_000):
+    def __init__(self, path: str, word_level: bool, limit: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -140,8 +141,16 @@ def encoder(path: str, word_level: bool) -> PieceEncoder:
     return _encoders[key]
 
 
+def give_back() -> None:
+    """Returns freed memory to the system; Python workers live on between tasks, beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def small_batches(
-    batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 16 << 20
+    batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:
     """The rows in batches of about `most` bytes of text, so memory does not depend on row counts."""
     for batch in batches:
@@ -151,3 +160,4 @@ def small_batches(
         for a, b in zip(cuts[:-1], cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+    give_back()

@@ -58,7 +58,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, kept for short ones; emptied when they are too many."""
 
-    limit = 400_000
+    limit = 100_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

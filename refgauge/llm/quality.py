@@ -161,7 +161,7 @@ def learned(
 class Scorer:
     """Scores of texts; what each word adds to the logit, and its number of entries, is kept."""
 
-    def __init__(self, model: Model, limit: int = 250_000):
+    def __init__(self, model: Model, limit: int = 120_000):
         self.model, self.limit = model, limit
         self.forget()
 
