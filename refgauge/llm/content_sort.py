@@ -2,9 +2,11 @@
 
 Texts without white space are range-partitioned by splitters that Spark samples from them and
 sorted within partitions (spilling to disk), so equal texts stand next to each other. Runs of equal
-texts are found by comparing neighbours in full. A salt behind the text in the sort order lets a
-large group reach over several partitions; each of its parts is reduced to one row, and the parts
-meet again by the text's digest. Texts move once; what follows moves ids, lengths and digests.
+texts are found by comparing neighbours in full. Splitters are cut after `HEAD` characters and go on
+with a hash of the text, so that they stay small and texts with a common beginning can be parted. A
+salt behind them lets a large group reach over several partitions; each of its parts is reduced to
+one row, and the parts meet again by the text's digest. Texts move once; what follows moves ids,
+lengths and digests.
 
 Of equal texts the row with the most code points stays, then the one with the smallest id. Null
 texts count as empty, and empty texts are equal to each other. A null id is larger than all others.
@@ -22,6 +24,7 @@ from refgauge.llm.inputs import documents_of, without
 from refgauge.workspace import written
 
 SALTS = 64
+HEAD = 64
 
 
 def without_space(text: Column) -> Column:
@@ -45,8 +48,9 @@ def runs(docs: DataFrame, salts: int = SALTS) -> DataFrame:
         "doc_id", F.length(text).alias("n_chars"), without_space(text).alias("body"),
         F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"),
     )
-    ordered = rows.repartitionByRange("body", "salt")
-    run = Window.partitionBy("body", "salt").orderBy(
+    keyed = rows.select("*", F.substring("body", 1, HEAD).alias("head"), F.xxhash64("body").alias("hash"))
+    ordered = keyed.repartitionByRange("head", "hash", "salt")
+    run = Window.partitionBy("head", "hash", "body", "salt").orderBy(
         F.col("n_chars").desc(), F.col("doc_id").asc_nulls_last()
     )
     return ordered.select(
