@@ -25,6 +25,7 @@ CUT = "\x1f"
 #: Marks at the end of a word; both tokenizers part them from the letter before.
 LAST_MARKS = r"(\pL)([!-/:-@\[-`{-~]+)([ \n]|$)"
 LONGEST_KEPT = 64
+AT_ONCE = 4096  # what the library returns for a piece is far larger than its ids
 
 
 class PieceEncoder:
@@ -105,8 +106,8 @@ class PieceEncoder:
             often = np.bincount(table.indices.to_numpy(), minlength=len(unique)) > 1
             self.keep([p for p, more in zip(unique, often.tolist()) if more and p in self.codes])
         fresh = [p for p in unique if p not in self.codes]
-        if fresh:
-            self.learn(fresh)
+        for k in range(0, len(fresh), AT_ONCE):
+            self.learn(fresh[k : k + AT_ONCE])
         code_of = np.fromiter(map(self.codes.__getitem__, unique), np.int64, len(unique))
         for piece in fresh:  # long pieces hardly come back
             if len(piece) > LONGEST_KEPT:
