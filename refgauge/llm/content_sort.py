@@ -10,9 +10,8 @@ lengths and digests.
 
 Of equal texts the row with the most code points stays, then the one with the smallest id. Null
 texts count as empty, and empty texts are equal to each other. A null id is larger than all others.
-Rows that repeat, id included, are all returned; all rows with the id that stays are marked kept
-when also their text is as long, so callers with unique ids get one kept row a group. Further
-columns are left out. An empty table gives an empty result.
+Rows that repeat, id included, are all returned; one row of each group is marked kept, if ids repeat
+or are null too. Further columns are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from refgauge.llm.inputs import documents_of, without
+from refgauge.llm.inputs import documents_of, marked, without
 from refgauge.workspace import written
 
 SALTS = 64
@@ -41,7 +40,7 @@ def digest(body: Column) -> Column:
 def runs(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """A row a document with its digest, and what its run of equal texts amounts to on the first row.
 
-    `in_run` is null but on the first row of a run.
+    `in_run` is null but on the first row of a run. `row` tells rows apart once they are written.
     """
     text = F.coalesce("text", F.lit(""))
     rows = documents_of(docs).select(
@@ -57,15 +56,16 @@ def runs(docs: DataFrame, salts: int = SALTS) -> DataFrame:
         "doc_id", "n_chars", digest(F.col("body")).alias("text_sha256"),
         F.when(F.row_number().over(run) == 1, F.count(F.lit(1)).over(run.rowsBetween(
             Window.unboundedPreceding, Window.unboundedFollowing))).alias("in_run"),
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
-def deduplicated(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of `docs`."""
+def judged(docs: DataFrame, salts: int = SALTS) -> DataFrame:
+    """doc_id, n_chars, keep_id, group_size, kept, text_sha256: one row for each row of `docs`."""
     rows = written(runs(docs, salts), "runs")
     better = F.struct(
         (-F.col("n_chars")).alias("longest"), F.col("doc_id").isNull().alias("last"),
-        F.col("doc_id").alias("keep_id"),
+        F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"),
     )
     groups = (
         rows.filter("in_run IS NOT NULL").groupBy("text_sha256")
@@ -74,14 +74,39 @@ def deduplicated(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     )
     best = F.coalesce("best", better)
     return rows.join(groups, "text_sha256", "left").select(
-        "doc_id", best["keep_id"].alias("keep_id"),
+        "doc_id", "n_chars", best["keep_id"].alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
-        (F.col("doc_id").eqNullSafe(best["keep_id"]) & (-F.col("n_chars") == best["longest"])).alias("kept"),
-        "text_sha256",
+        (F.col("row") == best["keep_row"]).alias("kept"), "text_sha256",
     )
 
 
+def deduplicated(docs: DataFrame, salts: int = SALTS) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of `docs`."""
+    return judged(docs, salts).drop("n_chars")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, all columns, that stay."""
-    dropped = deduplicated(docs).filter("NOT kept")
-    return without(docs, dropped, {"text_sha256": digest(without_space(F.coalesce("text", F.lit(""))))})
+    """One row of each group of equal texts, all columns.
+
+    Rows are found again by id, length and digest. Where a kept row shares them with others, which
+    repeat it, the one whose text is the least stays; they are combined before they are moved.
+    """
+    length = F.length(F.coalesce("text", F.lit("")))
+    on = {"n_chars": length, "text_sha256": digest(without_space(F.coalesce("text", F.lit(""))))}
+    found = (
+        judged(docs).filter("group_size > 1").groupBy("doc_id", *on)
+        .agg(F.max("kept").alias("best"), F.count(F.lit(1)).alias("n")).filter("NOT best OR n > 1")
+    )
+    found = written(found, "copies")
+    others = without(docs, found, on, null_ids=True)
+    repeated = found.filter("best")
+    every, hit, own = marked(docs, repeated)
+    keys = {"__key0": F.col("doc_id"), **{f"__key{k}": column for k, column in enumerate(on.values(), 1)}}
+    wanted = repeated.select(*(F.col(c).alias(f"{key}_kept") for key, c in zip(keys, ["doc_id", *on])))
+    least = F.struct(F.col("text").isNull(), "text")
+    picked = (
+        every.filter(hit).withColumns(keys).groupBy(*keys).agg(F.min_by(F.struct(*own), least).alias("first"))
+        .join(wanted, [F.col(key).eqNullSafe(F.col(f"{key}_kept")) for key in keys], "left_semi")
+        .select(*(F.col(f"first.{c}").alias(c) for c in own))
+    )
+    return others.union(picked.toDF(*docs.columns))

@@ -89,23 +89,34 @@ def texts_of(docs: DataFrame, ids: DataFrame, words: int = 1 << 17) -> DataFrame
     return likely.join(ids, "doc_id")
 
 
-def without(docs: DataFrame, dropped: DataFrame, on: dict[str, Column] | None = None, words: int = 1 << 17) -> DataFrame:
+def marked(docs: DataFrame, ids: DataFrame, words: int = 1 << 17) -> tuple[DataFrame, Column, list[str]]:
+    """`docs` with columns doc_id and text besides its own, whether a row's doc_id may be in `ids`, own names."""
+    names = docs.columns
+    own = [f"__c{k}" for k in range(len(names))]
+    plain = docs.toDF(*own)
+    kinds = {"doc_id": "bigint", "text": "string"}
+    plain = plain.select("*", *(F.col(own[names.index(c)]).cast(t).alias(c) for c, t in kinds.items() if c in names))
+    bits, word, mask = bit_table(ids, words)
+    every = plain.join(F.broadcast(bits.withColumnRenamed("__word", "__own")), word == F.col("__own"), "left")
+    return every, F.coalesce(F.col("__bits").bitwiseAND(mask) != 0, F.lit(False)), own
+
+
+def without(
+    docs: DataFrame, dropped: DataFrame, on: dict[str, Column] | None = None, words: int = 1 << 17,
+    null_ids: bool = False,
+) -> DataFrame:
     """The rows of `docs`, all columns, but for those with a doc_id in `dropped`.
 
     on: further columns of `dropped`, and what a row must have there to go. Only rows that may have to
     go, by a broadcast table of bits of a fixed size, are moved for the exact join. Rows with a null
-    doc_id stay.
+    doc_id stay; with `null_ids` they go like others.
     """
     on = on or {}
-    names = docs.columns
-    own = [f"__c{k}" for k in range(len(names))]
-    plain = docs.toDF(*own)
-    plain = plain.select("*", *(F.col(own[names.index(c)]).alias(c) for c in ("doc_id", "text") if c in names))
-    bits, word, mask = bit_table(dropped.filter("doc_id IS NOT NULL"), words)
-    marked = plain.join(F.broadcast(bits.withColumnRenamed("__word", "__own")), word == F.col("__own"), "left")
-    hit = F.coalesce(F.col("__bits").bitwiseAND(mask) != 0, F.lit(False))
+    dropped = dropped if null_ids else dropped.filter("doc_id IS NOT NULL")
+    every, hit, own = marked(docs, dropped, words)
     keys = {f"__key{k}": column for k, column in enumerate([F.col("doc_id"), *on.values()])}
-    gone = dropped.select(*(F.col(name).alias(key) for key, name in zip(keys, ["doc_id", *on]))).distinct()
-    stay = marked.filter(~hit).select(*own)
-    unsure = marked.filter(hit).withColumns(keys).join(gone, list(keys), "left_anti").select(*own)
-    return stay.unionByName(unsure).toDF(*names)
+    gone = dropped.select(*(F.col(name).alias(f"{key}_gone") for key, name in zip(keys, ["doc_id", *on]))).distinct()
+    same = [F.col(key).eqNullSafe(F.col(f"{key}_gone")) for key in keys]
+    stay = every.filter(~hit).select(*own)
+    unsure = every.filter(hit).withColumns(keys).join(gone, same, "left_anti").select(*own)
+    return stay.unionByName(unsure).toDF(*docs.columns)

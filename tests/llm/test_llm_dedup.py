@@ -53,6 +53,21 @@ def test_one_of_each_keeps_all_columns(spark):
     ]
 
 
+def test_one_row_of_each_group_stays(spark):
+    texts = [(1, "a b"), (1, "a b"), (1, "a  b"), (2, "a b"), (None, "c"), (None, "c"), (None, " c"), (3, "d"), (3, "d"),
+             (None, None), (None, ""), (None, "alone"), (3, "e"), (5, " f"), (5, "f ")] + [(None, "g h")] * 50
+    docs = documents(spark, texts).repartition(7)
+    rows = content_sort.deduplicated(docs).collect()
+    assert sorted((r.doc_id or 0, r.keep_id or 0, r.group_size) for r in rows if r.kept) == [
+        (0, 0, 1), (0, 0, 2), (0, 0, 3), (0, 0, 50), (1, 1, 4), (3, 3, 1), (3, 3, 2), (5, 5, 2)
+    ]
+    kept = content_sort.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r[0], r[1] or "") for r in kept.collect()), key=key) == sorted(
+        [(1, "a  b"), (None, " c"), (3, "d"), (None, ""), (None, "alone"), (3, "e"), (5, " f"), (None, "g h")], key=key
+    )
+
+
 def marks(texts):
     found = {(i, d): k for i, _, _, k, d in copies(texts)}
     return [found[i, hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t or "").encode()).hexdigest()] for i, t in texts]
