@@ -4,7 +4,7 @@ Documents are range-partitioned by id and sorted; each task encodes its range, a
 and writes blocks of some million ids. In a block, frequent pairs of neighbouring symbols are
 replaced by new symbols (Re-Pair, many pairs a round): a round counts all pairs within documents,
 takes those that come often enough, and replaces their occurrences from left to right, until no pair
-does or the 16-bit symbols are used up. A block keeps the rules, how many ids each symbol expands
+does. Symbols have 32 bits. A block keeps the rules, how many ids each symbol expands
 to, where each document starts among the symbols, and the symbols, so any range of ids of any
 document can be decoded from its own symbols alone.
 
@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from refgauge.llm.encode import encoder, gather, small_batches
 from refgauge.llm.inputs import documents_of, reachable
 
-SYMBOLS = 1 << 16
+FACTORS = tuple(np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+SHIFT = 4  # a round takes pairs with at least this power of 1/2 of the top count
 BLOCKS = (
     "part bigint, block bigint, first_id bigint, n_ids bigint, base int, doc_ids array<bigint>, "
     "doc_starts binary, rules binary, expansions binary, symbols binary"
@@ -43,65 +44,108 @@ class Grammar(NamedTuple):
     """Symbols from `base` on stand for the pair `rules[symbol - base]` and for `expansions` ids."""
 
     base: int
-    rules: np.ndarray  # (n, 2) of 16-bit symbols
+    rules: np.ndarray  # (n, 2) of 32-bit symbols
     expansions: np.ndarray  # ids per rule
     symbols: np.ndarray  # of all documents, one after the other
     starts: np.ndarray  # where each document starts in symbols, and the end
 
 
-def replaceable(places: np.ndarray) -> np.ndarray:
-    """Of ascending places at which pairs stand, those left when none may overlap the one before."""
+def replaceable(places: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Of ascending places at which pairs stand, those left when none may overlap the one before.
+
+    following: where the symbol after each place stands.
+    """
     if not len(places):
         return places
-    new_run = np.concatenate([[True], np.diff(places) > 1])
+    new_run = np.concatenate([[True], places[1:] != following[:-1]])
     run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(places)), 0))
     return places[(np.arange(len(places)) - run_start) % 2 == 0]
 
 
-def compress(ids: np.ndarray, starts: np.ndarray, base: int, least: int = 16, rounds: int = 3) -> Grammar:
+def places_in(pairs: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each key stands among the distinct pairs, -1 if nowhere; by hashing, faster than a search."""
+    bits = max(10, min(22, int(len(pairs)).bit_length() + 4))
+    found, rest, left = np.full(len(keys), -1, np.int32), np.arange(len(pairs), dtype=np.int32), None
+    for factor in FACTORS:
+        def slot(x: np.ndarray) -> np.ndarray:
+            return (x.astype(np.uint64) * factor) >> np.uint64(64 - bits)
+
+        table = np.full(1 << bits, -1, np.int32)
+        own = slot(pairs[rest])
+        table[own] = rest
+        own_keys = keys if left is None else keys[left]
+        at = table[slot(own_keys)]
+        hit = (at >= 0) & (pairs[at] == own_keys)
+        if left is None:
+            found[hit] = at[hit]
+            left = np.flatnonzero(~hit)
+        else:
+            found[left[hit]] = at[hit]
+            left = left[~hit]
+        rest = rest[table[own] != rest]
+        if not len(rest) or not len(left):
+            return found
+    order = np.argsort(pairs[rest])
+    rest = rest[order]
+    at = np.minimum(np.searchsorted(pairs[rest], keys[left]), len(rest) - 1)
+    hit = pairs[rest[at]] == keys[left]
+    found[left[hit]] = rest[at[hit]]
+    return found
+
+
+def compress(ids: np.ndarray, starts: np.ndarray, base: int, least: int = 16, rounds: int | None = None) -> Grammar:
     """The grammar of documents ids[starts[k]:starts[k + 1]]; pairs that come `least` times are frequent.
 
-    Each round takes pairs down to a share of the commonest one's count, the last down to `least`.
+    Each round takes pairs down to a share of the commonest one's count, until no pair is frequent (or
+    after `rounds`). Pairs that were not frequent never get so, but with a new symbol in them, so a
+    round looks only at places where a pair was frequent or a symbol is new (`live`). Symbols keep
+    their places, and know the next and the one before, until the end.
     """
-    symbols, starts = ids.astype(np.uint16), starts.astype(np.int64)
-    rules, sizes = np.empty((0, 2), np.uint16), np.ones(base, np.int64)
-    for number in range(rounds):
-        if len(symbols) < 2 or len(sizes) >= SYMBOLS:
-            break
-        keys = symbols[:-1].astype(np.uint32) << 16 | symbols[1:]
-        crossing = starts[1:-1] - 1  # a document's last symbol pairs with nothing
-        inner = np.ones(len(keys), bool)
-        inner[crossing[(crossing >= 0) & (crossing < len(keys))]] = False
-        ordered = np.sort(keys[inner])
-        if not len(ordered):
+    starts, n = starts.astype(np.int64), len(ids)
+    symbols = np.append(ids, 0).astype(np.uint32)
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+    lasts, firsts = starts[1:][starts[1:] > 0] - 1, starts[:-1][starts[:-1] < n]
+    after[lasts], before[firsts], after[n] = n, n, n  # a document's last symbol pairs with nothing
+    stays, live = np.ones(n + 1, bool), after < n
+    rules, sizes, number = np.empty((0, 2), np.uint32), np.ones(base, np.int64), 0
+    while rounds is None or number < rounds:
+        number += 1
+        at = np.flatnonzero(live)
+        if not len(at):
             break
+        left, right = symbols[at], symbols[after[at]]
+        half, kind = (16, np.uint32) if len(sizes) <= 1 << 16 else (32, np.uint64)  # short keys sort faster
+        keys = left.astype(kind) << kind(half) | right
+        ordered = np.sort(keys)
         edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]))
-        counts, pairs = np.diff(edges), ordered[edges[:-1]]
-        top = int(counts.max())
-        if top < least:
+        counts = np.diff(edges)
+        often = np.flatnonzero(counts >= least)
+        if not len(often):
             break
-        bound = max(least, top >> 4) if number + 1 < rounds else least
-        chosen = np.flatnonzero(counts >= bound)
-        room = SYMBOLS - len(sizes)
-        if len(chosen) > room:
-            chosen = np.sort(chosen[np.argsort(-counts[chosen], kind="stable")[:room]])
-        pairs = pairs[chosen]
-        left, right = pairs >> 16, pairs & 0xFFFF
-        starts_pair, ends_pair = np.zeros(SYMBOLS, bool), np.zeros(SYMBOLS, bool)
-        starts_pair[left], ends_pair[right] = True, True
-        likely = np.flatnonzero(starts_pair[symbols[:-1]] & ends_pair[symbols[1:]] & inner)
-        found = np.minimum(np.searchsorted(pairs, keys[likely]), len(pairs) - 1)
-        hit = pairs[found] == keys[likely]
-        places, new = likely[hit], found[hit]
-        kept = replaceable(places)
-        symbols[kept] = (len(sizes) + new[np.searchsorted(places, kept)]).astype(np.uint16)
-        stays = np.ones(len(symbols), bool)
-        stays[kept + 1] = False
-        before = np.concatenate([[0], np.cumsum(stays)])
-        symbols, starts = symbols[stays], before[starts]
-        rules = np.concatenate([rules, np.stack([left, right], 1).astype(np.uint16)])
-        sizes = np.concatenate([sizes, sizes[left] + sizes[right]])
-    return Grammar(base, rules, sizes[base:].astype(np.uint32), symbols, starts)
+        pairs, counts = ordered[edges[often]], counts[often]
+        found = places_in(pairs, keys)
+        at, found = at[found >= 0], found[found >= 0]
+        chosen = counts >= max(least, int(counts.max()) >> SHIFT)
+        hit = chosen[found]
+        places, new = at[hit], found[hit]
+        kept = replaceable(places, after[places])
+        new = new[np.searchsorted(places, kept)]
+        used = np.bincount(new, minlength=len(pairs)) > 0
+        named = np.cumsum(used) - 1 + len(sizes)
+        own = np.stack([pairs[used] >> kind(half), pairs[used] & kind((1 << half) - 1)], 1).astype(np.uint32)
+        gone = after[kept]
+        symbols[kept], after[kept] = named[new], after[gone]
+        before[after[kept]] = kept
+        stays[gone] = False
+        live[:] = False
+        live[at], live[kept], live[before[kept]] = True, True, True
+        live[gone] = False
+        live[kept[after[kept] == n]] = False
+        live[n] = False
+        rules = np.concatenate([rules, own])
+        sizes = np.concatenate([sizes, sizes[own[:, 0]] + sizes[own[:, 1]]])
+    ends = np.concatenate([[0], np.cumsum(stays[:n])])
+    return Grammar(base, rules, sizes[base:].astype(np.uint32), symbols[:n][stays[:n]], ends[starts])
 
 
 class Expander:
@@ -154,8 +198,8 @@ def write(
             g = compress(np.concatenate(held), np.concatenate([[0], np.cumsum(sizes)]), base)
             row = {
                 "part": part, "block": number, "first_id": before, "n_ids": n, "base": base, "doc_ids": doc_ids,
-                "doc_starts": g.starts.astype("<i8").tobytes(), "rules": g.rules.astype("<u2").tobytes(),
-                "expansions": g.expansions.astype("<u4").tobytes(), "symbols": g.symbols.astype("<u2").tobytes(),
+                "doc_starts": g.starts.astype("<i8").tobytes(), "rules": g.rules.astype("<u4").tobytes(),
+                "expansions": g.expansions.astype("<u4").tobytes(), "symbols": g.symbols.astype("<u4").tobytes(),
             }
             return pa.RecordBatch.from_pylist([row], SCHEMA)
 
@@ -189,9 +233,9 @@ SCHEMA = pa.schema([
 def opened(row: dict) -> tuple[Expander, np.ndarray, np.ndarray]:
     """The expander, symbols and document starts of a block."""
     expander = Expander(
-        row["base"], np.frombuffer(row["rules"], "<u2").reshape(-1, 2), np.frombuffer(row["expansions"], "<u4")
+        row["base"], np.frombuffer(row["rules"], "<u4").reshape(-1, 2), np.frombuffer(row["expansions"], "<u4")
     )
-    return expander, np.frombuffer(row["symbols"], "<u2"), np.frombuffer(row["doc_starts"], "<i8")
+    return expander, np.frombuffer(row["symbols"], "<u4"), np.frombuffer(row["doc_starts"], "<i8")
 
 
 def blocks(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -116,6 +117,34 @@ def test_grammar_expands_to_its_ids(docs):
         assert expander.ids(g.symbols[g.starts[k] : g.starts[k + 1]]).tolist() == d
 
 
+def most_common_pair(g):
+    pairs = Counter()
+    for a, b in zip(g.starts[:-1], g.starts[1:]):
+        own = g.symbols[a:b].tolist()
+        pairs.update(zip(own[:-1], own[1:]))
+    return max(pairs.values(), default=0)
+
+
+def test_no_frequent_pair_is_left():
+    r = np.random.default_rng(3)
+    text, passage = r.integers(0, 900, 700), r.integers(0, 900, 150)
+    docs = [text] * 40 + [np.concatenate([r.integers(0, 900, 60), passage, r.integers(0, 900, 31)]) for _ in range(50)]
+    docs += [np.zeros(5000, int), r.integers(0, 12, 20_000)]
+    flat, starts = np.concatenate(docs).astype(np.uint32), np.cumsum([0, *map(len, docs)])
+    g = repair_shards.compress(flat, starts, 900)
+    assert most_common_pair(g) < 16
+    assert set(np.diff(g.starts)[:40]) == {1}  # a copy is one symbol
+    assert repair_shards.Expander(g.base, g.rules, g.expansions).ids(g.symbols).tolist() == flat.tolist()
+
+
+def test_rules_are_not_limited_to_16_bit_symbols():
+    pairs = np.arange(14_000, dtype=np.uint32)  # 7,000 frequent pairs beside a vocabulary of 60,000
+    flat, starts = np.tile(pairs, 16), np.arange(0, 16 * len(pairs) + 1, 2)
+    g = repair_shards.compress(flat, starts, 60_000)
+    assert len(g.rules) == 7000 and len(g.symbols) == 16 * 7000
+    assert repair_shards.Expander(g.base, g.rules, g.expansions).ids(g.symbols).tolist() == flat.tolist()
+
+
 def check_packing(rows, texts, tokenizer, capacity):
     want, sequences = {}, {}
     for i, text in texts:
