@@ -8,6 +8,11 @@ longer ones with few function words inside an article, stay open; the second pas
 label of the nearest decided block in the same landmark. Where nothing is decided there, blocks in
 an article are good, and elsewhere all but short ones.
 
+Classes, ids and forms are evidence only: an element that they call boilerplate, but that holds most
+of the page's long blocks of few links, is read as if it had none of them (`wrappers`). Pages in
+languages without a list of function words are told by length and links alone; wide characters, as
+of Chinese, count twice there.
+
 Null pages count as empty: text "" and 0 code points. Rows that repeat give repeated results.
 Further columns are left out. An empty table gives an empty result. Markup cut off at the end of a
 page counts as text no further than its last closed tag; elements left open end with the page.
@@ -38,6 +43,7 @@ UNREAD_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form header dialog menu".split())
+COMMENT_NAMES = frozenset("comment comments reply replies respond disqus".split())
 MAIN_TAGS = frozenset("article main".split())
 BOILERPLATE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split()
@@ -63,12 +69,16 @@ FUNCTION_WORDS = {language: frozenset(words.split()) for language, words in FUNC
 
 SHORT, LONG = 70, 140  # characters
 MANY, SOME = 0.28, 0.15  # share of function words
-MOST_LINKED = 0.5
+MOST_LINKED, FEW_LINKED = 0.5, 0.25
+LISTED = 0.2  # least share in long blocks at which a page is taken for one in a language with a list
+ALONE = 3  # long blocks that an element must hold to be read, unless it holds half of all blocks
 
 TAG = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*+)")
 REST_OF_TAG = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
 ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role|lang|style|aria-hidden)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++)|\s(hidden)(?=[\s/>=]|$)""")
 UNREAD_ENDS = {tag: re.compile(rf"(?i)</{tag}(?=[\s/>])[^>]*+>") for tag in UNREAD_TAGS}
+WIDE = re.compile("[\u1100-\u11ff\u2e80-\ua4cf\uac00-\ud7af\uf900-\ufaff\uff01-\uff60\U00020000-\U0003ffff]")
+LATIN = re.compile("[A-Za-z\u00c0-\u024f]")
 NOT_LETTERS = re.compile(r"[^a-z]+")
 EDGES = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»„“”‘’…¿¡"
 
@@ -77,6 +87,7 @@ class Landmark(NamedTuple):
     tag: str
     kind: str  # main, boilerplate or body
     number: int
+    soft: bool = False  # boilerplate by its class, its id or as a form
 
 
 class Block(NamedTuple):
@@ -127,14 +138,15 @@ def attributes(rest: str) -> dict[str, str]:
     return found
 
 
-def landmark(tag: str, rest: str, outer: Landmark, number: int) -> Landmark | None:
-    """The landmark that an element opens, if it opens one."""
+def landmark(tag: str, rest: str, outer: Landmark, number: int, overruled: frozenset[int] = frozenset()) -> Landmark | None:
+    """The landmark that an element opens, if it opens one; class, id and form do not if overruled."""
+    soft = number not in overruled
     if tag in MAIN_TAGS:
         inside_comment = outer.kind == "boilerplate" and outer.tag == "comment"
-        return Landmark("comment", "boilerplate", number) if inside_comment else Landmark(tag, "main", number)
-    if tag in BOILERPLATE_TAGS:
+        return Landmark("comment", "boilerplate", number, True) if inside_comment else Landmark(tag, "main", number)
+    if tag in BOILERPLATE_TAGS and (tag != "form" or soft):
         # An article's own header has its title.
-        return None if tag == "header" and outer.kind == "main" else Landmark(tag, "boilerplate", number)
+        return None if tag == "header" and outer.kind == "main" else Landmark(tag, "boilerplate", number, tag == "form")
     if not rest or tag in ("body", "html"):
         return None
     own = attributes(rest)
@@ -142,18 +154,61 @@ def landmark(tag: str, rest: str, outer: Landmark, number: int) -> Landmark | No
         return Landmark(tag, "boilerplate", number)
     if own.get("role") == "main":
         return Landmark(tag, "main", number)
-    if own.get("role") in BOILERPLATE_ROLES:
-        return Landmark(tag, "boilerplate", number)
+    if own.get("role") in BOILERPLATE_ROLES and (own["role"] != "form" or soft):
+        return Landmark(tag, "boilerplate", number, own["role"] == "form")
     names = set(NOT_LETTERS.split(own.get("class", "") + " " + own.get("id", ""))) & BOILERPLATE_NAMES
     if outer.kind == "main":
         names -= {"header", "form", "notice", "legal", "tags", "hidden"}
-    if not names:
+    if not names or not soft:
         return None
-    return Landmark("comment" if names & {"comment", "comments", "reply", "replies", "respond", "disqus"} else tag, "boilerplate", number)
+    return Landmark("comment" if names & COMMENT_NAMES else tag, "boilerplate", number, True)
+
+
+def width(text: str) -> int:
+    return len(text) if text.isascii() else len(text) + len(WIDE.findall(text))
+
+
+def clear(block: Block) -> bool:
+    """Whether a block is long and has few links."""
+    return width(block.text) >= LONG and block.linked <= FEW_LINKED
+
+
+def wrappers(blocks: list[Block], inside: dict[Landmark, Landmark]) -> frozenset[int]:
+    """The soft landmarks that hold most of the page's clear blocks, those of comments if all of them.
+
+    Blocks in other boilerplate do not count, and nothing is a wrapper beside an article that has
+    clear blocks. inside: the landmark around each one.
+    """
+    every: Counter[Landmark] = Counter(b.landmark for b in blocks)
+    body = Landmark("body", "body", 0)
+    long = Counter(b.landmark for b in blocks if clear(b))
+    main = Counter({mark: n for mark, n in long.items() if mark.kind == "main"})
+    for mark in sorted(inside, key=lambda mark: -mark.number):  # inner ones first
+        outer = inside[mark]
+        every[outer] += every[mark]
+        if mark.kind != "boilerplate" or mark.soft:
+            long[outer] += long[mark]
+            main[outer] += main[mark]
+    return frozenset(
+        mark.number for mark in inside
+        if mark.soft and main[mark] == main[body]
+        and (long[mark] == long[body] if mark.tag == "comment" else 2 * long[mark] > long[body])
+        and long[mark] >= (1 if 2 * every[mark] >= every[body] else ALONE)
+    )
 
 
 def blocks_of(page: str) -> tuple[list[Block], str]:
     """The blocks with text in page order, and the language that the page states."""
+    found, language, inside = read(page, frozenset())
+    if any(mark.soft for mark in inside):
+        overruled = wrappers(found, inside)
+        if overruled:
+            found, language, _ = read(page, overruled)
+    return found, language
+
+
+def read(page: str, overruled: frozenset[int]) -> tuple[list[Block], str, dict[Landmark, Landmark]]:
+    """The blocks, the language, and the landmark around each landmark."""
     body = Landmark("body", "body", 0)
     stack: list[tuple[str, Landmark]] = []  # open elements and the landmark inside each
     n_open: Counter[str] = Counter()
@@ -161,6 +216,7 @@ def blocks_of(page: str) -> tuple[list[Block], str]:
     text: list[str] = []
     linked = in_link = 0
     found: list[Block] = []
+    inside: dict[Landmark, Landmark] = {}
 
     def end_block() -> None:
         nonlocal text, linked, in_link
@@ -210,15 +266,16 @@ def blocks_of(page: str) -> tuple[list[Block], str]:
             if name in VOID_TAGS:
                 continue
             opened += 1
-            inner = landmark(name, rest, here, opened)
+            inner = landmark(name, rest, here, opened, overruled)
             if inner:
+                inside[inner] = here
                 end_block()
                 in_link = name == "a"
             stack.append((name, inner or here))
             n_open[name] += 1
             here = stack[-1][1]
     end_block()
-    return found, language
+    return found, language, inside
 
 
 def function_share(words: list[str], language: str) -> float:
@@ -226,17 +283,36 @@ def function_share(words: list[str], language: str) -> float:
     return sum(w in own for w in words) / len(words) if words else 0.0
 
 
+def listed(blocks: list[Block], bare: list[list[str]], stated: str) -> str | None:
+    """The language whose function words tell the blocks of a page, if there is a list for its own.
+
+    A stated language holds, but for one in Latin letters where most letters of the long blocks are not.
+    """
+    long = [k for k, b in enumerate(blocks) if clear(b) and b.landmark.kind != "boilerplate"]
+    text = "".join(blocks[k].text for k in long)
+    if not text.isascii():
+        letters = sum(map(str.isalpha, text))
+        if 2 * len(LATIN.findall(text)) < letters:
+            return None
+    if stated and stated.isalpha():
+        return stated if stated in FUNCTION_WORDS else None
+    every = [w for k in long for w in bare[k]]
+    best = max(FUNCTION_WORDS, key=lambda name: function_share(every, name))
+    return best if function_share(every, best) >= LISTED else None
+
+
 def labels(blocks: list[Block], language: str) -> list[bool]:
     """Whether each block is main text."""
     bare = [[w.strip(EDGES).lower() for w in b.text.split()] for b in blocks]
-    if language not in FUNCTION_WORDS:
-        every = [w for words in bare for w in words]
-        language = max(FUNCTION_WORDS, key=lambda name: function_share(every, name))
+    own_language = listed(blocks, bare, language)
     decided: list[bool | None] = []
     for block, words in zip(blocks, bare):
-        share = function_share(words, language)
+        share = function_share(words, own_language) if own_language else 0.0
         if block.landmark.kind == "boilerplate" or block.linked > MOST_LINKED:
             decided.append(False)
+        elif not own_language:
+            long = width(block.text) >= (SHORT if block.landmark.kind == "main" else LONG)
+            decided.append(True if long and block.linked <= FEW_LINKED else None)
         elif len(block.text) < SHORT:
             decided.append(None)
         elif share >= MANY and len(block.text) >= LONG or share >= SOME and block.landmark.kind == "main":

@@ -40,6 +40,34 @@ def test_blocks_without_landmarks_are_told_by_their_words():
     assert html_blocks.main_text(page).split("\n") == ["A title", (PROSE * 4).strip(), "Short one.", (PROSE * 3).strip()]
 
 
+RUSSIAN = "Город стоит на берегу широкой реки, и жители его издавна строили лодки для торговли с соседями. "
+POLISH = "Miasto leży nad szeroką rzeką, a jego mieszkańcy od dawna budowali łodzie do handlu z sąsiadami. "
+CHINESE = "这座城市位于一条宽阔的河流旁边，当地居民自古以来就建造船只与邻近地区进行贸易往来。"
+MENU = "<ul><li><a href=a>Home of all</a><li><a href=b>News</a></ul>"
+
+
+@pytest.mark.parametrize("prose", [RUSSIAN, POLISH, CHINESE])
+@pytest.mark.parametrize("lang", ["", ' lang="{}"'])
+def test_pages_in_languages_without_a_list(prose, lang):
+    lang = lang.format({RUSSIAN: "ru", POLISH: "pl", CHINESE: "zh"}[prose])
+    page = f"<html{lang}><body>{MENU}<p>{prose * 4}<p>{prose * 3}<footer>{prose * 4}</footer></body></html>"
+    assert html_blocks.main_text(page).split("\n") == [(prose * 4).strip(), (prose * 3).strip()]
+    assert html_blocks.main_text(f'<html lang="en"><body>{MENU}<p>{RUSSIAN * 4}</body>') == (RUSSIAN * 4).strip()
+
+
+@pytest.mark.parametrize("opening", ['div class="has-sidebar"', 'div id="page-with-nav"', "form action=x", 'div class="comments-open"'])
+def test_wrappers_do_not_hide_the_article(opening):
+    body = f'<div class="sidebar"><p>{PROSE * 3}</div>{MENU}<p>{PROSE * 4}<p>{PROSE * 3}<nav><p>{PROSE * 9}</nav>'
+    page = f'<html lang="en"><body><{opening}>{body}</{opening.split()[0]}></body></html>'
+    assert html_blocks.main_text(page).split("\n") == [(PROSE * 4).strip(), (PROSE * 3).strip()]
+
+
+def test_boilerplate_beside_the_article_stays_out():
+    rest = f'{MENU}<div class="comments"><p>{PROSE * 3}<p>{PROSE * 3}<p>{PROSE * 3}</div><div class="cookie">{PROSE * 3}</div>'
+    for article in (f"<article><p>{PROSE * 4}</article>", f"<p>{PROSE * 4}"):
+        assert html_blocks.main_text(f'<html lang="en"><body>{article}{rest}</body>') == (PROSE * 4).strip()
+
+
 @pytest.mark.parametrize(
     "page", ["", "<", "<p", "&", "<!--", "<script>x", "</p></div>", "<a " * 20000, "<b>" * 20000 + "</i>" * 20000,
              '<p a="' * 10000, "<p>x" * 20000, "<" * 30000, "<!" * 20000, "<div hidden>x" * 5000]
