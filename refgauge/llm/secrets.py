@@ -5,10 +5,11 @@ hit is then tried with a pattern anchored at it. Runs of hexadecimal digits have
 32 or more covers two neighbouring places of a grid of step 16, so the grid is looked at and the
 run around such a pair is measured. Added kinds (access tokens of code hosts with a checksum, card
 numbers, bank account numbers, private keys, web tokens) count only if the checksum or structure
-that they carry holds.
+that they carry holds. Cards and bank accounts are also looked for where they do not follow their
+keyword directly but start within `NEAR` bytes after it; the span is then the number alone.
 
 Within a kind, matches are leftmost and do not overlap, as if the pattern had been run over the
-whole text. Spans are in code points, the end exclusive. Null texts count as empty: no spans.
+whole text; numbers near a keyword fill what is left. Spans are in code points, the end exclusive. Null texts count as empty: no spans.
 Repeated rows give repeated results; further columns are left out; an empty table gives an empty
 result.
 """
@@ -21,6 +22,7 @@ import hashlib
 import json
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -75,6 +77,8 @@ class Kind(NamedTuple):
     pattern: re.Pattern[bytes]
     valid: Callable[[bytes], bool]
     group: int = 0
+    begins: re.Pattern[bytes] | None = None  # where numbers near a keyword may begin, and the longest
+    longest: re.Pattern[bytes] | None = None
 
 
 # The kinds that every scan reports, with their patterns and least lengths.
@@ -86,6 +90,9 @@ ASSIGN = Kind(
 ACCESS = Kind("access", (b"akia",), re.compile(rb"AKIA[A-Z0-9]+"), lambda found: len(found) >= 16)
 HEX, HEX_LENGTH = "hex", 32
 
+NEAR = 64  # bytes after a keyword in which a number may begin
+NEWLINES = rb"(?:\s|\\++[nrt])*+"  # also as JSON and string literals write them
+
 #: Kinds added to those; their patterns are anchored at the keyword as well.
 ADDED = (
     Kind("code_host", (b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_"),
@@ -93,10 +100,15 @@ ADDED = (
     Kind("web_token", (b"eyj",),
          re.compile(rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), web_token),
     Kind("private_key", (b"-----begin ",),
-         re.compile(rb"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]{0,30}PRIVATE KEY-----"),
+         re.compile(
+             rb"-----BEGIN [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----" + NEWLINES
+             + rb"(?:[A-Za-z][A-Za-z0-9-]{0,40}+:(?:[^\r\n\\]|\\(?![nr\\])){0,300}+" + NEWLINES + rb")*+"
+             + rb"(?:[A-Za-z0-9+/=\s]|\\++[nrt])++-----END [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"),
          anything),
-    Kind("iban", (b"iban",), re.compile(rb"(?i:iban)[:\x20]{1,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"), bank_account, 1),
-    Kind("card", (b"card",), re.compile(rb"(?i:card)(?:\x20?(?i:number|no\.?))?[:#=\x20]{1,3}([0-9](?:[ -]?[0-9]){12,18})(?![0-9])"), luhn, 1),
+    Kind("iban", (b"iban",), re.compile(rb"(?i:iban)[:\x20]{1,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"), bank_account, 1,
+         re.compile(rb"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}"), re.compile(rb"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")),
+    Kind("card", (b"card",), re.compile(rb"(?i:card)(?:\x20?(?i:number|no\.?))?[:#=\x20]{1,3}([0-9](?:[ -]?[0-9]){12,18})(?![0-9])"), luhn, 1,
+         re.compile(rb"(?<![A-Za-z0-9])[0-9]"), re.compile(rb"[0-9](?:[ -]?[0-9]){12,18}")),
 )
 ORDER = (ASSIGN.name, ACCESS.name, HEX, *(kind.name for kind in ADDED))
 
@@ -136,12 +148,27 @@ def hex_runs(data: bytes) -> Iterator[tuple[int, int]]:
             yield start, end
 
 
+def near(kind: Kind, data: bytes, start: int, after: int) -> Iterator[tuple[int, int]]:
+    """The valid numbers of a kind that begin within `NEAR` bytes from start, and not before `after`."""
+    # A beginning may reach over the window's end, as far as the pattern is long.
+    for begin in kind.begins.finditer(data, start, start + NEAR + 4):
+        at = begin.start()
+        longest = kind.longest.match(data, at) if after <= at < start + NEAR else None
+        if longest:
+            for end in range(longest.end(), at + 12, -1):
+                if data[end - 1 : end].isalnum() and not data[end : end + 1].isalnum() and kind.valid(data[at:end]):
+                    yield at, end
+                    after = end
+                    break
+
+
 def byte_spans(data: bytes) -> list[tuple[int, int, str]]:
     """(start, end, kind) in bytes, by start and then the order of kinds."""
     spans = [(a, b, HEX) for a, b in hex_runs(data)]
     ends: dict[str, int] = {}
-    hits = [(last - n + 1, kind) for last, (kind, n) in automaton().iter(data.lower().decode("latin-1"))]
-    for start, kind in sorted(hits, key=lambda hit: hit[0]):
+    found = automaton().iter(data.lower().decode("latin-1"))
+    hits = sorted(((last - n + 1, n, kind) for last, (kind, n) in found), key=lambda hit: hit[0])
+    for start, _, kind in hits:
         if start < ends.get(kind.name, 0):
             continue
         match = kind.pattern.match(data, start)
@@ -149,6 +176,16 @@ def byte_spans(data: bytes) -> list[tuple[int, int, str]]:
             ends[kind.name] = match.end()
             if kind.valid(match[kind.group]):
                 spans.append((start, match.end(), kind.name))
+    for kind in ADDED:
+        if kind.begins and any(k is kind for _, _, k in hits):
+            direct = [(a, b) for a, b, name in spans if name == kind.name]
+            starts, end = [a for a, _ in direct], 0
+            for start, n, hit in hits:
+                for a, b in near(kind, data, start + n, end) if hit is kind else ():
+                    before = bisect_left(starts, b) - 1
+                    if before < 0 or direct[before][1] <= a:
+                        spans.append((a, b, kind.name))
+                    end = b
     return sorted(spans, key=lambda span: (span[0], ORDER.index(span[2])))
 
 
