@@ -15,6 +15,7 @@ from refgauge.llm import (
     quality,
     repair_shards,
     secrets,
+    word_runs,
 )
 from refgauge.llm.inputs import table
 from refgauge.workspace import new_path
@@ -70,6 +71,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.digests(word_runs.with_looped_ends(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_repair_shards": op1_repair_shards,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_maxent_scores": op9_maxent_scores,
     "op10_secret_scan": op10_secret_scan,
+    "op12_repair_runs": op12_repair_runs,
 }
 
 CONTENT_SORT = r"""
