@@ -15,6 +15,7 @@ from refgauge.llm import (
     quality,
     repair_shards,
     secrets,
+    turn_repair,
     word_runs,
 )
 from refgauge.llm.inputs import table
@@ -75,6 +76,10 @@ def op12_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_runs.digests(word_runs.with_looped_ends(table(spark, sf_dir, "documents")))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.digests(turn_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_repair_shards": op1_repair_shards,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -87,6 +92,7 @@ QUERIES = {
     "op9_maxent_scores": op9_maxent_scores,
     "op10_secret_scan": op10_secret_scan,
     "op12_repair_runs": op12_repair_runs,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 CONTENT_SORT = r"""
