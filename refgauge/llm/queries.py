@@ -16,6 +16,7 @@ from refgauge.llm import (
     repair_shards,
     secrets,
     turn_repair,
+    warc_shards,
     word_runs,
 )
 from refgauge.llm.inputs import table
@@ -72,6 +73,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_shards.round_trip(table(spark, sf_dir, "pages"), new_path(spark, "warc"))
+
+
 def op12_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_runs.digests(word_runs.with_looped_ends(table(spark, sf_dir, "documents")))
 
@@ -91,6 +96,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_maxent_scores": op9_maxent_scores,
     "op10_secret_scan": op10_secret_scan,
+    "op11_warc_shards": op11_warc_shards,
     "op12_repair_runs": op12_repair_runs,
     "op13_turn_repair": op13_turn_repair,
 }
