@@ -36,9 +36,16 @@ def unescape(text: Column) -> Column:
 
 
 def first_element(html: Column, tag: str) -> Column:
-    """Decoded content of the first element of a tag; NULL if absent or empty."""
+    """Decoded content of the first element of a tag; NULL if absent or empty.
+
+    If nothing closes the first opening tag, nothing closes a later one, so one of them is looked at,
+    and from there on the text is read once. What follows the last `>` holds no whole tag and is cut
+    off first, so an opening tag always finds its end.
+    """
     name = re.escape(tag)
-    inner = F.regexp_extract(html, rf"(?is)<{name}(?:\s[^>]*+)?>(.*?)</{name}\s*+>", 1)
+    tags = F.regexp_extract(html, r"(?s)\A.*>", 0)
+    opened = F.regexp_extract(tags, rf"(?is)<{name}(?:\s[^>]*+)?>(.*)", 1)
+    inner = F.regexp_extract(opened, rf"(?is)\A(.*?)</{name}\s*+>", 1)
     return unescape(F.nullif(inner, F.lit("")))
 
 

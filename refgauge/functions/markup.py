@@ -19,53 +19,89 @@ _RUN = fixed.PLAIN + "++"
 _HOST = r"https?://(?:[-\w.]++|%[\da-fA-F]{2})++"
 
 # Line ends as Java's dot sees them; the dot stops at each of them.
-_EOL = r"\n\r\u0085\u2028\u2029"
+_EOL = r"\n\r\u0085  "
 _END = rf"(?:\r\n|[{_EOL}])"
-# Stands for the first of two braces that no pair closes on their line; a noncharacter.
-_LOOSE = "\ufdd0"
-_OPEN = rf"(?:\{{\{{|{_LOOSE}[{_LOOSE}{{])"
-_BARE = rf"[^{{}}{_LOOSE}{_EOL}]*+"
+# Marks, both noncharacters: an opening brace with which no template starts, and a place before
+# a line end that no template reaches over.
+_INNER, _CUT = "﷑", "﷒"
+_BRACE = rf"[{{{_INNER}]"
+_BARE = rf"[^{{}}{_INNER}{_CUT}{_EOL}]*+"
 # A line within a template: no braces, or first brace pair opens and last one closes.
-_LINE = rf"{_BARE}(?:\{{\{{(?>.*\}}\}}){_BARE})?+{_END}"
+_INSIDE = rf"{_BARE}(?:{_BRACE}{_BRACE}(?>.*\}}\}}){_BARE})?+"
+_LINE = _INSIDE + _END
 # A line of that kind which may also be the last one of its template.
-_EITHER = rf"{_BARE}\{{\{{.*\}}\}}{_BARE}\}}\}}"
+_EITHER = rf"{_BARE}{_BRACE}{_BRACE}.*\}}\}}{_BARE}\}}\}}"
+_NEWLINE = rf"{_CUT}?+\n"
 
 # What the inside of a template begins with: its end, or a pair of braces closed on its line.
-# Tested first, so that braces which close nowhere cost one look ahead.
-_CLOSES = rf"(?=[^{{}}{_LOOSE}]*+(?:\}}\}}|\{{\{{.*\}}\}}))"
+_CLOSES = rf"(?=[^{{}}{_INNER}{_CUT}]*+(?:\}}\}}|{_BRACE}{_BRACE}.*\}}\}}))"
 
 # A template followed by a newline, up to the latest line on which it can close: either on
 # the first line that cannot belong to its inside, or on the last ambiguous line before that.
 TEMPLATE_BLOCK = (
-    rf"{_OPEN}{_CLOSES}(?:(?:{_LINE})*+{_BARE}\}}\}}\n++"
-    rf"|(?:(?:(?!{_EITHER}\n){_LINE})*+{_EITHER}\n)++\n*+)"
+    rf"\{{{_BRACE}{_CLOSES}(?:(?:{_LINE})*+{_BARE}\}}\}}(?:{_NEWLINE})++"
+    rf"|(?:(?:(?!{_EITHER}{_NEWLINE}){_LINE})*+{_EITHER}{_NEWLINE})++(?:{_NEWLINE})*+)"
 )
 # A template that closes at the end of the text (or before its final line end).
-TEMPLATE_TAIL = (
-    rf"{_OPEN}{_CLOSES}(?:{_LINE}(?!\n?\z))*+(?:{_BARE}|{_BARE}\{{\{{.*\}}\}}{_BARE})\}}\}}$"
-)
+TEMPLATE_TAIL = rf"\{{{_BRACE}{_CLOSES}(?:{_LINE}(?!\n?\z))*+(?:{_BARE}\}}\}}|{_EITHER}){_CUT}?+$"
+# How the last line of either kind looks from its start.
+_CLOSING = rf"{_BARE}(?:{_BRACE}{_BRACE}.*\}}\}}{_BARE})?\}}\}}"
+BLOCK_END, TAIL_END = rf"{_CLOSING}\n", rf"{_CLOSING}$"
+
+# An opening that no closing braces follow on its line, or not as the next ones; and how many of
+# them a text may have without marks.
+_REACHES = rf"\{{(?=\{{[^{{}}{_EOL}]*+(?!\}}\}}))"
+FEW = 16
+
+# An opening whose next braces open too, on its line.
+_NESTS = rf"\{{(?=\{{[^{{}}{_EOL}]*+\{{\{{)"
+_SIMPLE = rf"[^{{{_EOL}]*+(?:(?!{_NESTS})\{{[^{{{_EOL}]*+)*+"
+_UNOPENED = rf"[^{{{_EOL}]*+(?:\{{(?!{_BRACE})[^{{{_EOL}]*+)*+"
+_OPENED = rf"{_UNOPENED}\{{[^{_EOL}]*+"
+
+
+def _mark_inner(text: Column) -> Column:
+    """Marks the openings of a line whose next braces open too, but for the first of them.
+
+    They reach the end of their line as the first one does, with less before it, so where it starts
+    no template neither do they. One opening a line looks through the rest of the line that way.
+    """
+    return F.regexp_replace(text, rf"((?:(?m:^){_SIMPLE}\{{|\G(?!(?m:^))){_SIMPLE}){_NESTS}", f"$1{_INNER}")
+
+
+def _mark_cuts(text: Column, closing: str) -> Column:
+    """Marks the ends of lines with openings after which lines do not lead on to a closing one.
+
+    One match goes over everything up to the next mark: lines without openings, and openings whose
+    closing line is found. From a mark on, all lines up to the first that ends the inside of any template
+    lead nowhere as well, so their openings are marked without a look ahead. Each line is gone through a few times.
+    """
+    idle = rf"(?:(?!{_OPENED}){_LINE})*+"
+    found = rf"{_OPENED}{_END}(?:(?!{closing}){_LINE})*+(?={closing})"
+    more = rf"(?!(?m:^)){_END}{idle}"
+    pattern = (
+        rf"\G({more}(?={_OPENED}){_INSIDE}(?={_END})"
+        rf"|(?:{more})?+(?:{_UNOPENED}{_END}|{found})*+{_OPENED}(?={_END}))"
+    )
+    return F.regexp_replace(text, pattern, f"$1{_CUT}")
 
 
-def mark_loose(text: Column) -> Column:
-    """Braces that open behind the last `}}` of their line told apart from those that may close on it.
+def replace_templates(text: Column, template: str, closing: str, by: str, few: int = FEW) -> Column:
+    """Each match of a template pattern replaced, in time linear in the text; `closing` is the pattern's last line.
 
-    The template patterns expect it: such braces can only open a template that closes on a later
-    line, so nothing behind them on their own line has to be looked through.
+    Marks change no result. Only openings that reach beyond their own closing braces may look through
+    the text in vain, so up to `few` of them go without.
     """
-    closed = lambda line: F.regexp_extract(line, r"(?s)^.*\}\}", 0)
-    lines = F.transform(F.split(text, rf"(?<=[{_EOL}])"), lambda line: F.concat(
-        closed(line),
-        F.regexp_replace(F.substring(line, F.length(closed(line)) + 1, F.length(line)), r"\{(?=\{)", _LOOSE),
-    ))
-    return F.when(F.contains(text, F.lit("{{")), F.array_join(lines, "")).otherwise(text)
+    many = F.regexp_count(text, F.lit(_REACHES)) > few
+    marked = F.when(many, _mark_cuts(_mark_inner(text), closing)).otherwise(text)
+    replaced = F.regexp_replace(marked, template, by)
+    return F.replace(F.replace(replaced, F.lit(_INNER), F.lit("{")), F.lit(_CUT), F.lit(""))
 
 
 def without_templates(text: Column) -> Column:
     """Each template that ends its line or the text, replaced by a blank line."""
-    marked = mark_loose(text)
-    for pattern in (TEMPLATE_BLOCK, TEMPLATE_TAIL):
-        marked = F.regexp_replace(marked, pattern, "\n\n")
-    return F.replace(marked, F.lit(_LOOSE), F.lit("{"))
+    blocks = replace_templates(text, TEMPLATE_BLOCK, BLOCK_END, "\n\n")
+    return replace_templates(blocks, TEMPLATE_TAIL, TAIL_END, "\n\n")
 
 
 def _link_before(end: str) -> str:

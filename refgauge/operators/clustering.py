@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -15,8 +16,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from refgauge import fixed
+from refgauge.workspace import written
 
 RAW, SCALED, CLUSTER = "features", "scaled_features", "prediction"
 
@@ -24,6 +27,12 @@ RAW, SCALED, CLUSTER = "features", "scaled_features", "prediction"
 KMEANS_SEED, BISECTING_SEED, FINAL_SEED, FINAL_K = 1, 10, 1, 3
 SWEEP = range(3, 11)
 
+# Rows of a table that are broadcast at once, rows that meet them at once, and how many such meetings follow
+# each other before their results are written.
+BLOCK, PACK, CHAINED = 4096, 2048, 16
+NO_NAME = "\x00"  # the cluster of rows whose cluster is NULL
+
+
 def model_features(df: DataFrame, drop: Sequence[str] = ("_c0", "title", *fixed.CLASSES)) -> list[str]:
     """Columns to cluster by: all but the index, the title and the class scores."""
     return df.drop(*drop).columns
@@ -94,38 +103,104 @@ def _matrix(points: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat.reshape(len(at), -1) if len(at) else np.empty((0, 0)), at
 
 
-def nearest_center(df: DataFrame, centers: Sequence[Sequence[float]], values: str) -> DataFrame:
-    """Index of the closest center of each row and the squared distance to it, first on ties.
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _batch(data: bytes) -> pa.RecordBatch:
+    with pa.ipc.open_stream(data) as stream:
+        return stream.read_next_batch()
+
 
-    The centers, k times d numbers of the caller, go to the tasks; a batch of points is held against
-    one center at a time. NULL points have neither.
+def held_against(
+    df: DataFrame, table: DataFrame, key: str, fields: dict[str, float], update: Callable[..., None],
+    block: int = BLOCK, chained: int = CHAINED,
+) -> DataFrame:
+    """`df` with columns of doubles that every row gets from all rows of `table`, however many those are.
+
+    The table is stored and dealt into blocks of about `block` rows by a hash of `key`. Rows of `df`
+    are packed a few thousand at a time; each pack meets one block after the other, which is
+    broadcast alone, and `update(rows, fields, block)` changes the fields in place. Packs are written
+    out after every `chained` blocks, so neither plans nor what tasks hold grow with the table.
+    Rows are not shuffled, and of the table the driver learns the number of rows.
+    """
+    kept = written(table, "blocks")
+    n_blocks = max(1, -(-kept.count() // block))
+    dealt = kept.withColumn("_block", F.pmod(F.xxhash64(key), F.lit(n_blocks)))
+    n, names = len(df.columns), [*df.columns, *fields]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, PACK):
+                rows = whole.slice(at, PACK)
+                own = [pa.array(np.full(rows.num_rows, float(v))) for v in fields.values()]
+                rows = pa.RecordBatch.from_arrays([*rows.columns, *own], [str(k) for k in range(n + len(own))])
+                yield pa.RecordBatch.from_arrays([pa.array([_ipc(rows)], pa.binary())], ["pack"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pairs in batches:
+            found = pairs.column("held")[:1].flatten() if pairs.num_rows else None
+            packs = []
+            for data in pairs.column("pack").to_pylist():
+                rows = _batch(data)
+                own = {name: rows.column(n + k).to_numpy().copy() for k, name in enumerate(fields)}
+                update(rows.columns[:n], own, found)
+                columns = [*rows.columns[:n], *(pa.array(x) for x in own.values())]
+                packs.append(_ipc(pa.RecordBatch.from_arrays(columns, rows.schema.names)))
+            yield pa.RecordBatch.from_arrays([pa.array(packs, pa.binary())], ["pack"])
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for packs in batches:
+            for data in packs.column("pack").to_pylist():
+                rows = _batch(data)
+                yield pa.RecordBatch.from_arrays(rows.columns, names)
+
+    packs = df.mapInArrow(pack, "pack binary")
+    for number in range(n_blocks):
+        one = dealt.filter(F.col("_block") == number).agg(F.collect_list(F.struct(*table.columns)).alias("held"))
+        packs = packs.crossJoin(F.broadcast(one)).mapInArrow(meet, "pack binary")
+        if number % chained == chained - 1:
+            packs = written(packs, "packs")
+    schema = reduce(lambda s, name: s.add(name, "double"), fields, StructType(list(df.schema.fields)))
+    return packs.mapInArrow(unpack, schema)
+
+
+def nearest_center(df: DataFrame, centers: DataFrame | Sequence[Sequence[float]], values: str) -> DataFrame:
+    """Number of the closest center of each row and the squared distance to it, the least number on ties.
+
+    centers: a table (number, center) of any size, or k points of the caller, numbered from 0. NULL
+    points have neither.
     """
-    places = np.array([[float(x) for x in c] for c in centers])
-
-    @F.arrow_udf(f"struct<cost: double, {CLUSTER}: int>")
-    def best(points: pa.Array) -> pa.Array:
-        rows, at = _matrix(points)
-        cost, own = np.full(len(points), np.inf), np.zeros(len(points), np.int32)
-        for i, center in enumerate(places if len(at) else ()):
-            far = np.full(len(points), np.inf)
-            far[at] = ((rows - center) ** 2).sum(1)
-            own[far < cost], cost = i, np.minimum(cost, far)
-        absent = np.isinf(cost)
-        return pa.StructArray.from_arrays(
-            [pa.array(cost, mask=absent), pa.array(own, mask=absent)], ["cost", CLUSTER]
-        )
-
-    return df.withColumn("_best", best(F.col(values))).select(
-        *df.columns, F.col(f"_best.{CLUSTER}").alias(CLUSTER), F.col("_best.cost").alias("cost")
+    if not isinstance(centers, DataFrame):
+        rows = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]
+        centers = df.sparkSession.createDataFrame(rows, f"{CLUSTER} int, center array<double>")
+    centers = centers.toDF("number", "center").filter("number IS NOT NULL AND center IS NOT NULL")
+    place = df.columns.index(values)
+
+    def update(columns: list[pa.Array], own: dict[str, np.ndarray], held: pa.StructArray) -> None:
+        points, at = _matrix(columns[place])
+        cost, number = own["cost"][at], own["_number"][at]
+        means, _ = _matrix(held.field("center")) if len(held) and len(at) else ((), ())
+        for i, mean in zip(held.field("number").to_pylist(), means):
+            far = ((points - mean) ** 2).sum(1)
+            nearer = (far < cost) | (far == cost) & (i < number)
+            number[nearer], cost[nearer] = i, far[nearer]
+        own["cost"][at], own["_number"][at] = cost, number
+
+    found = held_against(df, centers, "number", {"cost": np.inf, "_number": -1.0}, update)
+    known = F.col("_number") >= 0
+    return found.select(
+        *df.columns, F.when(known, F.col("_number").cast("int")).alias(CLUSTER), F.when(known, F.col("cost")).alias("cost")
     )
 
 
-def group_centers(df: DataFrame, group: str, values: str) -> list[list[float]]:
-    """Mean point of each group, in group order: one row a group, for a caller that wants k centers."""
-    means = df.groupBy(group).agg(
-        vector_to_array(Summarizer.mean(array_to_vector(F.col(values)))).alias("mean")
-    )
-    return [r["mean"] for r in sorted(means.collect(), key=lambda r: r[group])]
+def group_centers(df: DataFrame, group: str, values: str) -> DataFrame:
+    """Rows (cluster, center): the mean point of each group, under the number of the group."""
+    mean = vector_to_array(Summarizer.mean(array_to_vector(F.col(values))))
+    return df.groupBy(F.col(group).cast("int").alias(CLUSTER)).agg(mean.alias("center"))
 
 
 def cluster_cost(df: DataFrame, model, vectors: str = SCALED) -> DataFrame:
@@ -153,40 +228,35 @@ def silhouette_points(df: DataFrame, values: str, cluster: str) -> DataFrame:
     """Silhouette of every row over squared distances, from sums per cluster instead of pairs.
 
     The squared distances of x to the n rows of a cluster with mean m add up to n*|x - m|^2 + sse,
-    which has no large terms that cancel, wherever the points lie. One row a cluster goes through
-    the driver to the tasks. NULL points have no silhouette.
+    which has no large terms that cancel, wherever the points lie. Sums stay a table, against blocks
+    of which the rows are held. NULL points have no silhouette.
     """
     known = df.filter(F.col(values).isNotNull())
-    rows = cluster_sums(known, array_to_vector(F.col(values)), cluster).collect()
-    place = {r["c"]: i for i, r in enumerate(rows)}
-    sums = [(r["n"], np.array(r["mean"]), r["sse"]) for r in rows]
-
-    @F.arrow_udf("struct<intra: double, nearest: double, n: bigint>")
-    def distances(points: pa.Array, clusters: pa.Array) -> pa.Array:
-        matrix, at = _matrix(points)
-        own = np.array([place.get(c, -1) for c in clusters.to_pylist()], np.int64)[at]
-        intra, nearest = np.zeros(len(at)), np.full(len(at), np.inf)
-        size = np.zeros(len(at), np.int64)
-        for i, (n, mean, sse) in enumerate(sums if len(at) else ()):
-            total = n * ((matrix - mean) ** 2).sum(1) + sse
-            inside = own == i
+    sums = cluster_sums(known, array_to_vector(F.col(values)), cluster).withColumn("c", F.coalesce("c", F.lit(NO_NAME)))
+    name = F.coalesce(F.col(cluster).cast("string"), F.lit(NO_NAME))
+    named = df.withColumn("_name", name)
+    place = df.columns.index(values)
+
+    def update(columns: list[pa.Array], own: dict[str, np.ndarray], held: pa.StructArray) -> None:
+        points, at = _matrix(columns[place])
+        if not len(held) or not len(at):
+            return
+        codes = {c: i for i, c in enumerate(held.field("c").to_pylist())}
+        mine = np.array([codes.get(c, -1) for c in columns[-1].to_pylist()], np.int64)[at]
+        intra, nearest, size = own["intra"][at], own["nearest"][at], own["_n"][at]
+        counts, spread = held.field("n").to_numpy(), held.field("sse").to_numpy()
+        for i, mean in enumerate(_matrix(held.field("mean"))[0]):
+            n, total = counts[i], counts[i] * ((points - mean) ** 2).sum(1) + spread[i]
+            inside = mine == i
             intra[inside], size[inside] = total[inside] / max(n - 1, 1), n
             nearest[~inside] = np.minimum(nearest[~inside], total[~inside] / n)
-        out = []
-        for column, absent in ((intra, size == 0), (nearest, np.isinf(nearest)), (size, size == 0)):
-            every, gone = np.zeros(len(points), column.dtype), np.ones(len(points), bool)
-            every[at], gone[at] = column, absent
-            out.append(pa.array(every, mask=gone))
-        return pa.StructArray.from_arrays(out, ["intra", "nearest", "n"])
+        own["intra"][at], own["nearest"][at], own["_n"][at] = intra, nearest, size
 
+    found = held_against(named, sums, "c", {"intra": np.inf, "nearest": np.inf, "_n": 0.0}, update)
+    given = {c: F.when(F.col(c) != float("inf"), F.col(c)) for c in ("intra", "nearest")}
     a, b = F.col("intra"), F.col("nearest")
     value = F.when((F.col("_n") == 1) | (a == b), F.lit(0.0)).when(a < b, 1 - a / b).otherwise(b / a - 1)
-    return (
-        df.withColumn("_far", distances(F.col(values), F.col(cluster).cast("string")))
-        .withColumns({"intra": F.col("_far.intra"), "nearest": F.col("_far.nearest"), "_n": F.col("_far.n")})
-        .withColumn("silhouette", value)
-        .drop("_far", "_n")
-    )
+    return found.withColumns(given).withColumn("silhouette", value).drop("_name", "_n")
 
 
 def silhouette(df: DataFrame, vectors: str = SCALED, cluster: str = CLUSTER) -> float:

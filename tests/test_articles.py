@@ -169,6 +169,28 @@ def test_html(spark):
     assert [tuple(r) for r in rows] == [("x <ref> &lt; 'y'\n", 42), (None, None)]
 
 
+def test_first_element_is_the_one_that_opens_first(spark):
+    texts = {
+        "<p x>a<p>b</p>c</p>": "a<p>b", "<pre>a</pre><p>b</p>": "b", "<p><p>": None, "<p>a</p": None, "<p>a</p \n>b": "a",
+        "<p>a</p>b</p": "a", "</p><p>b</P>": "b", "<p": None, "<p x": None, "<p></p><p>b</p>": None, "<p x\n>a>b</p>": "a>b",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = {r[0]: r[1] for r in df.select("t", html.first_element(F.col("t"), "p")).collect()}
+    assert found == texts
+
+
+@pytest.mark.parametrize("text", [
+    "<textarea>" * 100000, "<textarea " * 100000, "<textarea>" * 100000 + "</textarea", "<textarea>" + "</textarea " * 100000,
+    "<textarea " + "</textarea \n" * 100000 + ">",
+])
+def test_first_element_takes_no_time(spark, text):
+    df = spark.createDataFrame([(text,)], "t string")
+    df.select(html.first_element(F.col("t"), "textarea")).collect()
+    start = time.time()
+    df.select(html.first_element(F.col("t"), "textarea")).collect()
+    assert time.time() - start < 2
+
+
 def test_character_references(spark):
     texts = ["&eacute;&#233;&#xE9;&#XE9;", "a&nbsp;b &amp;lt; &copy;", "&am &amp &unknown; &#0; &#xD800; & ;", "😀&#128512;", None]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

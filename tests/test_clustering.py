@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from refgauge import fixed
 from refgauge.operators import clustering
@@ -113,7 +114,41 @@ def test_many_clusters(spark):
     placed = clustering.cluster_label(df, "label")
     assert placed.filter("label_or_cluster <> concat('l', prediction)").count() == 0 and placed.count() == 3300
     assert clustering.silhouette_points(df, "point", "prediction").filter("silhouette IS NULL").count() == 0
-    assert len(clustering.group_centers(df, "prediction", "point")) == 1100
+    centers = clustering.group_centers(df, "prediction", "point")
+    assert centers.count() == 1100
+    assert clustering.nearest_center(df.drop("prediction"), centers, "point").filter("id <> prediction AND id < 1100 AND cost = 0").count() == 0
+
+
+def test_blocks_and_packs_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    points, labels = rng.normal(size=(90, 3)), rng.integers(0, 30, 90).tolist()
+    rows = [(i, [float(x) for x in p], c if c else None) for i, (p, c) in enumerate(zip(points, labels))]
+    df = spark.createDataFrame(rows, "id int, point array<double>, c int").repartition(3)
+    expected = brute_silhouette(points, labels, lambda p, q: float(((p - q) ** 2).sum()))
+    far = ((points[:, None] - points[None, :40]) ** 2).sum(2)
+    monkeypatch.setattr(clustering, "PACK", 7)
+    monkeypatch.setattr(clustering.held_against, "__defaults__", (6, 2))
+    found = clustering.silhouette_points(df, "point", "c").orderBy("id").collect()
+    assert [r.silhouette for r in found] == pytest.approx(expected, abs=1e-9)
+    centers = df.filter("id < 40").select("id", "point")
+    near = clustering.nearest_center(df, centers, "point").orderBy("id").collect()
+    assert [r.prediction for r in near] == far.argmin(1).tolist()
+    assert [r.cost for r in near] == pytest.approx(far.min(1).tolist())
+    ties = clustering.nearest_center(df, centers.withColumn("point", F.array(*[F.lit(0.0)] * 3)), "point")
+    assert {r.prediction for r in ties.collect()} == {0}
+
+
+def test_hundred_thousand_clusters(spark):
+    """Two rows a cluster, on a line: the nearest other cluster is a neighbour."""
+    df = spark.range(200_000).selectExpr("id", "id % 100000 AS c", "array(double(id % 100000), double(id div 100000)) AS point")
+    sums = clustering.cluster_sums(df, array_to_vector("point"), "c").select("c", "n", "mean", "sse")
+    kept = df.filter("id % 1000 = 7")
+    found = clustering.nearest_center(kept, sums.select(F.col("c").cast("int"), "mean"), "point")
+    assert found.count() == 200 and found.filter("prediction <> c OR cost <> 0.25").count() == 0
+    placed = clustering.silhouette_points(df.withColumn("point", F.when(F.col("c") % 1000 < 3, F.col("point"))), "point", "c")
+    # Distances to the other row: 1; to both rows of a neighbour on average (1 + 2) / 2.
+    assert placed.filter("intra = 1 AND nearest = 1.5 AND abs(silhouette - 1 / 3D) < 1e-9").count() == 600
+    assert placed.filter("point IS NULL AND silhouette IS NULL").count() == 199_400
 
 
 def test_null_points_have_no_place(spark):

@@ -137,8 +137,10 @@ def test_passing_tables_are_removed(spark):
     with passing(spark):
         kept = written(spark.range(3), "passing")
         assert kept.count() == 3
-        path = kept.inputFiles()[0]
-    assert not spark.read.format("binaryFile").load(shared_folder(spark)).filter(F.col("path") == path).count()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(kept.inputFiles()[0])
+        store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        assert store.exists(path)
+    assert not store.exists(path) and not store.exists(path.getParent())
 
 
 def test_texts_are_not_moved(spark, sf):
