@@ -46,7 +46,8 @@ def first_element(html: Column, tag: str) -> Column:
     tags = F.regexp_extract(html, r"(?s)\A.*>", 0)
     opened = F.regexp_extract(tags, rf"(?is)<{name}(?:\s[^>]*+)?>(.*)", 1)
     inner = F.regexp_extract(opened, rf"(?is)\A(.*?)</{name}\s*+>", 1)
-    return unescape(F.nullif(inner, F.lit("")))
+    # As an array, so that what is found is computed once and used several times.
+    return F.get(F.transform(F.filter(F.array(inner), lambda found: found != ""), unescape), F.lit(0))
 
 
 def first_attribute(html: Column, tag: str, attribute: str) -> Column:
