@@ -67,8 +67,41 @@ def web_token(found: bytes) -> bool:
         return False
 
 
-def anything(found: bytes) -> bool:
-    return True
+def crc24(data: bytes) -> int:
+    """The checksum of armored keys. Start and polynomial are fixed values."""
+    crc = 0xB704CE
+    for byte in data:
+        crc ^= byte << 16
+        for _ in range(8):
+            crc = crc << 1 ^ (0x1864CFB if crc & 0x800000 else 0)
+    return crc
+
+
+def whole_der(data: bytes) -> bool:
+    """A sequence whose stated length is that of the data."""
+    if len(data) < 2 or data[0] != 0x30:
+        return False
+    more = data[1] - 0x80 if data[1] > 0x80 else 0
+    size = int.from_bytes(data[2 : 2 + more], "big") if more else data[1]
+    return data[1] != 0x80 and more < 5 and size == len(data) - 2 - more
+
+
+def private_key(found: bytes) -> bool:
+    """The body is a whole DER sequence or OpenSSH key, whole cipher blocks, or agrees with its CRC-24."""
+    lines = [line.strip() for line in re.split(rb"\\+[nrt]|[\r\n]", found)]
+    told = [line for line in lines[1:-1] if b":" in line]
+    body = [line for line in lines[1:-1] if line and b":" not in line]
+    if len(lines) == 1:  # all on one line
+        body = [found.split(b"-----")[2].strip()]
+    sums = [line[1:] for line in body if line.startswith(b"=") and len(line) == 5]
+    try:
+        data = base64.b64decode(b"".join(b"".join(line.split()) for line in body if not line.startswith(b"=")), validate=True)
+        if sums:
+            return crc24(data) == int.from_bytes(base64.b64decode(sums[0], validate=True), "big")
+    except binascii.Error:
+        return False
+    ciphered = any(b"ENCRYPTED" in line for line in told)
+    return whole_der(data) or data.startswith(b"openssh-key-v1\0") or (ciphered and len(data) >= 8 and len(data) % 8 == 0)
 
 
 class Kind(NamedTuple):
@@ -98,13 +131,13 @@ ADDED = (
     Kind("code_host", (b"ghp_", b"gho_", b"ghu_", b"ghs_", b"ghr_"),
          re.compile(rb"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), code_host_token),
     Kind("web_token", (b"eyj",),
-         re.compile(rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), web_token),
+         re.compile(rb"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++"), web_token),
     Kind("private_key", (b"-----begin ",),
          re.compile(
              rb"-----BEGIN [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----" + NEWLINES
              + rb"(?:[A-Za-z][A-Za-z0-9-]{0,40}+:(?:[^\r\n\\]|\\(?![nr\\])){0,300}+" + NEWLINES + rb")*+"
              + rb"(?:[A-Za-z0-9+/=\s]|\\++[nrt])++-----END [A-Z ]{0,30}PRIVATE KEY(?: BLOCK)?-----"),
-         anything),
+         private_key),
     Kind("iban", (b"iban",), re.compile(rb"(?i:iban)[:\x20]{1,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"), bank_account, 1,
          re.compile(rb"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}"), re.compile(rb"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")),
     Kind("card", (b"card",), re.compile(rb"(?i:card)(?:\x20?(?i:number|no\.?))?[:#=\x20]{1,3}([0-9](?:[ -]?[0-9]){12,18})(?![0-9])"), luhn, 1,

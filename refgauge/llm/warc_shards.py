@@ -26,6 +26,7 @@ import hashlib
 import re
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 from urllib.parse import quote
@@ -41,6 +42,7 @@ from refgauge.workspace import written
 
 LEAST = 100
 SHARD_BYTES, ROLL_BYTES = 64 << 20, 16 << 20
+OVERSAMPLE = 32  # rows sampled for each shard
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PLAIN = "!#$%&'()*+,/:;=?@[]~"  # characters that urls keep besides letters, digits and -._
@@ -150,15 +152,17 @@ MANIFEST_DDL = "name string, temporary string, records bigint, size bigint"
 def with_shards(rows: DataFrame, slim: DataFrame, shard_bytes: int) -> DataFrame:
     """A column `shard`, ascending with (page_id, digest), from splitters chosen by content.
 
-    The driver sees one id for each `shard_bytes` of payload, on the average. An id that is chosen
-    more than once has that many shards, parted by the digest.
+    Splitters are `OVERSAMPLE`-quantiles of a sample, which the driver sees: some `OVERSAMPLE` ids for
+    each `shard_bytes` of payload. An id that takes up several quantiles has that many shards, parted
+    by the digest.
     """
     size = slim.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
     shards = -(-(size["bytes"] or 0) // shard_bytes) or 1
-    one_in = -(-size["n"] // shards) or 1
+    one_in = -(-size["n"] // (shards * OVERSAMPLE)) or 1
     chosen = slim.filter(F.pmod(F.xxhash64("page_id", "digest"), F.lit(one_in)) == 0) if shards > 1 else slim.limit(0)
     value = F.coalesce(F.col("page_id").cast("double"), F.lit(NULLS))
-    often = {r["at"]: r["n"] for r in chosen.groupBy(value.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sample = sorted(r["at"] for r in chosen.select(value.alias("at")).collect())
+    often = Counter(sample[OVERSAMPLE::OVERSAMPLE])
     parted = {at: n for at, n in often.items() if n > 1}
     inner = {*often, *(at + 1 for at in parted), NULLS} - {float("inf")}
     splits = [float("-inf"), *sorted(inner), float("inf")]
