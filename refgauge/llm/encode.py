@@ -134,11 +134,12 @@ def gather(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
 
 
-def encoder(path: str, word_level: bool) -> PieceEncoder:
+def encoder(path: str, word_level: bool, limit: int = 150_000) -> PieceEncoder:
     """One encoder a file and Python worker, so that its cache serves all tasks of the worker."""
     key = (path, word_level)
     if key not in _encoders:
         _encoders[key] = PieceEncoder(path, word_level)
+    _encoders[key].limit = limit
     return _encoders[key]
 
 

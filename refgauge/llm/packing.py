@@ -84,7 +84,7 @@ def packed(fills: np.ndarray, blobs: list[bytes], capacity: int, level: int, fir
     )
 
 
-def first_bins(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, most: int) -> DataFrame:
+def first_bins(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, most: int, pieces: int) -> DataFrame:
     """Tokenizes documents and packs the pieces of each task, at most `most` at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +100,7 @@ def first_bins(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, mos
             return packed(table["length"].astype(np.int64), blobs, capacity, 0, made)
 
         for batch in small_batches(batches):
-            all_ids = encoder(vocabulary, True).encode(batch.column("text"))
+            all_ids = encoder(vocabulary, True, pieces).encode(batch.column("text"))
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), all_ids):
                 held += pieces_of(doc_id, np.concatenate([ids, end]), capacity)
             if len(held) >= most:
@@ -131,16 +131,16 @@ def merged_bins(bins: DataFrame, capacity: int, level: int, most: int) -> DataFr
 
 def pack(
     docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = 4096,
-    spare: int = 8, fan_in: int = 16, most: int = 200_000,
+    spare: int = 8, fan_in: int = 16, most: int = 200_000, pieces: int = 150_000,
 ) -> DataFrame:
     """One row a piece: where it is in its document, and its sequence and place there.
 
     spare: bins with at most so much room are final. fan_in: tasks that meet in one of the next
-    round. most: items a task packs at a time.
+    round. most: items a task packs at a time. pieces: see `PieceEncoder`.
     """
     spark = docs.sparkSession
     reachable(spark)
-    level = written(first_bins(docs, vocabulary, end_id, capacity, most), "bins")
+    level = written(first_bins(docs, vocabulary, end_id, capacity, most, pieces), "bins")
     final = [level.filter(F.col("fill") >= capacity - spare)]
     rest = level.filter(F.col("fill") < capacity - spare)
     n = rest.count()

@@ -36,7 +36,7 @@ def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), pieces=400_000)
 
 
 def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
