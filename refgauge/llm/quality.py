@@ -1,15 +1,16 @@
 """Quality scores by supervised subword embeddings.
 
-Every word, and every character n-gram of it between boundary marks, has a learned vector, found by
-hashing into a table; so has the bigram of a word with itself, one for all words, which counts
-`REPEAT_WEIGHT` times. The mean of all of them in a document, and of `PRIOR` vectors of zero that keep
-short texts from extremes, goes through a softmax over the two classes. Vectors and softmax are
-trained by stochastic gradient descent in numpy on a bounded, documented sample of the labelled rows
-(`sample` of them, by smallest hash of the id), from whole texts.
+Learned vectors stand in a table that is found into by hashing: one for every word, for every n-gram of
+a word's bytes between boundary marks, for every n-gram of words (`WORD_GRAMS`) and for every n-gram of
+the first characters of words (`INITIAL_GRAMS`), which are few enough to be known from other words. The mean
+of all of them in a document, and of `PRIOR` vectors of zero that keep short texts from extremes, goes
+through a softmax over the two classes. Vectors and softmax are trained by stochastic gradient descent in numpy
+on a bounded, documented sample of the labelled rows (`sample` of them, by smallest hash of the id),
+from whole texts.
 
 With two classes the difference of their logits is linear in the mean, so for scoring each table
-entry is reduced to one number, and each distinct word to the sum and number of its entries; a
-document's score is then the softmax of one weighted mean. Only text is an input of a score.
+entry is reduced to one number, and each distinct word to the sum and number of its entries and to
+its two hashes; a document's score is then the softmax of one mean. Only text is an input of a score.
 
 A label counts as 1 or 0; rows with a null label, a null id or a held-out id teach nothing. Texts
 without words (null too) have the score of the bias alone. An id with several labels teaches each
@@ -33,9 +34,9 @@ from refgauge.llm.inputs import columns_of, documents_of, mapped, reachable, rem
 
 BUCKETS = 1 << 15
 SHORTEST, LONGEST = 2, 4
-SAMPLE = 6_000
+WORD_GRAMS, INITIAL_GRAMS = (2, 3), (2, 3, 4, 5)
+SAMPLE = 5_000
 PRIOR = 60
-REPEAT_WEIGHT = 4
 
 
 class Model(NamedTuple):
@@ -47,7 +48,7 @@ class Model(NamedTuple):
 
 # Odd numbers that spread bits, one for each length of n-grams.
 SPREAD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-REPEAT = zlib.crc32(b"the same word again", 2)
+MIX = np.uint64(SPREAD[0])
 
 
 def entries(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,21 +73,50 @@ def entries(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found), np.concatenate(places)
 
 
-def repeats(words: list[bytes]) -> int:
-    """Words equal to the one before them."""
-    return sum(map(bytes.__eq__, words, words[1:]))
+def hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of every word, and of its first character (a whole one, of up to four bytes)."""
+    first = [w[: 1 + (w[0] >= 0xC0) + (w[0] >= 0xE0) + (w[0] >= 0xF0)] for w in words]
+    return tuple(np.fromiter(map(zlib.crc32, own), np.uint64, len(own)) for own in (words, first))
+
+
+def gram_entries(
+    own: np.ndarray, initial: np.ndarray, owner: np.ndarray, buckets: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length: the table entries of n-grams inside documents, and the document of each.
+
+    own, initial: the hashes of all words, one after the other. owner: the document of each word.
+    """
+    for kind, (tokens, lengths) in enumerate(((own, WORD_GRAMS), (initial, INITIAL_GRAMS))):
+        running = tokens
+        for n in range(2, max(lengths) + 1):
+            if len(tokens) < n:
+                break
+            running = (running[:-1] ^ running[:-1] >> np.uint64(31)) * MIX + tokens[n - 1 :]
+            if n in lengths:
+                inside = owner[: len(running)] == owner[n - 1 :]
+                mixed = (running[inside] + np.uint64(kind)) * MIX
+                yield ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64), owner[: len(running)][inside]
+
+
+def bag(text: str | None, buckets: int) -> np.ndarray:
+    """How often each table entry comes in a text."""
+    words = (text or "").encode("utf-8", "surrogatepass").split()
+    total = np.bincount(entries(words, buckets)[0], minlength=buckets)
+    for found, _ in gram_entries(*hashes(words), np.zeros(len(words), np.int64), buckets):
+        total += np.bincount(found, minlength=buckets)
+    return total
 
 
 def bags(docs: DataFrame, buckets: int) -> DataFrame:
     """Rows (label, entries, counts): how often each table entry comes in a document."""
+    if buckets > 1 << 16:
+        raise ValueError("table entries are stored in 16 bits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             ids, counts = [], []
             for text in batch.column("text").to_pylist():
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                total = np.bincount(entries(words, buckets)[0], minlength=buckets)
-                total[REPEAT % buckets] += REPEAT_WEIGHT * repeats(words)
+                total = bag(text, buckets)
                 used = np.flatnonzero(total)
                 ids.append(used.astype("<u2").tobytes())
                 counts.append(total[used].astype("<f4").tobytes())
@@ -161,19 +191,22 @@ def learned(
 class Scorer:
     """Scores of texts; what each word adds to the logit, and its number of entries, is kept."""
 
-    def __init__(self, model: Model, limit: int = 120_000):
+    def __init__(self, model: Model, limit: int = 100_000):
         self.model, self.limit = model, limit
         self.forget()
 
     def forget(self) -> None:
         self.codes: dict[bytes, int] = {}
         self.sums, self.counts = np.empty(0), np.empty(0)
+        self.own, self.initial = np.empty(0, np.uint64), np.empty(0, np.uint64)
 
     def learn(self, words: list[bytes]) -> None:
         found, places = entries(words, len(self.model.value))
         n = len(words)
         self.sums = np.concatenate([self.sums, np.bincount(places, self.model.value[found], n)])
         self.counts = np.concatenate([self.counts, np.bincount(places, minlength=n)])
+        own, initial = hashes(words)
+        self.own, self.initial = np.concatenate([self.own, own]), np.concatenate([self.initial, initial])
         self.codes.update(zip(words, range(len(self.codes), len(self.codes) + n)))
 
     def scores(self, texts: pa.Array) -> np.ndarray:
@@ -183,13 +216,14 @@ class Scorer:
         fresh = list(set().union(*split).difference(self.codes))
         if fresh:
             self.learn(fresh)
-        again = np.array([REPEAT_WEIGHT * repeats(words) for words in split], np.float64)
-        total, n = again * self.model.value[REPEAT % len(self.model.value)], again
         lengths = np.fromiter(map(len, split), np.int64, len(split))
         codes = np.fromiter((c for words in split for c in map(self.codes.__getitem__, words)), np.int64, lengths.sum())
         place = np.repeat(np.arange(len(split)), lengths)
-        total = total + np.bincount(place, self.sums[codes], len(split))
-        n = n + np.bincount(place, self.counts[codes], len(split))
+        total = np.bincount(place, self.sums[codes], len(split))
+        n = np.bincount(place, self.counts[codes], len(split))
+        value = self.model.value
+        for found, owner in gram_entries(self.own[codes], self.initial[codes], place, len(value)):
+            total, n = total + np.bincount(owner, value[found], len(split)), n + np.bincount(owner, minlength=len(split))
         return 1 / (1 + np.exp(-(total / (n + PRIOR) + self.model.bias)))
 
 

@@ -141,6 +141,70 @@ def test_line_rules_of_edge_cases(spark, sf):
         assert not (r.base_failed and r.kept)
 
 
+def plain_entries(text, buckets):
+    """Every table entry of a text, gram by gram."""
+    mask, found = (1 << 64) - 1, []
+    words = [w for w in re.split(rb"[\x20\x09-\x0D]+", text.encode()) if w]
+
+    def place(number):
+        return (number & mask) * quality.SPREAD[0] % (mask + 1)
+
+    for w in words:
+        found.append(zlib.crc32(w) % buckets)
+        own = b"<" + w + b">"
+        for n in (2, 3, 4):
+            for k in range(len(own) - n + 1):
+                number = int.from_bytes(own[k : k + n], "big") * quality.SPREAD[n - 2] & mask
+                found.append((number >> 33) % buckets)
+    letters = [w.decode()[0].encode() for w in words]
+    for kind, (tokens, lengths) in enumerate(((words, quality.WORD_GRAMS), (letters, quality.INITIAL_GRAMS))):
+        for n in lengths:
+            for k in range(len(tokens) - n + 1):
+                number = zlib.crc32(tokens[k])
+                for t in tokens[k + 1 : k + n]:
+                    number = place(number ^ number >> 31) + zlib.crc32(t) & mask
+                found.append((place(number + kind) >> 33) % buckets)
+    return Counter(found)
+
+
+SMALL = ["", "a", "one two", "one two three\nfour five", "ñu ñu ñu 漢字 😀 x", "the the the the end", "a b c d e f g a b c"]
+
+
+def test_quality_features_and_scores_are_the_plain_ones():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    model = quality.Model(rng.normal(size=512).astype(np.float32), 0.3)
+    want = []
+    for text in SMALL:
+        plain = plain_entries(text, 512)
+        assert {k: int(n) for k, n in enumerate(quality.bag(text, 512)) if n} == plain
+        mean = sum(float(model.value[k]) * n for k, n in plain.items()) / (sum(plain.values()) + quality.PRIOR)
+        want.append(1 / (1 + math.exp(-mean - model.bias)))
+    for limit in (3, 1000):
+        scorer = quality.Scorer(model, limit)
+        for at in (0, 3, 0):
+            assert scorer.scores(pa.array(SMALL[at:])) == pytest.approx(want[at:], abs=1e-6)
+
+
+def test_quality_training_tells_labels_apart():
+    """Labels that words tell apart are learned from mini-batches."""
+    import numpy as np
+    from types import SimpleNamespace
+
+    rows = []
+    for k, text in enumerate(["good words here", "bad bad bad", "more good words", "bad again bad"] * 30):
+        total = quality.bag(text, 256)
+        used = np.flatnonzero(total)
+        rows.append(SimpleNamespace(label=1 - k % 2, entries=used.astype("<u2").tobytes(), counts=total[used].astype("<f4").tobytes()))
+    model = quality.train(rows, 256, epochs=40)
+    score = lambda text: 1 / (1 + math.exp(-float((model.value * (b := quality.bag(text, 256))).sum()) / (b.sum() + quality.PRIOR) - model.bias))
+    assert score("good words here") > 0.8 > 0.2 > score("bad bad bad")
+    with pytest.raises(ValueError):
+        quality.bags(None, 1 << 17)
+
+
 def test_quality_learns(spark):
     folder = "/root/testdata/sf0.01"
     rows = QUERIES["op7_subword_quality"](spark, folder).collect()
