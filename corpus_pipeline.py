@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from refgauge.llm import content_sort, jaccard_join, packing, quality, secrets
 from refgauge.llm.inputs import table
 from refgauge.llm.queries import vocabulary
-from refgauge.workspace import written
+from refgauge.workspace import new_path, passing, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One of each group tied by word three-grams: the least id."""
-    return jaccard_join.one_of_each(docs)
+    """One of each group tied by word five-grams that are equal to 80 % or more: the least id."""
+    return jaccard_join.one_of_each(docs, n=5, share=80)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), "stage")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """The rows of the last stage, stored; what stages have written before is removed."""
+    path = new_path(spark, "packed")
+    with passing(spark):
+        docs = table(spark, sf_dir, "documents")
+        for _, stage in STAGES[:-1]:
+            docs = written(stage(spark, docs, sf_dir), "stage")
+        packed = STAGES[-1][1](spark, docs, sf_dir)
+        packed.write.parquet(path)
+    return spark.read.schema(packed.schema).parquet(path)
