@@ -1,5 +1,6 @@
 """The pipeline: every stage against a plain version of what it must do."""
 
+import os
 import re
 
 import corpus_pipeline
@@ -9,7 +10,7 @@ from test_llm_dedup import linked
 from test_llm_texts import base_spans
 
 from refgauge.llm import quality, secrets
-from refgauge.workspace import written
+from refgauge.workspace import new_path, shared_folder, written
 
 
 def test_stages(spark, sf):
@@ -34,7 +35,7 @@ def test_stages(spark, sf):
     assert sorted(after) == sorted(first.values())
 
     apart, before, after = step("n-gram Jaccard join", single)
-    least = {i for i, _, component in linked(before) if i == component}
+    least = {i for i, _, component in linked(before, 5, 80) if i == component}
     assert sorted(after) == sorted(x for x in before if x[0] in least)
 
     masked, before, after = step("secret scans", apart)
@@ -47,7 +48,10 @@ def test_stages(spark, sf):
 
 
 def test_run_gives_the_rows_of_its_stages(spark, sf):
+    held = set(os.listdir(shared_folder(spark).removeprefix("file:")))
     rows = corpus_pipeline.run(spark, sf).collect()
+    made = set(os.listdir(shared_folder(spark).removeprefix("file:"))) - held
+    assert [name.split("-")[0] for name in made] == ["packed"]
     sequences = {}
     for r in rows:
         sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
@@ -57,6 +61,13 @@ def test_run_gives_the_rows_of_its_stages(spark, sf):
     assert len(rows) > 50
 
 
+def test_run_over_empty_tables(spark, sf):
+    folder = new_path(spark, "empty")
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
+    assert corpus_pipeline.run(spark, folder).collect() == []
+
+
 def test_stages_take_edge_cases(spark, sf):
     for texts in (TEXTS, []):
         rows = [(i, t, None, None, None) for i, t in texts]
