@@ -35,8 +35,9 @@ from refgauge.llm.inputs import columns_of, documents_of, mapped, reachable, rem
 BUCKETS = 1 << 15
 SHORTEST, LONGEST = 2, 4
 WORD_GRAMS, INITIAL_GRAMS = (2, 3), (2, 3, 4, 5)
-SAMPLE = 5_000
+SAMPLE = 4_000
 PRIOR = 60
+AT_ONCE = 1 << 20  # bytes of text that are scored together
 
 
 class Model(NamedTuple):
@@ -191,7 +192,7 @@ def learned(
 class Scorer:
     """Scores of texts; what each word adds to the logit, and its number of entries, is kept."""
 
-    def __init__(self, model: Model, limit: int = 100_000):
+    def __init__(self, model: Model, limit: int = 80_000):
         self.model, self.limit = model, limit
         self.forget()
 
@@ -234,7 +235,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.3, held_out: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, most=AT_ONCE):
             found = pa.array(scorer.scores(batch.column("text")), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), found], ["doc_id", "score"])
 
@@ -253,7 +254,7 @@ def accepted(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame
     def make(places: dict[str, int]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             scorer, place = Scorer(shared.value), places["text"]
-            for batch in small_batches(batches, f"c{place}"):
+            for batch in small_batches(batches, f"c{place}", AT_ONCE):
                 yield batch.filter(pa.array(scorer.scores(batch.column(place)) >= threshold))
 
         return run
