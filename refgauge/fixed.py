@@ -79,13 +79,13 @@ CITATION_NAMES = {
     "news": "media materials (prints)",
 }
 TAG_SENTENCES = {
-    "redirect": "It's a redirecting page. Please make another request: ",
-    "disambig": "It's a disambiguation page. Please specify the request: ",
-    "template": "It's a template. Please make another request: ",
-    "category": "It's a category page. Please make another request: ",
-    "file": "It's a file. Please make another request: ",
-    "wikipedia_related": "It's a wikipedia project page. Please make another request: ",
-    "portal": "It's a portal. Please make another request: ",
-    "help": "It's a help page. Please make another request: ",
+    "redirect": "Not assessed: this title leads to another page.",
+    "disambig": "Not assessed: this title has several meanings, each with a page of its own.",
+    "template": "Not assessed: a template, which other pages include.",
+    "category": "Not assessed: a category, which lists pages.",
+    "file": "Not assessed: the description of a file.",
+    "wikipedia_related": "Not assessed: a page about the project itself.",
+    "portal": "Not assessed: a portal, which leads to pages of a subject.",
+    "help": "Not assessed: a help page.",
 }
 MIX_TITLE = "- the references distribution:"

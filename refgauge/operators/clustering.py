@@ -30,6 +30,7 @@ SWEEP = range(3, 11)
 # Rows of a table that are broadcast at once, rows that meet them at once, and how many such meetings follow
 # each other before their results are written.
 BLOCK, PACK, CHAINED = 4096, 2048, 16
+WEIGHT, PER_TASK = "weight", 50_000  # distinct vectors a task of a fit has
 NO_NAME = "\x00"  # the cluster of rows whose cluster is NULL
 
 
@@ -65,8 +66,30 @@ def bisecting(k: int = FINAL_K, seed: int = FINAL_SEED, vectors: str = SCALED) -
     return BisectingKMeans(featuresCol=vectors, predictionCol=CLUSTER, k=k, seed=seed)
 
 
-def cluster_pipeline(features: Sequence[str], algorithm) -> Pipeline:
-    return Pipeline(stages=[*scaling(features), algorithm])
+def settled(df: DataFrame, vectors: str = SCALED, per_task: int = PER_TASK) -> DataFrame:
+    """The distinct vectors with how often each comes (`weight`), laid out by their content alone.
+
+    Fits draw their first centers partition by partition and add up in the order of rows. Here the
+    number of partitions follows from that of the vectors, a hash deals them out, and each
+    partition is sorted, so a fit finds the same wherever rows were read. Equal rows are counted before they
+    are moved, so many of them make no partition large.
+    """
+    counted = written(df.groupBy(vector_to_array(vectors).alias("_point")).agg(
+        F.count(F.lit(1)).cast("double").alias(WEIGHT)), "vectors")
+    tasks = max(1, -(-counted.count() // per_task))
+    dealt = counted.repartition(tasks, F.xxhash64("_point")).sortWithinPartitions("_point")
+    return dealt.select(array_to_vector("_point").alias(vectors), WEIGHT)
+
+
+def fit_clusters(df: DataFrame, features: Sequence[str], algorithm) -> PipelineModel:
+    """Scaling and clusters as one model, which does not depend on how the rows of `df` lie in tasks."""
+    scaler = Pipeline(stages=scaling(features)).fit(df)
+    points = settled(scaler.transform(df)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = algorithm.copy().setWeightCol(WEIGHT).fit(points)
+    finally:
+        points.unpersist()
+    return PipelineModel(stages=[*scaler.stages, model])
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -280,26 +303,21 @@ def cluster_label(df: DataFrame, label: str, cluster: str = CLUSTER) -> DataFram
     )
 
 
-def k_sweep(
-    df: DataFrame, features: Sequence[str], ks: Iterable[int] = SWEEP, parallelism: int = 8,
-    partitions: int | None = None,
-) -> DataFrame:
+def k_sweep(df: DataFrame, features: Sequence[str], ks: Iterable[int] = SWEEP, parallelism: int = 8) -> DataFrame:
     """Rows (algorithm, k, cost, silhouette, best): both algorithms for each k.
 
-    Clusters are fit on scaled features and judged on unscaled ones. The table of vectors is
+    Clusters are fit on scaled features and judged on unscaled ones. Both tables of vectors are
     kept for the fits, on disk where memory is short. Each fit is many short jobs, so a few fits
-    share the cluster. `best` marks the k of the highest silhouette of each algorithm. Where
-    clusters are not well apart, fits depend on how rows lie in tasks: `partitions` fixes their number.
+    share the cluster. `best` marks the k of the highest silhouette of each algorithm. Fits go over
+    `settled` vectors, so they do not depend on how rows lie in tasks.
     """
-    points = scaled(df, features).select(RAW, SCALED)
-    if partitions is not None:
-        points = points.repartition(partitions)
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    points = scaled(df, features).select(RAW, SCALED).persist(StorageLevel.MEMORY_AND_DISK)
+    distinct = settled(points).persist(StorageLevel.MEMORY_AND_DISK)
 
     def judged(task) -> tuple:
         name, k = task
         algorithm = kmeans(k) if name == "kmeans" else bisecting(k, BISECTING_SEED)
-        model = algorithm.fit(points)
+        model = algorithm.setWeightCol(WEIGHT).fit(distinct)
         quality = silhouette(model.transform(points), RAW)
         return name, k, float(model.summary.trainingCost), float(quality)
 
@@ -310,6 +328,7 @@ def k_sweep(
             rows = pool.map(inheritable_thread_target(df.sparkSession)(judged), tasks, chunksize=1)
     finally:
         points.unpersist()
+        distinct.unpersist()
     table = df.sparkSession.createDataFrame(
         rows, "algorithm string, k int, cost double, silhouette double"
     )

@@ -100,6 +100,11 @@ def feature_table_v1(df: DataFrame, scores: bool = True, keys: Sequence[str] = (
     return whole.select(*keys, "title", *[F.col(c).cast("double").alias(c) for c in numbers])
 
 
+def stored_counts(df: DataFrame, scores: bool = False, keys: Sequence[str] = ()) -> DataFrame:
+    """For tables of counts: what `feature_table` gives for pages."""
+    return df.select(*keys, "title", *fixed.FEATURES)
+
+
 def scored_feature_table(
     pages: DataFrame,
     scores: DataFrame,

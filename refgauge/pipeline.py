@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from refgauge import fixed
 from refgauge.functions import pages as page_functions
-from refgauge.operators import articles, clustering, features, report, scoring
+from refgauge.operators import articles, clustering, features, profile, report, scoring
 from refgauge.sources import dumps, tables
 from refgauge.workspace import passing
 
-PAGES, SCORES = "pages", "scores"
+PAGES, SCORES, COUNTED, SCORED, PROFILES = "pages", "scores", "counted", "scored", "profiles"
 ON = ("dump", "revision_id")  # a revision may be in the dumps of several dates
 RAW_PAGES = ", ".join(f"`{name}` string" for name in (
     "title", "ns", "id", "restrictions", "revision.id", "revision.parentid", "revision.timestamp",
@@ -110,6 +110,44 @@ def create_features(
     return tables.read_features(spark, path)
 
 
+def store_counts(spark: SparkSession, folder: str, date: str, buckets: int = tables.BUCKETS) -> None:
+    """Counts of all articles of a date, and their scores, stored so that they meet without being moved.
+
+    Each table is dealt by dump and revision once, when it is written; texts are not. New scores, as of another model,
+    need `store_scores` alone, and no counting.
+    """
+    kept = articles.filter_articles(page_texts(spark, folder, date))
+    counted = features.feature_table(kept, scores=False, keys=ON)
+    tables.write_bucketed(counted, f"{folder}/{COUNTED}-{date}", ON, buckets)
+    store_scores(page_scores(spark, folder, date), folder, date, buckets)
+
+
+def store_scores(scores: DataFrame, folder: str, date: str, buckets: int = tables.BUCKETS) -> None:
+    """Scores by (dump, revision_id) in the layout of the counts of their date."""
+    tables.write_bucketed(scores.select(*ON, *fixed.CLASSES), f"{folder}/{SCORED}-{date}", ON, buckets)
+
+
+def scored_features(spark: SparkSession, folder: str, date: str, buckets: int = tables.BUCKETS) -> DataFrame:
+    """The feature table of a date from what `store_counts` has stored, joined bucket by bucket."""
+    stored = [tables.read_bucketed(spark, f"{folder}/{name}-{date}", ON, buckets) for name in (COUNTED, SCORED)]
+    return features.scored_feature_table(*stored, ON, table=features.stored_counts)
+
+
+def profile_dumps(spark: SparkSession, folder: str, date: str, buckets: int = tables.BUCKETS) -> None:
+    """Keeps the numbers of the features of each dump of a date, which `store_counts` has stored.
+
+    What there is of other dumps and dates stays, and is not looked at.
+    """
+    counted = tables.read_bucketed(spark, f"{folder}/{COUNTED}-{date}", ON, buckets)
+    parts = profile.part_numbers(counted, "dump", fixed.FEATURES).withColumnRenamed("dump", "file")
+    tables.write_by_file(parts, f"{folder}/{PROFILES}")
+
+
+def profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """A row for each dump of any date, for `profile.merged_totals` and `merged_ranges`."""
+    return spark.read.parquet(f"{folder}/{PROFILES}")
+
+
 def best_k(sweep: DataFrame, algorithm: str = "bisecting") -> int:
     return sweep.filter((F.col("algorithm") == algorithm) & F.col("best")).first()["k"]
 
@@ -127,7 +165,7 @@ def get_clusters(
     names = clustering.model_features(table)
     if k is None:
         k = best_k(clustering.k_sweep(table, names, ks))
-    model = clustering.cluster_pipeline(names, clustering.bisecting(k)).fit(table)
+    model = clustering.fit_clusters(table, names, clustering.bisecting(k))
     clustering.save_model(model, model_path)
     return predict(table, model)
 

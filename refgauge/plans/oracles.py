@@ -496,3 +496,17 @@ ORACLES: dict[str, str] = {
     "html_revision_id": """SELECT doc_id AS page_id,
         CASE WHEN doc_id % 7 <> 0 THEN doc_id + 1000000 END AS revision_id FROM documents""",
 }
+ORACLES["bucketed_feature_table"] = ORACLES["feature_table"]
+ORACLES["merged_totals"] = ORACLES["feature_totals"]
+ORACLES["merged_ranges"] = ORACLES["feature_ranges"]
+_PROFILED = {
+    "format": "revision.format", "model": "revision.model", "ns": "ns", "contributor.username": "revision.contributor.username",
+    "contributor.ip": "revision.contributor.ip", "title": "title",
+}
+ORACLES["sketched_distinct"] = f"WITH {RAW} " + " UNION ALL ".join(
+    f"""SELECT '{n}' AS "column", count(*) AS n_rows, count(DISTINCT "{c}") AS n, true AS close FROM raw""" for n, c in _PROFILED.items()
+)
+ORACLES["sketched_frequent"] = f"WITH {RAW} " + " UNION ALL ".join(
+    f"""SELECT '{n}' AS "column", "{_PROFILED[n]}" AS value, count(*) AS n FROM raw WHERE "{_PROFILED[n]}" IS NOT NULL GROUP BY 2"""
+    for n in ("format", "model", "ns")
+)

@@ -201,6 +201,19 @@ def feature_table(spark, folder):
     return _rounded_scores(features.scored_feature_table(kept, rendered.scores(spark, folder)))
 
 
+@query
+def bucketed_feature_table(spark, folder):
+    """The feature table from counts and scores that are stored by revision and joined bucket by bucket."""
+    kept = articles.filter_articles(rendered.revised(spark, folder))
+    counted = features.feature_table(kept, scores=False, keys=("revision_id",))
+    stored = []
+    for name, df in (("counted", counted), ("scored", rendered.scores(spark, folder))):
+        path = new_path(spark, name)
+        tables.write_bucketed(df, path, ["revision_id"], 8)
+        stored.append(tables.read_bucketed(spark, path, ["revision_id"], 8))
+    return _rounded_scores(features.scored_feature_table(*stored, table=features.stored_counts))
+
+
 @query
 def feature_table_v1(spark, folder):
     df = rendered.categorized(spark, folder).withColumn(
@@ -229,6 +242,48 @@ def feature_ranges(spark, folder):
     return profile.feature_ranges(_features(spark, folder), fixed.FEATURES)
 
 
+def _parts(spark, folder) -> DataFrame:
+    """Numbers of the features of each of three dumps, stored."""
+    dumped = _features(spark, folder).withColumn("dump", F.col("page_id") % 3)
+    return written(profile.part_numbers(dumped, "dump", fixed.FEATURES), "parts")
+
+
+@query
+def merged_totals(spark, folder):
+    """Totals out of what is stored for each dump."""
+    counted = [f for f in fixed.FEATURES if not f.startswith("average")]
+    return profile.merged_totals(_parts(spark, folder), counted)
+
+
+@query
+def merged_ranges(spark, folder):
+    """Ranges out of what is stored for each dump."""
+    return profile.merged_ranges(_parts(spark, folder), fixed.FEATURES)
+
+
+def _sketched(spark, folder) -> tuple[DataFrame, DataFrame]:
+    pages = articles.strip_prefix(rendered.raw_pages(spark, folder, texts=False))
+    names = [*fixed.PROFILE_COLUMNS, "title"]
+    return pages, written(profile.part_sketches(pages, "dump", names), "sketches")
+
+
+@query
+def sketched_distinct(spark, folder):
+    """Distinct values of each column, and whether merged sketches of the dumps come within 5 % of them."""
+    pages, sketches = _sketched(spark, folder)
+    exact = profile.column_profile(pages, [*fixed.PROFILE_COLUMNS, "title"]).filter("value IS NOT NULL")
+    exact = exact.groupBy("column").agg(F.count("*").alias("n"))
+    close = F.abs(F.col("n_distinct") - F.col("n")) <= 0.05 * F.col("n")
+    return profile.merged_distinct(sketches).join(exact, "column").select("column", "n_rows", "n", close.alias("close"))
+
+
+@query
+def sketched_frequent(spark, folder):
+    """The values of columns with few of them, and how often each comes, out of merged sketches of the dumps."""
+    _, sketches = _sketched(spark, folder)
+    return profile.merged_frequent(sketches.filter(F.col("column").isin("format", "model", "ns")))
+
+
 @query
 def column_profile(spark, folder):
     return profile.column_profile(articles.strip_prefix(rendered.raw_pages(spark, folder, texts=False)))
@@ -635,7 +690,7 @@ def model_roundtrip(spark, folder):
         "vec_id", *[F.get("point", F.lit(i)).alias(f"e{i}") for i in range(N_DIMENSIONS)]
     )
     names = table.columns[1:]
-    model = clustering.cluster_pipeline(names, clustering.bisecting(5)).fit(table)
+    model = clustering.fit_clusters(table, names, clustering.bisecting(5))
     path = new_path(spark, "model")
     clustering.save_model(model, path)
     fresh = model.transform(table).select("vec_id", clustering.CLUSTER)

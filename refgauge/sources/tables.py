@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ CSV_OUT = {
     "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
 }
 RAW_SUFFIX = "_raw.csv"
+BUCKETS = 64
 
 
 def raw_name(dump: Column) -> Column:
@@ -49,6 +51,36 @@ def read_raw_pages(
     )
 
 
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
+    """Rows dealt by a hash of the keys into a fixed number of files, each sorted by them, in place of earlier ones.
+
+    Tables of equal keys and number of buckets are joined bucket by bucket, without moving rows. The
+    number stands in the name of the folder, and should grow with the table.
+    """
+    spark = df.sparkSession
+    place = f"{path}/buckets-{buckets}"
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(place)}")
+    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").option(
+        "path", place).saveAsTable(_table_name(place))
+
+
+def read_bucketed(spark: SparkSession, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """A table of `write_bucketed`, with what Spark has to know of its layout, in any session."""
+    place = f"{path}/buckets-{buckets}"
+    name = _table_name(place)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(place).schema)
+        by = ", ".join(f"`{key}`" for key in keys)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
+                  f"INTO {buckets} BUCKETS LOCATION '{place}'")
+    return spark.table(name)
+
+
+def _table_name(place: str) -> str:
+    return "bucketed_" + hashlib.sha256(place.encode()).hexdigest()[:24]
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
     """CSV with text over several lines. The schema is given: no inference pass."""
     return spark.read.schema(schema).options(**CSV).csv(paths if isinstance(paths, str) else list(paths))

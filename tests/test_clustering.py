@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from refgauge import fixed
 from refgauge.operators import clustering
+from refgauge.plans.queries import QUERIES
 from refgauge.sources import tables
+from refgauge.workspace import written
 
 TOY = [0.0, 0.1, 0.2, 9.0, 9.1, 9.2]
 
@@ -164,3 +166,27 @@ def test_sweep_marks_the_best_k(spark, toy):
     assert sorted((r.algorithm, r.k) for r in rows) == [(a, k) for a in ("bisecting", "kmeans") for k in (2, 3, 4)]
     assert [(r.algorithm, r.k) for r in rows if r.best] in (
         [("bisecting", 2), ("kmeans", 2)], [("kmeans", 2), ("bisecting", 2)])
+
+
+def test_fits_do_not_depend_on_layout(spark, sf):
+    """On the package's own features, whose clusters lie close together."""
+    table = written(QUERIES["feature_table"](spark, sf).select("title", *fixed.FEATURES), "test-features")
+    names = list(fixed.FEATURES)
+    doubled = table.union(table.filter("n_words % 3 = 0"))
+    found = []
+    for n, order in ((1, "title"), (4, "n_words"), (16, "level2")):
+        laid = doubled.repartition(n, F.col(order)).sortWithinPartitions(F.col(order).desc())
+        sweep = clustering.k_sweep(laid, names, ks=(3, 5))
+        costs = {(r.algorithm, r.k): (r.cost, r.silhouette) for r in sweep.collect()}
+        placed = clustering.fit_clusters(laid, names, clustering.bisecting(4)).transform(laid)
+        found.append((costs, sorted((r.title, r.prediction) for r in placed.select("title", "prediction").collect())))
+    for costs, places in found[1:]:
+        assert costs.keys() == found[0][0].keys() and places == found[0][1]
+        for key, values in costs.items():
+            assert values == pytest.approx(found[0][0][key], rel=1e-9)
+
+
+def test_settled_vectors_count_their_rows(spark):
+    df = spark.createDataFrame([(Vectors.dense([float(k % 3), 1.0]),) for k in range(10)], ["v"]).repartition(5)
+    rows = clustering.settled(df, "v", per_task=2).collect()
+    assert sorted((tuple(r.v.toArray()), r.weight) for r in rows) == [((0.0, 1.0), 4.0), ((1.0, 1.0), 3.0), ((2.0, 1.0), 3.0)]

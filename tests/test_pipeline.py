@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from refgauge import fixed, pipeline
-from refgauge.operators import features
+from refgauge.operators import features, profile
 from refgauge.sources import dumps
 from refgauge.streaming.dumps import follow_dumps
 
@@ -146,3 +146,59 @@ def test_debug_keeps_scores_and_is_saved(spark, folder):
     table = pipeline.create_features(spark, folder[1], DATE, debug=True)
     assert {"text", "Stub", "n_words", "revision_id"} <= set(table.columns)
     assert sorted(r.revision_id for r in table.collect()) == [1000 + i for i in range(60) if i % 10 != 9][:50]
+
+
+def test_stored_counts_meet_their_scores_without_being_moved(spark, folder):
+    pipeline.store_counts(spark, folder[1], DATE, buckets=4)
+    want = sorted(map(tuple, pipeline.create_features(spark, folder[1], DATE, save=False).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for _ in range(2):
+            table = pipeline.scored_features(spark, folder[1], DATE, buckets=4)
+            assert sorted(map(tuple, table.collect())) == want and len(want) == 63
+            plan = table._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            # As in another session, which knows nothing of the tables.
+            for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]:
+                spark.sql(f"DROP TABLE {name}")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    new = pipeline.page_scores(spark, folder[1], DATE).withColumn("FA", F.lit(0.5))
+    pipeline.store_scores(new, folder[1], DATE, buckets=4)
+    found = pipeline.scored_features(spark, folder[1], DATE, buckets=4)
+    assert {r.FA for r in found.collect()} == {0.5} and found.count() == 63
+
+
+def test_profiles_of_dumps_add_up(spark, folder, tmp_path):
+    xml, out = tmp_path / "xml", str(tmp_path / "out")
+    xml.mkdir()
+    write_dump(xml, 1, 0)
+    scores = spark.range(0).select(F.col("id").alias("revision_id"), *[F.lit(0.1).alias(c) for c in fixed.CLASSES])
+    for n, date in enumerate((DATE, "20190801")):
+        place = tmp_path / date
+        place.mkdir()
+        write_dump(place, 1, 60 * n, date=date)
+        pipeline.process_dumps(spark, str(place), out, scores)
+        pipeline.store_counts(spark, out, date, buckets=2)
+        pipeline.profile_dumps(spark, out, date, buckets=2)
+    every = [pipeline.create_features(spark, out, date, scores=False, save=False) for date in (DATE, "20190801")]
+    names = list(fixed.FEATURES)
+    together = every[0].unionByName(every[1])
+    parts = pipeline.profiles(spark, out)
+    assert parts.count() == 2
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(profile.merged_ranges(parts, names)) == rows(profile.feature_ranges(together, names))
+    assert rows(profile.merged_totals(parts, names[:9])) == rows(profile.feature_totals(together, names[:9]))
+
+
+def test_sketches_of_many_values(spark):
+    df = spark.range(300_000).selectExpr(
+        "id % 7 AS dump", "concat('v', id % 60000) AS many", "if(id % 3 = 0, NULL, concat('f', id % 4)) AS few", "if(id % 10 < 3, 'hot', string(id)) AS skewed")
+    sketches = profile.part_sketches(df, "dump", ["many", "few", "skewed"])
+    found = {r["column"]: r for r in profile.merged_distinct(sketches).collect()}
+    for name, n in (("many", 60_000), ("few", 4), ("skewed", 210_001)):
+        assert found[name].n_rows == 300_000 and abs(found[name].n_distinct - n) <= 0.03 * n
+    frequent = profile.merged_frequent(sketches, 4).collect()
+    assert {(r.value, r.n) for r in frequent if r["column"] == "few"} == {(f"f{k}", 50_000) for k in range(4)}
+    assert [(r.value, r.n) for r in frequent if r["column"] == "skewed"][0] == ("hot", 90_000)
