@@ -35,11 +35,11 @@ from refgauge.llm.inputs import columns_of, reachable
 # Element names of HTML by their part in a page, and function words of languages.
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
-    "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup "
-    "option p pre section select summary table tbody td tfoot th thead title tr ul".split()
+    "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol "
+    "p pre section summary table tbody td tfoot th thead title tr ul".split()
 )
 UNREAD_TAGS = frozenset(
-    "script style iframe textarea title noscript template svg math object canvas audio video map select button".split()
+    "script style iframe textarea title noscript template svg select datalist annotation annotation-xml".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form header dialog menu".split())
@@ -308,8 +308,11 @@ def labels(blocks: list[Block], language: str) -> list[bool]:
     decided: list[bool | None] = []
     for block, words in zip(blocks, bare):
         share = function_share(words, own_language) if own_language else 0.0
-        if block.landmark.kind == "boilerplate" or block.linked > MOST_LINKED:
+        main = block.landmark.kind == "main"
+        if block.landmark.kind == "boilerplate" or block.linked > MOST_LINKED and not main:
             decided.append(False)
+        elif block.linked > MOST_LINKED:  # lists of links belong to the article they stand in
+            decided.append(None)
         elif not own_language:
             long = width(block.text) >= (SHORT if block.landmark.kind == "main" else LONG)
             decided.append(True if long and block.linked <= FEW_LINKED else None)

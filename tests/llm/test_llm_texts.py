@@ -16,6 +16,7 @@ from hypothesis import strategies as st
 from refgauge.llm import html_blocks, line_rules, maxent, quality, secrets
 from refgauge.llm.queries import QUERIES
 
+MENU = "<ul><li><a href=a>Home of all</a><li><a href=b>News</a></ul>"
 PROSE = "The story of the man and the sea is a tale of that which is in all of us. "
 
 
@@ -42,10 +43,26 @@ def test_blocks_without_landmarks_are_told_by_their_words():
     assert html_blocks.main_text(page).split("\n") == ["A title", (PROSE * 4).strip(), "Short one.", (PROSE * 3).strip()]
 
 
+@pytest.mark.parametrize(("inside", "text"), [
+    ("Energy <math><mi>E</mi><annotation encoding=tex>\\E</annotation></math> is conserved.", "Energy E is conserved."),
+    ("Press <button>Start</button> to begin.", "Press Start to begin."),
+    ("One of <select><option>a<option>b</select> two.", "One of two."),
+    ("An <object data=x>old plan</object> and a <canvas>chart</canvas>.", "An old plan and a chart."),
+])
+def test_articles_keep_what_stands_in_their_sentences(inside, text):
+    page = f'<html lang="en"><body>{MENU}<article><p>{PROSE * 3}<p>{inside}<p>{PROSE * 2}</article></body></html>'
+    assert html_blocks.main_text(page).split("\n") == [(PROSE * 3).strip(), text, (PROSE * 2).strip()]
+
+
+def test_lists_of_links_stay_in_their_article():
+    links = "<ul><li><a href=a>First thing</a><li><a href=b>Second thing</a></ul>"
+    page = f'<html lang="en"><body>{links}<article><p>{PROSE * 3}{links}<p>{PROSE * 2}</article>{links}</body></html>'
+    assert html_blocks.main_text(page).split("\n") == [(PROSE * 3).strip(), "First thing", "Second thing", (PROSE * 2).strip()]
+
+
 RUSSIAN = "Город стоит на берегу широкой реки, и жители его издавна строили лодки для торговли с соседями. "
 POLISH = "Miasto leży nad szeroką rzeką, a jego mieszkańcy od dawna budowali łodzie do handlu z sąsiadami. "
 CHINESE = "这座城市位于一条宽阔的河流旁边，当地居民自古以来就建造船只与邻近地区进行贸易往来。"
-MENU = "<ul><li><a href=a>Home of all</a><li><a href=b>News</a></ul>"
 
 
 @pytest.mark.parametrize("prose", [RUSSIAN, POLISH, CHINESE])
