@@ -285,14 +285,27 @@ def relabelled(blocks: DataFrame, links: list[DataFrame]) -> DataFrame:
     )
 
 
+CHUNKS = 1 << 20  # chunks of one class in a block, at most
+
+
 def links_in_blocks(
     docs: DataFrame, blocks: DataFrame, n: int, share: int, most: int, pivots: int = 32
 ) -> list[DataFrame]:
-    """Links among the documents of each block (doc_id, block, size); `size`: documents in it."""
-    chunk = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.ceil(F.col("size") / most))
+    """Links among the documents of each block (doc_id, block, size, n_shingles); `size`: documents in it.
+
+    Large blocks are searched in chunks of documents of one class of sizes, since only equal and
+    neighbouring classes link.
+    """
+    tops = Sizes(share)
+    tops.class_of(1 << 40)
+    tops = ", ".join(f"{top}L" for top in tops.tops)
+    own_class = F.expr(f"cast(size(filter(array({tops}), top -> top < n_shingles)) as bigint)")
+    classed = blocks.withColumn("class", F.when(F.col("size") > most, own_class).otherwise(0))
+    alike = classed.groupBy("block", "class").agg(F.count(F.lit(1)).alias("alike"))
+    chunk = F.col("class") * CHUNKS + F.pmod(F.xxhash64("doc_id", F.lit(1)), F.ceil(F.col("alike") / most))
     blocks = written(
-        blocks.select("doc_id", "block", "size", F.when(F.col("size") > most, chunk).otherwise(0).alias("chunk"),
-                      F.col("doc_id").alias("label")), "blocks",
+        classed.join(alike, ["block", "class"]).select(
+            "doc_id", "block", "size", chunk.alias("chunk"), F.col("doc_id").alias("label")), "blocks",
     )
 
     def found_among(rows: DataFrame) -> DataFrame:
@@ -325,7 +338,7 @@ def links_in_blocks(
     left = ends.select("block", F.col("chunk").alias("x"), "low", "high")
     right = ends.select(F.col("block").alias("block2"), F.col("chunk").alias("y"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     pairs = left.join(right, (F.col("block") == F.col("block2")) & (F.col("x") < F.col("y"))).filter(
-        F.least("low", "low2") < F.greatest("high", "high2")
+        (F.least("low", "low2") < F.greatest("high", "high2")) & (F.floor(F.col("y") / CHUNKS) - F.floor(F.col("x") / CHUNKS) <= 1)
     ).select("block", "x", "y")
     if pairs.head(1):
         meeting = pairs.select("block", "x", "y", F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("x").alias("chunk")), F.struct(F.lit(2).alias("side"), F.col("y").alias("chunk")))).alias("at"))
@@ -351,7 +364,7 @@ def similarity_components(docs: DataFrame, n: int = 3, share: int = 90, most: in
     same = ["block", "digest", "n_shingles"]
     equal = members.groupBy(*same).agg(F.min("doc_id").alias("b"))
     copies = members.join(equal, same).filter("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
-    single = equal.select(F.col("b").alias("doc_id"), "block").distinct()
+    single = equal.select(F.col("b").alias("doc_id"), "block", "n_shingles").distinct()
     sizes = single.groupBy("block").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     edges = copies
     for links in links_in_blocks(docs, single.join(sizes, "block"), n, share, most):
@@ -362,7 +375,7 @@ def similarity_components(docs: DataFrame, n: int = 3, share: int = 90, most: in
     )
 
 
-def one_of_each(docs: DataFrame, n: int = 3, share: int = 90) -> DataFrame:
+def one_of_each(docs: DataFrame, n: int = 3, share: int = 90, most: int = 1000) -> DataFrame:
     """The rows of `docs`, all columns, with the least doc_id of each component only."""
-    found = similarity_components(docs, n, share)
+    found = similarity_components(docs, n, share, most)
     return without(docs, found.filter("component_id <> doc_id").select("doc_id"))
