@@ -27,7 +27,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of each group tied by word five-grams that are equal to 80 % or more: the least id."""
-    return jaccard_join.one_of_each(docs, n=5, share=80)
+    return jaccard_join.one_of_each(docs, n=5, share=80, most=2000)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
