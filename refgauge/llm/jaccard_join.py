@@ -11,9 +11,9 @@ inverted lists of its n-grams among the smaller ones. Its short lists are merged
 what stands in enough of them is looked for in the long lists, by binary search, until the required
 overlap is reached or out of reach. Documents already in one component are not compared again.
 
-Blocks of more than `most` documents are cut into chunks: each chunk is searched, then some pivots
-of the block against each chunk, and last those pairs of chunks that still hold more than one
-component between them. Thus a large group of near copies costs in proportion to its size, and
+Blocks of more than `most` documents are cut into chunks, each of documents of one class of sizes:
+each chunk is searched, then some pivots of the block against each chunk, and last those pairs of
+chunks of equal or neighbouring classes that still hold more than one component between them. Thus a large group of near copies costs in proportion to its size, and
 nothing is left out. Documents with equal sets are searched once.
 
 Null and empty texts and texts without words have no n-grams and link with nothing; texts of fewer
