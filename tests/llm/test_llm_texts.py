@@ -428,3 +428,69 @@ def test_classes_are_distributions():
     weights = np.random.default_rng(1).normal(size=(maxent.FEATURES, maxent.CLASSES))
     sums = np.exp(maxent.log_classes(weights, np.arange(0, maxent.HISTORY, 997))).sum(1)
     assert np.allclose(sums, 1)
+
+
+def test_words_depend_on_the_words_before(spark):
+    import random
+
+    deal = random.Random(3)
+    pairs = [(f"left{i}x", f"right{i}y") for i in range(300)]
+    swapped = [(a, pairs[(i + 1) % 300][1]) for i, (a, _) in enumerate(pairs)]
+    held = [i for i in range(100_000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    taught = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    texts = [(i, " ".join(w for pair in deal.choices(pairs, k=60) for w in pair)) for i in taught]
+    texts += [(held[k], " ".join(pair)) for k, pair in enumerate(pairs + swapped)]
+    scores = {r.doc_id: r.score for r in maxent.learned_and_scored(documents(spark, texts)).collect()}
+    right, wrong = (sum(scores[i] for i in ids) / 300 for ids in (held[:300], held[300:600]))
+    assert right - wrong > 1.5
+
+
+def test_scores_are_products_of_softmaxes_over_word_features():
+    import numpy as np
+
+    random = np.random.default_rng(2)
+    n, words = 700, 600  # of the dictionary, of the vocabulary
+    rank = (-1 - random.integers(0, maxent.FORMS, n)).astype(np.int32)
+    rank[random.permutation(n)[:words]] = np.arange(words)
+    own = np.where(np.arange(words) < 150, 5, random.integers(0, maxent.PLAIN, words))
+    history = random.normal(size=(maxent.HISTORY, maxent.CLASSES)).astype(np.float32)
+    choice = maxent.words_of(own, random.integers(1, 50, words))
+    log_form = random.random(maxent.FORMS)
+    model = maxent.Model(rank, own, history, choice, random.random(n), log_form)
+    weights = [random.normal(size=(1024, k)).astype(np.float32) for k in (maxent.CLASSES, maxent.SLOTS)]
+    texts = [random.integers(-8, n, size) for size in (0, 1, 2, 5, 9000)]
+    texts = [np.append(t, maxent.END_CODE).astype("<i4") for t in texts]
+    found = maxent.text_scores(model, weights, np.concatenate(texts), np.cumsum([len(t) for t in texts]))
+
+    def share(start, features, node, kind, chosen):
+        logits = start.astype(float)
+        for row in maxent.rows_of(features, node, 1024):
+            logits = logits + weights[kind][row]
+        return logits[chosen] - np.log(np.exp(logits).sum())
+
+    for text, got in zip(texts, found):
+        text = text[:400] if len(text) > 1000 else text
+        kinds = [
+            maxent.END_CLASS if t == maxent.END_CODE else maxent.PLAIN - t if t < 0
+            else own[rank[t]] if rank[t] >= 0 else maxent.PLAIN - rank[t]
+            for t in text.tolist()
+        ]
+        features = maxent.word_features(text, np.array([len(text)]))
+        total, seen = 0.0, [maxent.START] * 3
+        for k, (t, kind) in enumerate(zip(text.tolist(), kinds)):
+            cell = (seen[-1] * (maxent.CLASSES + 1) + seen[-2]) * (maxent.CLASSES + 1) + seen[-3]
+            seen.append(kind)
+            total += share(history[cell], features[:, k], 0, 0, kind) / np.log(10)
+            if t >= 0 and rank[t] >= 0:
+                r = rank[t]
+                if (own == own[r]).sum() > maxent.SLOTS:
+                    total += share(choice.start[own[r]], features[:, k], own[r] + 1, 1, choice.group[r]) / np.log(10)
+                node = choice.node[r]
+                total += share(choice.start[node], features[:, k], node + 1, 1, choice.slot[r]) / np.log(10)
+            elif t != maxent.END_CODE:
+                total += (model.log_times[t] if t >= 0 else 0.0) - log_form[-1 - (rank[t] if t >= 0 else t)]
+        if len(text) < 400:
+            assert math.isclose(got, total, rel_tol=1e-4)
+        else:
+            short = maxent.text_scores(model, weights, text, np.array([len(text)]))
+            assert math.isclose(short[0], total, rel_tol=1e-4)
