@@ -6,7 +6,7 @@ the first characters of words (`INITIAL_GRAMS`), which are few enough to be know
 of all of them in a document, and of `PRIOR` vectors of zero that keep short texts from extremes, goes
 through a softmax over the two classes. Vectors and softmax are trained by stochastic gradient descent in numpy
 on a bounded, documented sample of the labelled rows (`sample` of them, by smallest hash of the id),
-from whole texts.
+from whole texts, in one task; the driver gets the model alone.
 
 With two classes the difference of their logits is linear in the mean, so for scoring each table
 entry is reduced to one number, and each distinct word to the sum and number of its entries and to
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refgauge.llm.encode import small_batches
+from refgauge.llm.encode import give_back, small_batches
 from refgauge.llm.inputs import columns_of, documents_of, mapped, reachable, remainder
 
 BUCKETS = 1 << 15
@@ -40,6 +40,12 @@ PRIOR = 60
 AT_ONCE = 1 << 20  # bytes of text that are scored together
 
 
+class Bag(NamedTuple):
+    label: int
+    entries: bytes
+    counts: bytes
+
+
 class Model(NamedTuple):
     """value[b]: what entry b adds to the logit of label 1 against label 0; bias: that of no entry."""
 
@@ -184,9 +190,17 @@ def learned(
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
     )
     rows = documents_of(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    found = bags(rows, buckets).collect()
-    # Training must not depend on the order in which tasks end.
-    return train(sorted(found, key=lambda r: (bytes(r.entries), bytes(r.counts), r.label)), buckets)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [Bag(*row) for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns))]
+        # Training must not depend on the order in which rows come.
+        model = train(sorted(found, key=lambda r: (r.entries, r.counts, r.label)), buckets)
+        yield pa.RecordBatch.from_arrays([pa.array([model.value.tobytes()]), pa.array([model.bias])], ["value", "bias"])
+        del found
+        give_back()
+
+    one = bags(rows, buckets).repartition(1).mapInArrow(fit, "value binary, bias double").collect()
+    return Model(np.frombuffer(one[0].value, np.float32), one[0].bias) if one else train([], buckets)
 
 
 class Scorer:

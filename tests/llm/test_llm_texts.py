@@ -12,6 +12,7 @@ import pytest
 from edge_cases import TEXTS, documents, key
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import TaskContext
 
 from refgauge.llm import html_blocks, line_rules, maxent, quality, secrets
 from refgauge.llm.queries import QUERIES
@@ -430,6 +431,19 @@ def test_classes_are_distributions():
     assert np.allclose(sums, 1)
 
 
+def test_the_driver_does_not_train(spark, sf, monkeypatch):
+    own = quality.train
+
+    def in_tasks(*args):
+        assert TaskContext.get() is not None
+        return own(*args)
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    monkeypatch.setattr(quality, "train", in_tasks)
+    assert abs(quality.learned(docs, labels).value).sum() > 0
+
+
 def test_words_depend_on_the_words_before(spark):
     import random
 
