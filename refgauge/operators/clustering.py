@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from refgauge import fixed
-from refgauge.workspace import written
+from refgauge.workspace import bounded_batches, written
 
 RAW, SCALED, CLUSTER = "features", "scaled_features", "prediction"
 
@@ -133,7 +133,7 @@ def _ipc(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _batch(data: bytes) -> pa.RecordBatch:
+def _batch(data: pa.Buffer) -> pa.RecordBatch:
     with pa.ipc.open_stream(data) as stream:
         return stream.read_next_batch()
 
@@ -150,6 +150,7 @@ def held_against(
     out after every `chained` blocks, so neither plans nor what tasks hold grow with the table.
     Rows are not shuffled, and of the table the driver learns the number of rows.
     """
+    bounded_batches(df.sparkSession)  # what a worker holds is some batches
     kept = written(table, "blocks")
     n_blocks = max(1, -(-kept.count() // block))
     dealt = kept.withColumn("_block", F.pmod(F.xxhash64(key), F.lit(n_blocks)))
@@ -166,19 +167,18 @@ def held_against(
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pairs in batches:
             found = pairs.column("held")[:1].flatten() if pairs.num_rows else None
-            packs = []
-            for data in pairs.column("pack").to_pylist():
-                rows = _batch(data)
+            for data in pairs.column("pack"):
+                rows = _batch(data.as_buffer())
                 own = {name: rows.column(n + k).to_numpy().copy() for k, name in enumerate(fields)}
                 update(rows.columns[:n], own, found)
                 columns = [*rows.columns[:n], *(pa.array(x) for x in own.values())]
-                packs.append(_ipc(pa.RecordBatch.from_arrays(columns, rows.schema.names)))
-            yield pa.RecordBatch.from_arrays([pa.array(packs, pa.binary())], ["pack"])
+                data = _ipc(pa.RecordBatch.from_arrays(columns, rows.schema.names))
+                yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["pack"])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for packs in batches:
-            for data in packs.column("pack").to_pylist():
-                rows = _batch(data)
+            for data in packs.column("pack"):
+                rows = _batch(data.as_buffer())
                 yield pa.RecordBatch.from_arrays(rows.columns, names)
 
     packs = df.mapInArrow(pack, "pack binary")

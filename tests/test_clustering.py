@@ -190,3 +190,16 @@ def test_settled_vectors_count_their_rows(spark):
     df = spark.createDataFrame([(Vectors.dense([float(k % 3), 1.0]),) for k in range(10)], ["v"]).repartition(5)
     rows = clustering.settled(df, "v", per_task=2).collect()
     assert sorted((tuple(r.v.toArray()), r.weight) for r in rows) == [((0.0, 1.0), 4.0), ((1.0, 1.0), 3.0), ((2.0, 1.0), 3.0)]
+
+
+def test_rows_meet_centers_in_small_batches(spark):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, f"{64 << 20}b")
+        points = spark.createDataFrame([(i, [float(i), 0.0]) for i in range(5)], "id int, point array<double>")
+        found = clustering.nearest_center(points, [[0.0, 0.0], [4.0, 0.0]], "point")
+        assert [r.prediction for r in found.orderBy("id").collect()] == [0, 0, 0, 1, 1]
+        assert int(spark.conf.get(setting)) <= 4 << 20
+    finally:
+        spark.conf.set(setting, before)
