@@ -1,10 +1,10 @@
 """Documents whose sets of word n-grams have a Jaccard similarity of at least a threshold.
 
-Which sets can link at all is found by signatures that never miss: two sets that link differ in at
-most k n-grams, so of k + 2 ranges of hashes that the n-grams fall into, two at least hold the same
-n-grams on both sides, and unless both are empty (then both sets take another way, see `signatures`)
-the sets share a signature of a range. Sizes are in classes, as k depends on them. Documents tied by
-signatures form blocks; in a block the exact search runs.
+Which sets can link at all is found by their first n-grams by hash, of which two sets that link have
+some number in common (see `leading`). Of those that any other document has among its own, each
+document leaves out its commonest, one fewer than it must share; the rarest that two sets share is
+never left out by either, so no link is missed, and passages that come everywhere tie nothing.
+Documents tied by the rest form blocks; in a block the exact search runs.
 
 The search is T-occurrence with DivideSkip: every document of a block, smallest first, looks up the
 inverted lists of its n-grams among the smaller ones. Its short lists are merged by a heap; only
@@ -125,6 +125,8 @@ def range_edges(n: int) -> np.ndarray:
 def signatures(own: np.ndarray, sizes: Sizes) -> np.ndarray:
     """Signatures of a set: of the non-empty ranges, for its class with the next and the one before.
 
+    Two sets that link share one. The join itself takes `leading` n-grams, which are fewer and rarer.
+
     If more than `SPARE` ranges are empty, the first n-grams by hash follow, as many as two sets that
     link must have one in common among.
     """
@@ -148,41 +150,65 @@ def signatures(own: np.ndarray, sizes: Sizes) -> np.ndarray:
     return np.concatenate(out)
 
 
-SIGNED = "doc_id bigint, n_shingles bigint, digest bigint, signatures array<bigint>"
+def leading(own: np.ndarray, share: int) -> tuple[np.ndarray, int]:
+    """The first n-grams of a set by hash, and how many of them any set that links has among its own.
+
+    With l(n) = n - ceil(share * n / 100) + 1, a set of n n-grams gives n - ceil(share * n / 100) +
+    l(n). Two sets that link have ceil(share * n / 100) n-grams in common at least, n the larger size,
+    so the first min(l(n), l(m)) of these are among those that either gives; the smallest m that links
+    tells a set how many that is.
+    """
+    size = len(own)
+    least = -(-share * size // 100)
+    spare = size - least
+    return own[: 2 * spare + 1], least - -(-share * least // 100) + 1
+
+
+SIGNED = "doc_id bigint, n_shingles bigint, digest bigint, needed int, leading array<bigint>"
 
 
 def signed(docs: DataFrame, n: int, share: int) -> DataFrame:
-    """Every document with the size, a digest and the signatures of its set."""
+    """Every document with the size, a digest and the leading n-grams of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes = Sizes(share)
         for batch in small_batches(batches):
-            counts, digests, found = [], [], []
+            counts, digests, needed, found = [], [], [], []
             for text in batch.column("text").to_pylist():
                 own = grams(text, n)
                 counts.append(len(own))
                 digests.append(int(mixed(mixed(own ^ K1).sum(keepdims=True) + np.uint64(len(own)))[0]))
-                found.append(signatures(own, sizes).view(np.int64))
+                first, least = leading(own, share)
+                needed.append(least)
+                found.append(first.view(np.int64))
             ends = np.cumsum([0, *map(len, found)])
             flat = pa.array(np.concatenate([np.empty(0, np.int64), *found]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()),
-                 pa.array(np.array(digests, np.uint64).view(np.int64)),
+                 pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(needed, pa.int32()),
                  pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat)],
-                ["doc_id", "n_shingles", "digest", "signatures"],
+                ["doc_id", "n_shingles", "digest", "needed", "leading"],
             )
 
     return documents_of(docs).mapInArrow(run, SIGNED)
 
 
 def candidate_edges(rows: DataFrame) -> DataFrame:
-    """Ties every document to the least one with which it shares a signature."""
-    every = rows.select(F.col("doc_id").alias("a"), F.explode("signatures").alias("signature"))
-    shared = (
-        every.groupBy("signature").agg(F.min("a").alias("b"), F.max("a").alias("top"))
-        .filter("b < top").select("signature", "b")
+    """Ties every document to the least one with which it shares a leading n-gram that neither leaves out.
+
+    Rows that repeat an id leave out no more together than each would alone.
+    """
+    every = rows.select(F.col("doc_id").alias("a"), "needed", F.explode("leading").alias("gram"))
+
+    def several(grams: DataFrame) -> DataFrame:
+        counts = grams.groupBy("gram").agg(F.min("a").alias("b"), F.max("a").alias("top"), F.count(F.lit(1)).alias("times"))
+        return counts.filter("b < top")
+
+    commonest = Window.partitionBy("a", "needed").orderBy(F.col("times").desc(), "gram")
+    shared = every.join(several(every).select("gram", "times"), "gram")
+    rest = written(
+        shared.withColumn("rank", F.row_number().over(commonest)).filter("rank >= needed").select("a", "gram"), "ties",
     )
-    return every.join(shared, "signature").filter("a > b").select("a", "b").distinct()
+    return rest.join(several(rest).select("gram", "b"), "gram").filter("a > b").select("a", "b").distinct()
 
 
 def overlap(a: int, b: int, share: int) -> int:

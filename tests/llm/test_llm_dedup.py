@@ -203,3 +203,27 @@ def test_components(spark):
     found = {r.node: r.component for r in components.components(df).collect()}
     assert found == {**dict.fromkeys(range(41), 0), 50: 50, 70: 50, 100: 50, 300: 300, 301: 300}
     assert components.components(df.limit(0)).collect() == []
+
+
+def test_leading_grams_of_linked_sets():
+    rng = random.Random(5)
+    for share in (50, 80, 90):
+        for size in [*range(1, 60), 200, 500]:
+            b = [rng.getrandbits(64) for _ in range(size)]
+            a = b[: rng.randint(-(-share * size // 100), size)]
+            a += [rng.getrandbits(64) for _ in range(rng.randint(0, size // 5))]
+            if 100 * len(set(a) & set(b)) < share * len(set(a) | set(b)):
+                a = b
+            (x, n), (y, m) = (jaccard_join.leading(np.array(sorted(z), np.uint64), share) for z in (a, b))
+            assert len(set(x.tolist()) & set(y.tolist())) >= max(n, m) > 0
+
+
+def test_common_passages_tie_no_candidates(spark):
+    passage = " ".join(f"common{k}" for k in range(20))
+    texts = [(k, " ".join([*(f"w{k}x{j}" for j in range(80)), passage])) for k in range(1, 60)]
+    texts += [(60, texts[9][1] + " more words"), (61, texts[9][1].replace("w10x3 ", "other "))]
+    docs = documents(spark, texts)
+    ties = jaccard_join.candidate_edges(jaccard_join.signed(docs, 5, 80)).collect()
+    assert sorted(map(tuple, ties)) == [(60, 10), (61, 10)]
+    rows = jaccard_join.similarity_components(docs, n=5, share=80).collect()
+    assert {r.doc_id for r in rows if r.component_id != r.doc_id} == {60, 61}
