@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 from refgauge.llm.encode import encoder, gather, small_batches
 from refgauge.llm.inputs import documents_of, reachable
 
-FACTORS = tuple(np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 LEAST = 4
 SHIFT = 4  # a round takes pairs with at least this power of 1/2 of the top count
 BLOCKS = (
@@ -78,46 +77,26 @@ def from_bits(data: bytes, width: int, n: int) -> np.ndarray:
 
 
 def replaceable(places: np.ndarray, following: np.ndarray) -> np.ndarray:
-    """Of ascending places at which pairs stand, those left when none may overlap the one before.
+    """Which of ascending places at which pairs stand are left when none may overlap the one before.
 
     following: where the symbol after each place stands.
     """
-    if not len(places):
-        return places
-    new_run = np.concatenate([[True], places[1:] != following[:-1]])
+    new_run = np.concatenate([[True], places[1:] != following[:-1]])[: len(places)]
     run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(places)), 0))
-    return places[(np.arange(len(places)) - run_start) % 2 == 0]
-
-
-def places_in(pairs: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Where each key stands among the distinct pairs, -1 if nowhere; by hashing, faster than a search."""
-    bits = max(10, min(22, int(len(pairs)).bit_length() + 4))
-    found, rest, left = np.full(len(keys), -1, np.int32), np.arange(len(pairs), dtype=np.int32), None
-    for factor in FACTORS:
-        def slot(x: np.ndarray) -> np.ndarray:
-            return (x.astype(np.uint64) * factor) >> np.uint64(64 - bits)
-
-        table = np.full(1 << bits, -1, np.int32)
-        own = slot(pairs[rest])
-        table[own] = rest
-        own_keys = keys if left is None else keys[left]
-        at = table[slot(own_keys)]
-        hit = (at >= 0) & (pairs[at] == own_keys)
-        if left is None:
-            found[hit] = at[hit]
-            left = np.flatnonzero(~hit)
-        else:
-            found[left[hit]] = at[hit]
-            left = left[~hit]
-        rest = rest[table[own] != rest]
-        if not len(rest) or not len(left):
-            return found
-    order = np.argsort(pairs[rest])
-    rest = rest[order]
-    at = np.minimum(np.searchsorted(pairs[rest], keys[left]), len(rest) - 1)
-    hit = pairs[rest[at]] == keys[left]
-    found[left[hit]] = rest[at[hit]]
-    return found
+    return (np.arange(len(places)) - run_start) % 2 == 0
+
+
+def by_pair(left: np.ndarray, right: np.ndarray, places: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of pairs of symbols (all below `symbols`) in order, and the ascending places of each pair."""
+    keys = left.astype(np.uint64) * np.uint64(symbols) + right
+    bits = int(places[-1]).bit_length()
+    if symbols * symbols << bits <= 1 << 64:  # both in one number: sorted faster than an order is found
+        keys <<= np.uint64(bits)
+        keys |= places.view(np.uint64)
+        keys.sort()
+        return keys >> np.uint64(bits), (keys & np.uint64((1 << bits) - 1)).view(np.int64)
+    order = np.argsort(keys, kind="stable")
+    return keys[order], places[order]
 
 
 def compress(ids: np.ndarray, starts: np.ndarray, base: int, least: int = LEAST, rounds: int | None = None) -> Grammar:
@@ -140,26 +119,22 @@ def compress(ids: np.ndarray, starts: np.ndarray, base: int, least: int = LEAST,
         at = np.flatnonzero(live)
         if not len(at):
             break
-        left, right = symbols[at], symbols[after[at]]
-        half, kind = (16, np.uint32) if len(sizes) <= 1 << 16 else (32, np.uint64)  # short keys sort faster
-        keys = left.astype(kind) << kind(half) | right
-        ordered = np.sort(keys)
-        edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]))
+        keys, at = by_pair(symbols[at], symbols[after[at]], at, len(sizes))
+        edges = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
         counts = np.diff(edges)
-        often = np.flatnonzero(counts >= least)
-        if not len(often):
+        often = counts >= least
+        if not often.any():
             break
-        pairs, counts = ordered[edges[often]], counts[often]
-        found = places_in(pairs, keys)
-        at, found = at[found >= 0], found[found >= 0]
         chosen = counts >= max(least, int(counts.max()) >> SHIFT)
-        hit = chosen[found]
-        places, new = at[hit], found[hit]
-        kept = replaceable(places, after[places])
-        new = new[np.searchsorted(places, kept)]
+        pairs = keys[edges[:-1][chosen]]
+        places = np.sort(at[np.repeat(chosen, counts)] << 32 | np.repeat(np.arange(len(pairs)), counts[chosen]))
+        places, new = places >> 32, places & 0xFFFFFFFF
+        left = replaceable(places, after[places])
+        kept, new = places[left], new[left]
+        at = at[np.repeat(often, counts)]
         used = np.bincount(new, minlength=len(pairs)) > 0
         named = np.cumsum(used) - 1 + len(sizes)
-        own = np.stack([pairs[used] >> kind(half), pairs[used] & kind((1 << half) - 1)], 1).astype(np.uint32)
+        own = np.stack(np.divmod(pairs[used], np.uint64(len(sizes))), 1).astype(np.uint32)
         gone = after[kept]
         symbols[kept], after[kept] = named[new], after[gone]
         before[after[kept]] = kept

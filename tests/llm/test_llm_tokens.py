@@ -49,6 +49,47 @@ def test_pieces_give_the_ids_of_whole_texts(texts):
         assert [x.tolist() for x in own.encode(pa.array(texts, pa.string()))] == want
 
 
+def test_words_of_letters_skip_normalizer_and_pattern(words):
+    import pyarrow as pa
+
+    own = encode.PieceEncoder(WORDS, True)
+    seen = []
+    whole, own.tokenizer = own.tokenizer, type("Seen", (), {
+        "encode_batch_fast": lambda self, pieces, **options: seen.extend(pieces) or whole.encode_batch_fast(pieces, **options)
+    })()
+    letters = [chr(k) for k in range(1 << 16) if encode.LETTERS.fullmatch(chr(k))]
+    pieces = [a + b for a in letters[::7] for b in letters[::1789]] + letters
+    others = ["", "×", "÷", "É", "a1", "ab.", "don't", "e\u0301", "ǆ", "x" * 3 + "$"]
+    codes = [own.learn(p, encode.keys_of(pa.array(p, pa.large_string()))) for p in (pieces, others)]
+    assert seen == others
+    want = [e.ids for e in words.encode_batch([*pieces, *others], add_special_tokens=False)]
+    assert [own.ids[own.ends[c] : own.ends[c + 1]].tolist() for c in np.concatenate(codes)] == want
+
+
+def test_pieces_are_told_apart_by_all_their_bytes(monkeypatch):
+    import pyarrow as pa
+
+    pieces = ["", "a", "a\0", "\0", "ab" * 4, "ab" * 4 + "\0", "é" * 23, "é" * 23 + "a", "x" * 48, "y" * 500]
+    cut = pa.array(["before", *pieces], pa.large_string()).slice(1)
+    keys = encode.keys_of(cut)
+    assert len({tuple(k) for k in keys.tolist()}) == 8 and not keys[[0, -2, -1]].any()
+    monkeypatch.setattr(encode, "SLOT_BITS", 2)  # pieces take each other's place
+    own = encode.PieceEncoder(WORDS, True)
+    texts = [" ".join(pieces[k % 7 + 1 :]) for k in range(50)]
+    want = [e.ids for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(3):
+        assert [x.tolist() for x in own.encode(pa.array(texts))] == want
+
+
+def test_pairs_in_order_with_their_places():
+    r = np.random.default_rng(5)
+    left, right, places = r.integers(0, 9, 500), r.integers(0, 9, 500), np.sort(r.permutation(900)[:500])
+    for symbols in (9, 1 << 30):  # beyond 64 bits for number and place together
+        keys, at = repair_shards.by_pair(left.astype(np.uint32), right.astype(np.uint32), places, symbols)
+        rows = sorted(zip((left * symbols + right).tolist(), places.tolist()))
+        assert list(zip(keys.tolist(), at.tolist())) == rows
+
+
 def test_cache_that_overflows_changes_nothing(words):
     import pyarrow as pa
 
