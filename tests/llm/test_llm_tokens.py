@@ -100,6 +100,18 @@ def test_cache_that_overflows_changes_nothing(words):
         assert [x.tolist() for x in own.encode(pa.array(texts))] == want
 
 
+def test_pieces_that_come_back_stay_in_the_cache():
+    import pyarrow as pa
+
+    own, seen = encode.PieceEncoder(WORDS, True, limit=20), []
+    learn = own.learn
+    own.learn = lambda pieces, keys: seen.extend(pieces) or learn(pieces, keys)
+    for k in range(12):
+        fresh = " ".join(f"w{k}w{n}" for n in range(8))
+        own.encode(pa.array([f"{fresh} one{'' if k % 3 else ' two three'}"]))
+    assert own.n_codes <= 40 and all(seen.count(p) == 1 for p in ("one", "two", "three"))
+
+
 def shard_rows(spark, docs, **options):
     path = new_path(spark, "test-shards")
     repair_shards.write(docs, path, WORDS, **options)
