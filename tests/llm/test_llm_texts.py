@@ -431,6 +431,21 @@ def test_classes_are_distributions():
     assert np.allclose(sums, 1)
 
 
+def test_features_are_counted_beyond_24_bits():
+    import numpy as np
+
+    none, n = np.empty(0, np.int64), 1000
+    history = np.zeros((maxent.HISTORY, maxent.CLASSES), np.float32)
+    model = maxent.Model(none, none, history, maxent.words_of(none, none), none, np.zeros(maxent.FORMS))
+    weights, seen, expected = (tuple(np.zeros((1024, k), np.float32) for k in (maxent.CLASSES, maxent.SLOTS)) for _ in range(3))
+    seen[0][:] = 1 << 24  # here a float32 and one is itself
+    ends = np.arange(1, n + 1)
+    maxent.count_features(model, weights, np.full(n, maxent.END_CODE, np.int32), ends, seen, expected)
+    added = seen[0].astype(np.int64) - (1 << 24)
+    assert added.sum() == maxent.WORD_FEATURES * n == added[:, maxent.END_CLASS].sum()
+    assert np.isclose(expected[0].sum(), maxent.WORD_FEATURES * n)
+
+
 def test_the_driver_does_not_train(spark, sf, monkeypatch):
     own = quality.train
 
